@@ -18,12 +18,17 @@ def whole(value: Column) -> Column:
     return F.bround(value, 0).cast("bigint").cast("string")
 
 
+def _formatted(value: Column, pattern: str, digits: int) -> Column:
+    # format_string prints "null" for NULL, so keep NULL out of it
+    return F.when(value.isNotNull(), F.format_string(pattern, F.bround(value, digits)))
+
+
 def fixed(value: Column, digits: int) -> Column:
-    return F.format_string(f"%.{digits}f", F.bround(value, digits))
+    return _formatted(value, f"%.{digits}f", digits)
 
 
 def signed(value: Column, digits: int) -> Column:
-    return F.format_string(f"%+.{digits}f", F.bround(value, digits))
+    return _formatted(value, f"%+.{digits}f", digits)
 
 
 def bps(value: Column) -> Column:

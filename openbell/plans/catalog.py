@@ -2,13 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from openbell.functions.numeric import round_doubles
+from openbell.functions.clock import article_date, wall_clock
+from openbell.functions.clock import lookback as clock_lookback
+from openbell.functions.numeric import as_double, round_doubles
+from openbell.functions.text import content_key
+from openbell.operators import calendar as cal
+from openbell.operators import contracts, dedup
+from openbell.operators import daily_news as news
 from openbell.operators import indicators as ind
+from openbell.operators import ledger as led
+from openbell.operators import metrics as met
+from openbell.operators import model as ml
+from openbell.operators import report as rep
+from openbell.operators import scoring as sc
 from openbell.operators import sessions as ses
+from openbell.plans import market
+from openbell.plans.scorers import hash_scorer
+from openbell.schemas import DAILY_SENTIMENT, PCA_COLUMNS
+from openbell.session import shared_dir
+from openbell.sources import articles as art
+from openbell.sources import bars as src
 from openbell.sources import bindings as b
+from openbell.streaming import jobs as st
 
 QUERIES: dict = {}
 
@@ -81,8 +101,6 @@ def realized_range_har(spark, d):
 @query
 def daily_technicals(spark, d):
     """All 16 technicals, lagged one session, with a placeholder row."""
-    import datetime as dt
-
     return ind.daily_technicals(b.daily_bars(spark, d), as_of=dt.date(2002, 1, 1))
 
 
@@ -135,3 +153,564 @@ def macd(spark, d):
     return _recursive(spark, d, *[
         F.try_divide(c, "close").alias(f"pct_{c}") for c in ("macd", "macd_hist", "macd_signal")
     ])
+
+
+# --- feature tables ----------------------------------------------------------
+
+AS_OF = dt.date(2001, 11, 6)
+
+
+def _matrix(spark, d, **options):
+    return market.feature_matrix(b.line_bars(spark, d), b.CLOCK, **options)
+
+
+@query
+def feature_matrix(spark, d):
+    """Complete, labelled rows of the last five years."""
+    return _matrix(spark, d, as_of=AS_OF, years=5)
+
+
+@query
+def feature_matrix_unsettled(spark, d):
+    """Every day with a snapshot bar, nothing dropped."""
+    return _matrix(spark, d, as_of=AS_OF, years=None, drop_incomplete=False)
+
+
+def _sentiment(spark, d, start):
+    daily = news.aggregate_daily(b.scored_articles(spark, d, start))
+    daily = news.with_time_series(daily)
+    columns = [c for c in DAILY_SENTIMENT if c not in PCA_COLUMNS]
+    return daily.select("Date", *columns)
+
+
+def _calendar(spark, bounds):
+    return cal.calendar_features(bounds, cal.event_table(spark))
+
+
+def _line_bounds(spark, d):
+    day = F.to_date("l_shipdate")
+    return b.table(spark, d, "lineitem").agg(F.min(day).alias("start"), F.max(day).alias("end"))
+
+
+@query
+def model_matrix(spark, d):
+    """Four-way checked merge: market, macro, sentiment, calendar."""
+    return market.merge_features(
+        _matrix(spark, d, as_of=AS_OF, years=None, keep_unsettled=True),
+        ses.macro_features(b.line_bars(spark, d), b.LINE_SOURCES, b.CLOCK),
+        market.prepare_sentiment(_sentiment(spark, d, "1996-01-01")),
+        _calendar(spark, _line_bounds(spark, d)),
+        cutoff=AS_OF,
+        check_rows=False,
+    )
+
+
+def _training(spark, d):
+    bars = b.line_bars(spark, d)
+    ranges = ses.realized_range(ses.session_ohlcv(bars, b.CLOCK))
+    level = ses.asof_level(bars.filter("symbol = 'N'"), b.CLOCK, "vix_level").drop("symbol")
+    return market.assemble(_matrix(spark, d, as_of=AS_OF, years=None), ranges, level)
+
+
+@query
+def training_matrix(spark, d):
+    return _training(spark, d)
+
+
+@query
+def scoring_rows(spark, d):
+    """Feature rows for every day with a snapshot, settled or not."""
+    bars = b.line_bars(spark, d)
+    matrix = _matrix(spark, d, as_of=AS_OF, years=None, keep_unsettled=True)
+    realized = ses.realized_range(ses.session_ohlcv(bars, b.CLOCK))
+    level = ses.asof_level(bars.filter("symbol = 'N'"), b.CLOCK, "vix_level").drop("symbol")
+    return market.features_for_dates(matrix, realized, level, matrix)
+
+
+@query
+def null_audit(spark, d):
+    return contracts.null_audit(_matrix(spark, d, as_of=AS_OF, years=None, drop_incomplete=False))
+
+
+@query
+def duplicate_keys(spark, d):
+    return dedup.duplicate_keys(b.articles(spark, d), ["title", "description"])
+
+
+# --- calendar ----------------------------------------------------------------
+
+@query
+def calendar_features(spark, d):
+    """Calendar of the days the article table spans."""
+    days = b.articles(spark, d).select(article_date("published_at").alias("day"))
+    return _calendar(spark, days.agg(F.min("day").alias("start"), F.max("day").alias("end")))
+
+
+@query
+def days_to_event(spark, d):
+    """Days from each session to the next day with an order above 499,000, per status."""
+    orders = b.table(spark, d, "orders").select(
+        F.col("o_orderstatus").alias("symbol"), F.to_date("o_orderdate").alias("date"), "o_totalprice"
+    )
+    big = orders.filter("o_totalprice > 499000")
+    days = orders.groupBy("symbol", "date").agg(F.count("*").alias("n_orders"))
+    return cal.next_event(days, big, "days_to_event", by=("symbol",))
+
+
+# --- loads and deduplication --------------------------------------------------
+
+SPLIT_AT = dt.datetime(2024, 1, 20)
+OVERLAP_FROM = dt.datetime(2024, 1, 18)
+LOAD_END = dt.datetime(2024, 1, 28, 14, 1)
+
+
+def _loads(spark, d):
+    """Two overlapping loads of the event bars; the second reports other volumes."""
+    bars = b.event_bars(spark, d)
+    first = bars.filter(F.col("ts") < F.lit(SPLIT_AT).cast("timestamp_ntz")).withColumn("load_seq", F.lit(1).cast("bigint"))
+    second = bars.filter(F.col("ts") >= F.lit(OVERLAP_FROM).cast("timestamp_ntz")).withColumns({
+        "load_seq": F.lit(2).cast("bigint"),
+        "volume": F.when(F.minute("ts") == 0, F.col("volume") + 1).otherwise(F.col("volume") - 1),
+    })
+    return first, second
+
+
+@query
+def bars_incremental(spark, d):
+    first, second = _loads(spark, d)
+    return src.extended(first, second, LOAD_END)
+
+
+@query
+def dedupe_highest_volume(spark, d):
+    first, second = _loads(spark, d)
+    return dedup.keep_highest_volume(first.unionByName(second))
+
+
+@query
+def dedupe_first(spark, d):
+    first, second = _loads(spark, d)
+    return dedup.keep_first(first.unionByName(second), ["symbol", "ts"])
+
+
+@query
+def dedupe_last(spark, d):
+    first, second = _loads(spark, d)
+    return dedup.keep_last(first.unionByName(second), ["symbol", "ts"])
+
+
+@query
+def trim_half_open(spark, d):
+    return src.trim(b.event_bars(spark, d), OVERLAP_FROM, SPLIT_AT)
+
+
+@query
+def lookback(spark, d):
+    return clock_lookback(b.daily_bars(spark, d), dt.date(2000, 6, 30), years=2)
+
+
+@query
+def bars_fixed_point(spark, d):
+    """Prices as integers at 1e9 come back as doubles."""
+    raw = b.event_bars(spark, d).withColumns({
+        c: F.round(F.col(c) * 1e9).cast("bigint") for c in ("open", "high", "low", "close", "volume")
+    }).withColumn("volume", F.col("volume") / 1_000_000_000)
+    return src.normalise_fixed_point(raw)
+
+
+@query
+def bars_exchange_time(spark, d):
+    """Chicago wall-clock stamps and text prices come back as UTC and doubles."""
+    raw = b.event_bars(spark, d).withColumn("load_seq", F.lit(1).cast("bigint"))
+    raw = raw.withColumns({c: F.col(c).cast("string") for c in ("open", "high", "low", "close", "volume")})
+    raw = raw.withColumn("ts", wall_clock("ts", "America/Chicago"))
+    return src.normalise_exchange_time(raw, "America/Chicago")
+
+
+@query
+def articles_merged(spark, d):
+    """Second load revises every article of the re-taken period; newest wins."""
+    base = b.articles(spark, d).select("title", "published_at", "description", F.lit(1).cast("bigint").alias("load_seq"))
+    since = dt.datetime(2024, 2, 1, 13)
+    revised = base.filter(F.col("published_at") >= F.lit(dt.datetime(2024, 1, 31)).cast("timestamp_ntz"))
+    revised = revised.withColumns({"load_seq": F.lit(2).cast("bigint"), "description": F.upper("description")})
+    merged = art.merged(base, revised, since)
+    return merged.select("title", "published_at", "load_seq", content_key(F.col("description")).alias("text_key"))
+
+
+@query
+def daily_cap(spark, d):
+    """The newest five articles of each UTC day (the provider's page budget, scaled)."""
+    capped = dedup.latest_per_day(b.articles(spark, d), cap=5, tie=("title", "doc_id"))
+    return capped.select("doc_id", "published_at")
+
+
+# --- articles and scores -------------------------------------------------------
+
+@query
+def aligned_articles(spark, d):
+    boxed = art.aligned(b.articles(spark, d), extra=("doc_id",))
+    return boxed.select("doc_id", "Date", "published_at", F.length("news_text").alias("n_chars"),
+                        content_key(F.col("news_text")).alias("text_hash"))
+
+
+@query
+def text_keys(spark, d):
+    """Distinct texts with the number of their copies."""
+    keyed = sc.with_key(art.aligned(b.articles(spark, d)))
+    return sc.unique_texts(keyed).select("text_hash", "Date", "published_at", "n_copies")
+
+
+def _checkpoint(spark, d):
+    """Scores of the first months, one row per text, some with failed tier 2."""
+    keyed = sc.with_key(art.aligned(b.articles(spark, d), extra=("doc_id",)))
+    seen = keyed.filter(F.col("Date") < F.lit(dt.date(2024, 2, 15)))
+    one = seen.groupBy("text_hash").agg(F.min("doc_id").alias("doc_id"))
+    return keyed, sc.gate(one.join(b.article_scores(spark, d), "doc_id"))
+
+
+@query
+def pending_texts(spark, d):
+    keyed, checkpoint = _checkpoint(spark, d)
+    return sc.pending_texts(keyed, checkpoint).select("text_hash", "Date", "published_at", "n_copies")
+
+
+@query
+def retry_merge(spark, d):
+    """Every second failed text recovers with fixed scores."""
+    _, checkpoint = _checkpoint(spark, d)
+    retried = checkpoint.filter("NOT tier2_scored AND doc_id % 2 = 0").select(
+        "text_hash", F.lit(0.5).alias("relevance"), F.lit(0.25).alias("novelty"), F.lit(0.75).alias("subjectivity")
+    )
+    return sc.retry_merge(checkpoint, retried)
+
+
+@query
+def scores_on_copies(spark, d):
+    """Scores joined back to every article row that carries the text."""
+    keyed = sc.with_key(art.aligned(b.articles(spark, d), extra=("doc_id",)))
+    one = keyed.groupBy("text_hash").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n_copies"))
+    scores = one.join(b.article_scores(spark, d).withColumnRenamed("doc_id", "first_doc"), "first_doc")
+    out = sc.spread_to_copies(keyed, scores.drop("first_doc"), hot_copies=3)
+    return out.select("doc_id", "Date", "text_hash", "n_copies", "prob_pos", "prob_neg", "prob_neu", "relevance")
+
+
+@query
+def parsed_scores(spark, d):
+    """Stored model replies in several shapes, parsed to probabilities and scores."""
+    s = b.article_scores(spark, d)
+    num = {c: F.coalesce(F.round(c, 4).cast("string"), F.lit("0.1")) for c in ("relevance", "novelty", "subjectivity")}
+    def body(rel):
+        return F.concat(
+            F.lit('{"' + rel + '": '), num["relevance"], F.lit(', "novelty": '), num["novelty"],
+            F.lit(', "subjectivity": '), num["subjectivity"], F.lit("}"),
+        )
+    raw = (
+        F.when(F.col("doc_id") % 5 == 0, body("relevance"))
+        .when(F.col("doc_id") % 5 == 1, F.concat(F.lit("Sure, here it is: "), body("relevance"), F.lit(" Done.")))
+        .when(F.col("doc_id") % 5 == 2, body("rel_score"))
+        .when(F.col("doc_id") % 5 == 3, F.concat(F.lit('{"relevance": '), num["relevance"], F.lit("}")))
+        .otherwise(F.lit("no score"))
+    )
+    labels = F.array(*[
+        F.struct(F.lit(n).alias("label"), F.col(c).alias("score"))
+        for n, c in (("Positive", "prob_pos"), ("NEGATIVE", "prob_neg"), ("neutral", "prob_neu"))
+    ])
+    return sc.parsed_responses(s.select("doc_id", labels.alias("labels"), raw.alias("raw")))
+
+
+@query
+def scored_once(spark, d):
+    """Texts scored once each by a deterministic model, spread over partitions."""
+    keyed = sc.with_key(art.aligned(b.articles(spark, d)))
+    raw = sc.raw_responses(sc.unique_texts(keyed), hash_scorer())
+    return sc.parsed_responses(raw).drop("embedding")
+
+
+@query
+def daily_sentiment(spark, d):
+    return _sentiment(spark, d, "2024-01-01")
+
+
+@query
+def daily_sentiment_with_copies(spark, d):
+    """The variant in which repeated texts count as often as they were published."""
+    keyed = sc.with_key(art.aligned(b.articles(spark, d), extra=("doc_id",)))
+    one = keyed.groupBy("text_hash").agg(F.min("doc_id").alias("doc_id"), F.max("Date").alias("Date"),
+                                         F.max("published_at").alias("published_at"), F.count("*").alias("n_copies"))
+    scores = sc.gate(one.join(b.article_scores(spark, d), "doc_id"))
+    return news.aggregate_daily(news.copies_per_day(keyed, scores), weight="n_rows")
+
+
+@query
+def buzz_momentum_lags(spark, d):
+    """Time-series features of a long daily series: session momentum and volume."""
+    days = b.daily_bars(spark, d).select(
+        "symbol", F.col("date").alias("Date"), ind.day_momentum().alias("weighted_impact"),
+        F.col("volume").alias("article_count"),
+    )
+    return news.with_time_series(days, by=("symbol",))
+
+
+@query
+def ewma(spark, d):
+    """EWMA with gaps: every seventh day of the month is missing."""
+    days = b.daily_bars(spark, d).select(
+        "symbol", "date", F.when(F.dayofmonth("date") % 7 != 0, F.col("close")).alias("value")
+    )
+    return ind.ewma(days, "value", "ewma_5")
+
+
+@query
+def tail_flags(spark, d):
+    days = b.daily_bars(spark, d).select("symbol", "date", ind.day_momentum().alias("weighted_impact"))
+    return news.with_tail_flags(days, by=("symbol",), date="date")
+
+
+@query
+def mean_embedding(spark, d):
+    """Mean vector per day, one row per element."""
+    scored = b.scored_articles(spark, d, embedding=True)
+    daily = scored.groupBy("Date").agg(news.mean_vector("embedding").alias("v"))
+    return daily.select("Date", F.posexplode("v").alias("pos", "value"))
+
+
+@query
+def news_topics(spark, d):
+    """Five principal components of the daily mean vectors (signs are arbitrary)."""
+    daily = news.aggregate_daily(b.scored_articles(spark, d, embedding=True), embedding=True)
+    return news.with_topics(daily, news.fit_topics(daily)).select("Date", *PCA_COLUMNS)
+
+
+# --- profiles, splits, metrics --------------------------------------------------
+
+@query
+def table_profile(spark, d):
+    return met.profile(b.daily_bars(spark, d), ["close", "volume"], "date", by=["symbol"])
+
+
+@query
+def article_days(spark, d):
+    return met.distinct_days(art.aligned(b.articles(spark, d)))
+
+
+@query
+def latest_rows(spark, d):
+    return met.latest_rows(b.daily_bars(spark, d), 5)
+
+
+@query
+def previous_day(spark, d):
+    return met.previous_day(b.daily_bars(spark, d), AS_OF)
+
+
+@query
+def numeric_coercion(spark, d):
+    """Text that is no number becomes NULL."""
+    text = F.regexp_extract("props", r'"k": (\d*)', 1)
+    odd = F.when(F.col("event_id") % 3 == 0, F.concat(text, F.lit("x"))).otherwise(text)
+    return b.table(spark, d, "events").select("event_id", as_double(odd).alias("k"))
+
+
+def _har(spark, d):
+    return ses.realized_range(b.daily_bars(spark, d))
+
+
+@query
+def chrono_split(spark, d):
+    split = met.chronological_split(_har(spark, d))
+    return split.groupBy("split", "symbol").agg(
+        F.count("*").alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date")
+    )
+
+
+@query
+def baseline_metrics(spark, d):
+    """Yesterday's range and the 5- and 22-session means as predictors."""
+    w = ind.by_date()
+    rows = _har(spark, d).withColumn("prev_day_range", F.lag("realized_range").over(w))
+    return met.compare_predictors(
+        rows, "target", {"persist": "prev_day_range", "rv_lag_5": "rv_lag_5", "rv_lag_22": "rv_lag_22"}
+    )
+
+
+MODEL_FEATURES = ["rv_lag_5", "rv_lag_22", "prev_day_range", "prev_rth_momentum", "relative_volume"]
+
+
+def _model_rows(spark, d):
+    daily = b.daily_bars(spark, d).withColumn("relative_volume", ind.relative_volume())
+    daily = daily.withColumns({"prev_day_range": ind.day_range(), "prev_rth_momentum": ind.day_momentum()})
+    shifted = ind.lagged(daily, ["relative_volume", "prev_day_range", "prev_rth_momentum"])
+    rows = shifted.select("symbol", "date", *MODEL_FEATURES[2:]).join(_har(spark, d), ["symbol", "date"])
+    return rows.filter("target IS NOT NULL")
+
+
+_PARAMS = {"maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8, "featureShare": 1.0,
+           "minInstancesPerNode": 3, "gamma": 0.0}
+
+
+@query
+def fit_predict(spark, d):
+    """Train on the first 80 % of the days, predict the rest."""
+    split = met.chronological_split(_model_rows(spark, d)).persist()
+    model = ml.fit("mae", split.filter("split <> 'test'"), MODEL_FEATURES, ["rv_lag_22"], _PARAMS, rounds=10)
+    return ml.predict(model, split.filter("split = 'test'"), MODEL_FEATURES).select(
+        "symbol", "date", "target", "predicted_range"
+    )
+
+
+@query
+def param_search(spark, d):
+    """Two seeded draws scored on the chronological validation days."""
+    split = met.chronological_split(_model_rows(spark, d)).persist()
+    trials = ml.search("mae", split.filter("split = 'train'"), split.filter("split = 'validation'"),
+                       MODEL_FEATURES, ["rv_lag_22"], trials=2, max_rounds=10)
+    rows = [(i, t.score, t.best_iter, t.collapsed) for i, t in enumerate(trials)]
+    return spark.createDataFrame(rows, "trial INT, score DOUBLE, best_iter INT, collapsed BOOLEAN")
+
+
+@query
+def importance(spark, d):
+    rows = _model_rows(spark, d)
+    model = ml.fit("mae", rows, MODEL_FEATURES, ["rv_lag_22"], _PARAMS, rounds=10)
+    return ml.importance(model, MODEL_FEATURES, ["rv_lag_22"])
+
+
+# --- ledger and report ----------------------------------------------------------
+
+def _predictions(spark, d, symbol="A", open_days=20):
+    """B6: predicted = mean of the previous five; the last 20 dates are pending."""
+    w = ind.by_date().rowsBetween(-5, -1)
+    newest = Window.partitionBy("symbol").orderBy(F.col("date").desc())
+    ranged = b.daily_bars(spark, d).filter(F.col("symbol") == symbol).select(
+        "symbol", "date", ind.day_range().alias("realized_range")
+    )
+    rows = ranged.select(
+        "symbol", "date",
+        F.avg("realized_range").over(w).alias("predicted_range"),
+        "realized_range", F.row_number().over(newest).alias("rn"),
+    ).filter("predicted_range IS NOT NULL")
+    actual = F.when(F.col("rn") > open_days, F.col("realized_range"))
+    return rows.select(
+        "symbol", "date", "predicted_range", actual.alias("actual_range"),
+        F.abs(F.col("predicted_range") - actual).alias("abs_error"),
+    ), ranged
+
+
+@query
+def settlement(spark, d):
+    """Pending predictions settle where the session is known; the last five stay open."""
+    predictions, realized = _predictions(spark, d)
+    last_open = met.latest_rows(realized, 5).select("symbol", "date")
+    return led.settle(predictions, realized.join(last_open, ["symbol", "date"], "left_anti"))
+
+
+@query
+def ledger_upsert(spark, d):
+    """The last 30 days are predicted again, together with one more symbol."""
+    predictions, realized = _predictions(spark, d)
+    again = met.latest_rows(predictions, 30).withColumn("predicted_range", F.col("predicted_range") * 2)
+    other, _ = _predictions(spark, d, symbol="R")
+    return led.upsert(predictions, again.unionByName(other))
+
+
+@query
+def rolling_error(spark, d):
+    return led.rolling_error(_predictions(spark, d)[0])
+
+
+@query
+def last_settled(spark, d):
+    return led.last_settled(_predictions(spark, d)[0])
+
+
+@query
+def range_band(spark, d):
+    predictions, realized = _predictions(spark, d)
+    history = rep.range_history(realized, predictions)
+    rows = predictions.select("symbol", "date", "predicted_range").join(history, ["symbol", "date"])
+    return rows.withColumn("band", rep.range_band("predicted_range", "p25", "p75", "n_ranges"))
+
+
+@query
+def tone_label(spark, d):
+    days = b.daily_bars(spark, d).select("symbol", "date", ind.day_momentum().alias("weighted_impact"))
+    return rep.tone_history(days).withColumn("tone", rep.tone_label("share_below", "n_impacts"))
+
+
+@query
+def forecast_report(spark, d):
+    """The nested message of every prediction, with its interval and band."""
+    predictions, realized = _predictions(spark, d)
+    rows = predictions.select("symbol", "date", "predicted_range")
+    rows = rows.join(rep.range_history(realized, rows), ["symbol", "date"], "left")
+    lags = ses.realized_range(b.daily_bars(spark, d)).select("symbol", "date", "rv_lag_5")
+    rows = rows.join(lags, ["symbol", "date"], "left").join(led.last_settled(predictions), "symbol", "left")
+    message = rep.forecast_report(rows)
+    low, high = rep.interval("predicted_range", F.lit(None).cast("double"))
+    keyed = rows.select("symbol", "date", low.alias("low_bps"), high.alias("high_bps"),
+                        rep.edge_bps("predicted_range", "rv_lag_5").alias("edge_bps"))
+    return message.select("symbol", "date", "title", "description", "band", "color",
+                          F.element_at("fields", 1)["value"].alias("last_settled"),
+                          F.size("fields").alias("n_fields")).join(keyed, ["symbol", "date"])
+
+
+# --- streaming --------------------------------------------------------------------
+
+def _ticks(spark, d):
+    """The events as a file stream of one-tick bars."""
+    path = f"{d}/events.parquet"
+    ticks = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    price = 100 + F.col("value")
+    return ticks.select(
+        F.col("event_type").alias("symbol"), "ts", *[price.alias(c) for c in ("open", "high", "low", "close")],
+        F.lit(1.0).alias("volume"),
+    )
+
+
+def _drain(spark, stream, name):
+    return st.run_to_table(stream, shared_dir(spark, name), shared_dir(spark, f"{name}-checkpoint"))
+
+
+@query
+def stream_dedupe(spark, d):
+    """Every tick arrives twice; one survives."""
+    twice = _ticks(spark, d).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    return _drain(spark, st.dedupe_bars(twice).drop("event_time"), "dedupe")
+
+
+@query
+def stream_sessions(spark, d):
+    return _drain(spark, st.sessions(_ticks(spark, d)), "sessions")
+
+
+@query
+def stream_articles(spark, d):
+    path = f"{d}/documents.parquet"
+    documents = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    boxed = st.articles(b.as_articles(documents))
+    return _drain(spark, boxed, "articles").select(
+        "Date", "published_at", content_key(F.col("news_text")).alias("text_hash")
+    )
+
+
+@query
+def stream_append(spark, d):
+    """Bar table kept by a stream, read back from its month partitions."""
+    path = shared_dir(spark, "bars")
+    st.maintain_bars(_ticks(spark, d), path, shared_dir(spark, "bars-checkpoint")).awaitTermination()
+    return src.read_stamped(spark, path).select("symbol", "ts", "close", "volume", "et_date", "et_second", "et_month")
+
+
+@query
+def stream_snapshot(spark, d):
+    """Pre-market features emitted once each snapshot has passed."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        # tick streams name their half hours, so the half-hour clock applies
+        bars = _ticks(spark, d).withColumn("ts", F.window("ts", "30 minutes")["start"])
+        return _drain(spark, st.snapshot_features(bars, b.CLOCK), "snapshot")
+    finally:
+        spark.conf.set(key, before)

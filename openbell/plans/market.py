@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from openbell.functions.clock import ONE_MINUTE, SessionClock, lookback, up_to
@@ -13,6 +13,7 @@ from openbell.operators.contracts import check_collisions, check_schema, check_u
 from openbell.operators.dedup import keep_last
 from openbell.operators.indicators import lagged, with_technicals
 from openbell.operators.sessions import daily_anchors_wide, label, with_premarket
+from openbell.operators.trailing import answers, positioned, prior
 from openbell.schemas import PREMARKET, TECHNICALS
 
 KEY = ["symbol", "date"]
@@ -120,30 +121,17 @@ def features_for_dates(
     """Feature rows to score, for any set of (symbol, date), settled or not.
 
     Range lags are means over the last 5 and 22 sessions strictly before the
-    date: wanted days join the realized series as rows without a value, which
-    an ordered window then skips. Every requested row must come out complete;
-    ``check_scoring_rows`` names what is missing.
+    date. Every requested row must come out complete; ``check_scoring_rows``
+    names what is missing.
     """
-    known = realized.filter("realized_range IS NOT NULL").select(*KEY, "realized_range")
-    asked = wanted.select(*KEY).distinct().withColumn("_asked", F.lit(True))
-    series = known.join(asked, KEY, "full_outer")
-    # Number the sessions so that a frame counts sessions, not rows: with k of them
-    # before a day, a settled day sits at 2k+2 and an unsettled one at 2k+1. The n
-    # sessions before either lie in the value range [-2n, -1].
-    before = Window.partitionBy("symbol").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
-    settled = F.col("realized_range").isNotNull()
-    series = series.withColumn("_k", F.count("realized_range").over(before)).withColumn(
-        "_pos", 2 * F.col("_k") + F.when(settled, 2).otherwise(1)
-    )
-    by_position = Window.partitionBy("symbol").orderBy("_pos")
+    series = positioned(realized, wanted, "realized_range")
 
     def trailing(n: int):
-        mean = F.avg("realized_range").over(by_position.rangeBetween(-2 * n, -1))
-        return F.when(F.col("_k") >= 22, mean)
+        return F.when(F.col("_k") >= 22, F.avg("realized_range").over(prior(n)))
 
-    lags = series.withColumns({"rv_lag_5": trailing(5), "rv_lag_22": trailing(22)}).filter(
-        "_asked"
-    ).select(*KEY, F.col("_k").alias("prior_sessions"), "rv_lag_5", "rv_lag_22")
+    lags = answers(series, {
+        "prior_sessions": F.col("_k"), "rv_lag_5": trailing(5), "rv_lag_22": trailing(22),
+    })
     level_keys = [k for k in KEY if k in level.columns]
     return (
         lags.join(model_data.drop("y").withColumn("has_features", F.lit(True)), KEY, "left")

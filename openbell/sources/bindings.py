@@ -72,10 +72,6 @@ def line_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seven years of half-hour bars: every line falls into one of six session
     slots, chosen by its keys. Long enough for 200- and 252-row windows."""
     slot = F.pmod(F.col("l_orderkey") + F.col("l_linenumber") + F.col("l_partkey"), F.lit(len(SLOTS)))
-    hhmm = F.element_at(F.array(*[F.lit(s) for s in SLOTS]), (slot + 1).cast("int"))
-    local = F.to_timestamp_ntz(
-        F.concat(F.col("day").cast("string"), F.lit(" "), hhmm), F.lit("yyyy-MM-dd HH:mm")
-    )
     lines = _line_prices(spark, sf_dir)
     bars = _ohlcv(lines.groupBy("symbol", "day", slot.alias("slot")))
     hhmm = F.element_at(F.array(*[F.lit(s) for s in SLOTS]), (F.col("slot") + 1).cast("int"))
@@ -87,13 +83,13 @@ def line_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def articles(spark: SparkSession, sf_dir: str, start: str = "2024-01-01") -> DataFrame:
+def as_articles(documents: DataFrame, start: str = "2024-01-01") -> DataFrame:
     """B3: one article per document, 127 minutes apart. The title is the first 60
     characters and the description all the rest, so no text is cut."""
     at = F.lit(f"{start} 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
         mins=(F.col("doc_id") * 127).cast("int")
     )
-    return table(spark, sf_dir, "documents").select(
+    return documents.select(
         "doc_id",
         at.alias("published_at"),
         F.substring("text", 1, 60).alias("title"),
@@ -102,6 +98,10 @@ def articles(spark: SparkSession, sf_dir: str, start: str = "2024-01-01") -> Dat
     )
 
 
+def articles(spark: SparkSession, sf_dir: str, start: str = "2024-01-01") -> DataFrame:
+    return as_articles(table(spark, sf_dir, "documents"), start)
+
+
 def article_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B4: class probabilities and tier-2 scores per document, by arithmetic."""
     return table(spark, sf_dir, "documents").selectExpr(
