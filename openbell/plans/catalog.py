@@ -33,11 +33,13 @@ from openbell.streaming import jobs as st
 QUERIES: dict = {}
 
 
-def query(fn):
+def query(fn=None, *, digits: int = 6):
     """Register under the function's name; doubles are rounded for comparison."""
+    if fn is None:
+        return lambda f: query(f, digits=digits)
 
     def run(spark, sf_dir) -> DataFrame:
-        return round_doubles(fn(spark, sf_dir))
+        return round_doubles(fn(spark, sf_dir), digits)
 
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
     QUERIES[fn.__name__] = run
@@ -304,7 +306,7 @@ def trim_half_open(spark, d):
     return src.trim(b.event_bars(spark, d), OVERLAP_FROM, SPLIT_AT)
 
 
-@query
+@query(digits=8)
 def lookback(spark, d):
     return clock_lookback(b.daily_bars(spark, d), dt.date(2000, 6, 30), years=2)
 
@@ -333,7 +335,7 @@ def articles_merged(spark, d):
     base = b.articles(spark, d).select("title", "published_at", "description", F.lit(1).cast("bigint").alias("load_seq"))
     since = dt.datetime(2024, 2, 1, 13)
     revised = base.filter(F.col("published_at") >= F.lit(dt.datetime(2024, 1, 31)).cast("timestamp_ntz"))
-    revised = revised.withColumns({"load_seq": F.lit(2).cast("bigint"), "description": F.upper("description")})
+    revised = revised.withColumns({"load_seq": F.lit(2).cast("bigint"), "description": F.concat("description", F.lit(" (updated)"))})
     merged = art.merged(base, revised, since)
     return merged.select("title", "published_at", "load_seq", content_key(F.col("description")).alias("text_key"))
 
@@ -456,7 +458,7 @@ def buzz_momentum_lags(spark, d):
 def ewma(spark, d):
     """EWMA with gaps: every seventh day of the month is missing."""
     days = b.daily_bars(spark, d).select(
-        "symbol", "date", F.when(F.dayofmonth("date") % 7 != 0, F.col("close")).alias("value")
+        "symbol", "date", F.when(F.dayofmonth("date") % 7 != 0, ind.day_momentum()).alias("value")
     )
     return ind.ewma(days, "value", "ewma_5")
 
@@ -494,7 +496,7 @@ def article_days(spark, d):
     return met.distinct_days(art.aligned(b.articles(spark, d)))
 
 
-@query
+@query(digits=8)
 def latest_rows(spark, d):
     return met.latest_rows(b.daily_bars(spark, d), 5)
 
@@ -657,10 +659,14 @@ def forecast_report(spark, d):
 
 # --- streaming --------------------------------------------------------------------
 
+def _file_stream(spark, d, name):
+    schema = spark.read.parquet(f"{d}/{name}.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(d)
+
+
 def _ticks(spark, d):
     """The events as a file stream of one-tick bars."""
-    path = f"{d}/events.parquet"
-    ticks = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    ticks = _file_stream(spark, d, "events")
     price = 100 + F.col("value")
     return ticks.select(
         F.col("event_type").alias("symbol"), "ts", *[price.alias(c) for c in ("open", "high", "low", "close")],
@@ -686,9 +692,10 @@ def stream_sessions(spark, d):
 
 @query
 def stream_articles(spark, d):
-    path = f"{d}/documents.parquet"
-    documents = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    boxed = st.articles(b.as_articles(documents))
+    """Every article is delivered twice; one survives."""
+    documents = _file_stream(spark, d, "documents")
+    twice = documents.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    boxed = st.articles(b.as_articles(twice))
     return _drain(spark, boxed, "articles").select(
         "Date", "published_at", content_key(F.col("news_text")).alias("text_hash")
     )
@@ -708,9 +715,11 @@ def stream_snapshot(spark, d):
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)
     spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    # a stream of real bars: the batch bars, written where a file stream finds them
+    path = shared_dir(spark, "event-bars")
+    b.event_bars(spark, d).write.parquet(path)
+    bars = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
     try:
-        # tick streams name their half hours, so the half-hour clock applies
-        bars = _ticks(spark, d).withColumn("ts", F.window("ts", "30 minutes")["start"])
         return _drain(spark, st.snapshot_features(bars, b.CLOCK), "snapshot")
     finally:
         spark.conf.set(key, before)

@@ -64,7 +64,8 @@ def prepare_sentiment(daily: DataFrame, seq: str | None = None) -> DataFrame:
     """``Date`` becomes the plain-date key ``date``; the newest row per day wins
     when the table carries a load number."""
     require_columns(daily, ["Date"], "sentiment")
-    out = daily.withColumn("date", F.to_date("Date")).drop("Date")
+    features = [c for c in daily.columns if c != "Date"]
+    out = daily.select(F.to_date("Date").alias("date"), *features)
     return keep_last(out, ["date"], seq).drop(seq) if seq else out
 
 

@@ -45,7 +45,7 @@ def connect(sf_dir: str):
 def normal(rows: list[tuple], order: list[int]) -> list[tuple]:
     def cell(v):
         if isinstance(v, float):
-            return f"{v:.6f}"
+            return f"{v:.8f}"
         if isinstance(v, (list, tuple)):
             return "[" + ",".join(cell(x) for x in v) + "]"
         return "\0" if v is None else str(v)
@@ -55,9 +55,11 @@ def normal(rows: list[tuple], order: list[int]) -> list[tuple]:
 
 def compare(df, con, sql: str) -> str | None:
     """None when equal, else what differs."""
+    t0 = time.time()
     result = con.execute(sql)
     names = [c[0] for c in result.description]
     expected = normal(result.fetchall(), sorted(range(len(names)), key=lambda i: names[i]))
+    compare.sql_seconds = time.time() - t0
     if sorted(df.columns) != sorted(names):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
     actual = normal(
@@ -87,6 +89,7 @@ def main() -> int:
             if name in oracles:
                 problem = compare(fn(spark, sf_dir), con, oracles[name])
                 note = "ok" if problem is None else f"DIFF {problem}"
+                note += f" (sql {compare.sql_seconds:.2f}s)"
             else:
                 note = f"rows-only {fn(spark, sf_dir).count()}"
         except Exception as e:  # noqa: BLE001 - report and go on
