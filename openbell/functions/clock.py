@@ -42,18 +42,24 @@ HALF_HOUR = SessionClock(rth_last="15:30", pre_last="08:30")
 
 
 def wall_clock(ts, tz: str = NEW_YORK) -> Column:
-    """UTC instant -> local wall time (timestamp without zone)."""
+    """UTC instant -> local wall time (timestamp without zone).
+
+    from_utc_timestamp resolves a literal zone once per task; the session zone
+    must be UTC for the casts to keep the value.
+    """
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), ts.cast("timestamp_ntz"))
+    return F.from_utc_timestamp(ts.cast("timestamp"), tz).cast("timestamp_ntz")
 
 
 def from_wall_clock(ts, tz: str) -> Column:
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.convert_timezone(F.lit(tz), F.lit("UTC"), ts.cast("timestamp_ntz"))
+    return F.to_utc_timestamp(ts.cast("timestamp"), tz).cast("timestamp_ntz")
 
 
 def second_of_day(local) -> Column:
-    return F.hour(local) * 3600 + F.minute(local) * 60 + F.second(local).cast("int")
+    """One arithmetic expression over the local time: filters repeat it once per
+    comparison, and each hour()/minute()/second() would repeat the conversion."""
+    return F.pmod(F.unix_seconds(local.cast("timestamp")), F.lit(86400)).cast("int")
 
 
 def is_weekday(date) -> Column:

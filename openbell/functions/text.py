@@ -5,20 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace as Python's str.strip() sees it (Spark's trim strips
-# spaces only, and a regex \s is ASCII only).
+# The characters Python's str.strip() removes (Spark's trim alone
+# removes spaces only). Trimming by a character set looks at the ends of a text;
+# a regex would walk all of it.
 WHITESPACE = (
-    "[\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
-    "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 JSON_FRAGMENT = r"\{[^{}]+\}"
 
 
 def strip(c) -> Column:
-    filled = F.coalesce(c, F.lit(""))
-    return F.regexp_replace(
-        F.regexp_replace(filled, f"^{WHITESPACE}+", ""), f"{WHITESPACE}+\\z", ""
-    )
+    return F.btrim(F.coalesce(c, F.lit("")), F.lit(WHITESPACE))
 
 
 def news_text(title="title", description="description") -> Column:

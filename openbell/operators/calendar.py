@@ -89,20 +89,23 @@ def calendar_features(bounds: DataFrame, fomc: DataFrame) -> DataFrame:
 
     The table has one row per calendar day, whatever the size of the fact tables.
     """
-    days = business_days(bounds).withColumns({
-        f"dow_{name}": (F.weekday("date") == k).cast("tinyint") for k, name in enumerate(DOW_NAMES)
-    })
+    days = business_days(bounds)
     expiries = expiry_days(bounds)
     quarterly = expiries.filter(F.month("date").isin(3, 6, 9, 12))
     days = event_flag(next_event(days, fomc, "days_to_fomc"), fomc, "is_fomc_day")
     days = event_flag(next_event(days, expiries, "days_to_opex"), quarterly, "is_quarterly_opex")
-    return days.withColumns({
-        "days_to_fomc": F.col("days_to_fomc").cast("double"),
+    # the one-hots come last: every join on date would copy their constraints
+    return days.select(
+        "date",
+        *[(F.weekday("date") == k).cast("tinyint").alias(f"dow_{n}") for k, n in enumerate(DOW_NAMES)],
+        F.col("days_to_fomc").cast("double").alias("days_to_fomc"),
+        "is_fomc_day",
         # the expiry list always reaches past the end: a gap is a bug, not data
-        "days_to_opex": F.coalesce(
+        F.coalesce(
             "days_to_opex", F.raise_error(F.lit("no expiry on or after a calendar day")).cast("int")
-        ),
-    })
+        ).alias("days_to_opex"),
+        "is_quarterly_opex",
+    )
 
 
 def default_bounds(spark: SparkSession, start=DEFAULT_START, end=DEFAULT_END) -> DataFrame:

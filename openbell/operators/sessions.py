@@ -83,12 +83,8 @@ def daily_anchors_wide(bars: DataFrame, clock: SessionClock = ONE_MINUTE) -> Dat
     date = F.when(evening, F.date_add("et_date", 1)).otherwise(F.col("et_date"))
     rth = _ohlcv(clock, "rth_open", "rth_last")
     pre = _ohlcv(clock, "pre_start", "pre_last")
-    relevant = (
-        evening
-        | _exactly(clock, "snapshot")
-        | _within(clock, "pre_start", "pre_last")
-        | _within(clock, "rth_open", "rth_last")
-    )
+    # a coarse range on purpose: the aggregates pick their own bars out of it
+    relevant = evening | _within(clock, "pre_start", "rth_last")
 
     def exact(name: str, c: str) -> Column:
         return F.max(_only(_exactly(clock, name), c))

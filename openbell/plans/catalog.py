@@ -24,7 +24,7 @@ from openbell.operators import sessions as ses
 from openbell.plans import market
 from openbell.plans.scorers import hash_scorer
 from openbell.schemas import DAILY_SENTIMENT, PCA_COLUMNS
-from openbell.session import shared_dir
+from openbell.session import materialize, shared_dir
 from openbell.sources import articles as art
 from openbell.sources import bars as src
 from openbell.sources import bindings as b
@@ -390,7 +390,9 @@ def retry_merge(spark, d):
 @query
 def scores_on_copies(spark, d):
     """Scores joined back to every article row that carries the text."""
-    keyed = sc.with_key(art.aligned(b.articles(spark, d), extra=("doc_id",)))
+    keyed = sc.with_key(art.aligned(b.articles(spark, d), extra=("doc_id",))).drop("news_text")
+    # keys are read several times below: hash the texts once and keep the table
+    keyed = materialize(keyed, "article-keys")
     one = keyed.groupBy("text_hash").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n_copies"))
     scores = one.join(b.article_scores(spark, d).withColumnRenamed("doc_id", "first_doc"), "first_doc")
     out = sc.spread_to_copies(keyed, scores.drop("first_doc"), hot_copies=3)

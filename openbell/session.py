@@ -22,6 +22,9 @@ def recommended_conf() -> dict[str, str]:
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # every derived column of a wide feature table is a constraint, and joins of
+        # such tables multiply them: seconds to minutes of planning for nothing
+        "spark.sql.constraintPropagation.enabled": "false",
         # a mean vector per day keeps one object buffer per key; the default
         # of 128 keys would fall back to sorting the whole partition
         "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",

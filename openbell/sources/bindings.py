@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from openbell.functions.clock import HALF_HOUR, NEW_YORK, from_wall_clock, is_weekday
+from openbell.functions.clock import HALF_HOUR, NEW_YORK, from_wall_clock, is_weekday, seconds
 from openbell.sources.bars import SourceConfig
 
 CLOCK = HALF_HOUR
@@ -70,16 +70,16 @@ def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seven years of half-hour bars: every line falls into one of six session
-    slots, chosen by its keys. Long enough for 200- and 252-row windows."""
+    slots, chosen by its keys. Long enough for 200- and 252-row windows. The bars
+    come stamped with their local day and second, as a stored bar table is."""
     slot = F.pmod(F.col("l_orderkey") + F.col("l_linenumber") + F.col("l_partkey"), F.lit(len(SLOTS)))
     lines = _line_prices(spark, sf_dir)
     bars = _ohlcv(lines.groupBy("symbol", "day", slot.alias("slot")))
-    hhmm = F.element_at(F.array(*[F.lit(s) for s in SLOTS]), (F.col("slot") + 1).cast("int"))
-    local = F.to_timestamp_ntz(
-        F.concat(F.col("day").cast("string"), F.lit(" "), hhmm), F.lit("yyyy-MM-dd HH:mm")
-    )
+    second = F.element_at(F.array(*[F.lit(seconds(s)) for s in SLOTS]), (F.col("slot") + 1).cast("int"))
+    local = F.col("day").cast("timestamp_ntz") + F.make_dt_interval(secs=second)
     return bars.select(
-        "symbol", from_wall_clock(local, NEW_YORK).alias("ts"), "open", "high", "low", "close", "volume"
+        "symbol", from_wall_clock(local, NEW_YORK).alias("ts"), "open", "high", "low", "close", "volume",
+        F.col("day").alias("et_date"), second.alias("et_second"),
     )
 
 
