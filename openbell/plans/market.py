@@ -19,6 +19,10 @@ from openbell.schemas import PREMARKET, TECHNICALS
 KEY = ["symbol", "date"]
 
 
+def _key_first(df: DataFrame) -> DataFrame:
+    return df.select(*KEY, *[c for c in df.columns if c not in KEY])
+
+
 def feature_matrix(
     bars: DataFrame,
     clock: SessionClock = ONE_MINUTE,
@@ -99,7 +103,7 @@ def merge_features(
     out = market
     for df in (macro, sentiment, calendar):
         out = out.join(df, [k for k in KEY if k in df.columns], "inner")
-    out = up_to(out, cutoff)
+    out = _key_first(up_to(out, cutoff))
     return out if keep_unsettled else out.filter("y IS NOT NULL")
 
 
@@ -108,12 +112,8 @@ def assemble(model_data: DataFrame, ranges: DataFrame, level: DataFrame) -> Data
     the volatility level (left, may be missing), rows without target dropped."""
     lags = ranges.select(*KEY, "rv_lag_5", "rv_lag_22", "target")
     level_keys = [k for k in KEY if k in level.columns]
-    return (
-        model_data.drop("y")
-        .join(lags, KEY, "inner")
-        .join(level, level_keys, "left")
-        .filter("target IS NOT NULL")
-    )
+    joined = model_data.drop("y").join(lags, KEY, "inner").join(level, level_keys, "left")
+    return _key_first(joined.filter("target IS NOT NULL"))
 
 
 def features_for_dates(
@@ -134,10 +134,10 @@ def features_for_dates(
         "prior_sessions": F.col("_k"), "rv_lag_5": trailing(5), "rv_lag_22": trailing(22),
     })
     level_keys = [k for k in KEY if k in level.columns]
-    return (
-        lags.join(model_data.drop("y").withColumn("has_features", F.lit(True)), KEY, "left")
-        .join(level, level_keys, "left")
-        .withColumn("has_features", F.coalesce("has_features", F.lit(False)))
+    features = model_data.drop("y").withColumn("has_features", F.lit(True))
+    joined = lags.join(features, KEY, "left").join(level, level_keys, "left")
+    return _key_first(
+        joined.withColumn("has_features", F.coalesce("has_features", F.lit(False)))
     )
 
 
