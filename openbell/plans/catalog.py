@@ -650,7 +650,7 @@ def forecast_report(spark, d):
     rows = rows.join(rep.range_history(realized, rows), ["symbol", "date"], "left")
     lags = ses.realized_range(b.daily_bars(spark, d)).select("symbol", "date", "rv_lag_5")
     rows = rows.join(lags, ["symbol", "date"], "left").join(led.last_settled(predictions), "symbol", "left")
-    message = rep.forecast_report(rows)
+    message = rep.forecast_report(rows, "S&P 500")
     low, high = rep.interval("predicted_range", F.lit(None).cast("double"))
     keyed = rows.select("symbol", "date", low.alias("low_bps"), high.alias("high_bps"),
                         rep.edge_bps("predicted_range", "rv_lag_5").alias("edge_bps"))

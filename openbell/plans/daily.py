@@ -23,26 +23,28 @@ from openbell.operators import report as rep
 from openbell.operators import scoring as sc
 from openbell.operators import sessions as ses
 from openbell.plans import market
-from openbell.schemas import ARTICLES_RAW
+from openbell.schemas import DAILY_SENTIMENT
+from openbell.session import materialize
 from openbell.sources import articles as art
 from openbell.sources import bars as src
 from openbell.sources.store import TableStore
 
 REQUIRED = {
-    "bars": "append the bar history once with append_bars",
-    "articles": "land the article history once",
+    "bar_watermarks": "load the bar history once with seed_bars",
+    "articles_loaded": "load the article history once with seed_articles",
 }
 
 
 @dataclass(frozen=True)
 class Run:
-    """Settings of one daily run."""
+    """Settings of one daily run. ``batch`` grows with every day's load; running a
+    batch again replaces what that batch wrote."""
 
     store: TableStore
     as_of: dt.date
     batch: int
     scorer: sc.Scorer
-    instrument: str
+    instruments: tuple[str, ...]
     sources: list[src.SourceConfig]
     clock: SessionClock = ONE_MINUTE
     mode: str = "mae"
@@ -62,34 +64,82 @@ class Run:
     def level_symbol(self) -> str:
         return next(s.symbol for s in self.sources if s.source == self.level_source)
 
+    @property
+    def bars_path(self) -> str:
+        return f"{self.store.root}/bars"
+
+    @property
+    def articles_path(self) -> str:
+        return f"{self.store.root}/articles"
+
+
+# --- landing ------------------------------------------------------------------
+
+def _write_load(run: Run, fresh: DataFrame, batch: int) -> None:
+    """One folder per load, so a repeated load overwrites itself; the table of last
+    bars per symbol and load spares the next load a scan of the history."""
+    src.append_bars(fresh, f"{run.bars_path}/load={batch}", run.clock, mode="overwrite")
+    written = run.store.spark.read.parquet(f"{run.bars_path}/load={batch}")
+    marks = written.groupBy("symbol").agg(F.max("ts").alias("last_ts")).withColumn("load", F.lit(batch))
+    if run.store.exists("bar_watermarks"):
+        marks = run.store.read("bar_watermarks").filter(F.col("load") < batch).unionByName(marks)
+    run.store.replace("bar_watermarks", marks)
+
+
+def seed_bars(run: Run, history: DataFrame) -> None:
+    clean, _ = src.healed(history)
+    _write_load(run, clean, 0)
+
+
+def land_bars(run: Run, incoming: DataFrame) -> None:
+    """Append what extends each symbol; nothing is rewritten."""
+    known = run.store.read("bar_watermarks").filter(F.col("load") < run.batch)
+    known = known.select("symbol", F.col("last_ts").alias("ts"))
+    _write_load(run, src.new_bars(known, incoming, run.bound, keep="volume"), run.batch)
+
 
 def bars(run: Run) -> DataFrame:
     """Stored bars up to the snapshot bound, one more year than the lookback for
     the indicators to warm up; only those months are read."""
     first = (run.as_of.replace(day=1) - dt.timedelta(days=366 * (run.years + 1))).strftime("%Y-%m")
-    path = run.store.location("bars")
-    stored = src.read_stamped(run.store.spark, path, first, run.as_of.strftime("%Y-%m"))
+    stored = src.read_stamped(run.store.spark, run.bars_path, first, run.as_of.strftime("%Y-%m"))
     return stored.filter(F.col("ts") < F.lit(run.bound).cast("timestamp_ntz"))
 
 
-def land_bars(run: Run, incoming: DataFrame) -> None:
-    """Append what extends each symbol; nothing is rewritten."""
-    stored = run.store.read("bars")
-    fresh = src.new_bars(stored, incoming, run.bound, keep="volume")
-    src.append_bars(fresh, run.store.location("bars"), run.clock)
+def _write_articles(run: Run, rows: DataFrame) -> None:
+    """Replace the UTC days that ``rows`` covers, leave all others alone."""
+    by_day = rows.withColumn("day", F.to_date("published_at"))
+    (
+        by_day.hint("rebalance", "day").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(run.articles_path)
+    )
+    newest = rows.agg(F.max("published_at").alias("published_at"), F.lit(run.batch).alias("batch"))
+    run.store.replace("articles_loaded", newest)
+
+
+def seed_articles(run: Run, history: DataFrame) -> None:
+    _write_articles(run, art.landed(history))
 
 
-def land_articles(run: Run, incoming: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
-    existing = run.store.read("articles")
-    since = art.last_seen(existing)
+def articles(run: Run) -> DataFrame:
+    return run.store.spark.read.parquet(run.articles_path)
+
+
+def land_articles(run: Run, incoming: DataFrame, manifest: DataFrame | None = None) -> None:
+    """Take the load again from the last seen day on; earlier days are not read."""
+    since = art.last_seen(run.store.read("articles_loaded"))
     if manifest is not None:
         art.check_manifest(manifest, since.date(), run.as_of)
-    columns = [c.split()[0] for c in ARTICLES_RAW.split(", ")]
-    return run.store.replace("articles", art.merged(existing, incoming.select(*columns), since))
+    recent = articles(run).filter(F.col("day") >= F.lit(since.date())).drop("day")
+    merged = art.merged(recent, incoming.select(*recent.columns), since)
+    # the rewritten days are inputs too: write them aside before replacing them
+    _write_articles(run, materialize(merged, "articles"))
+
 
+# --- stages -------------------------------------------------------------------
 
 def score(run: Run) -> DataFrame:
-    aligned = art.aligned(run.store.read("articles"))
+    aligned = art.aligned(articles(run))
     return sc.score_articles(aligned, run.scorer, run.store, run.batch)
 
 
@@ -107,16 +157,8 @@ def sentiment(run: Run) -> DataFrame:
         topics.write().overwrite().save(path + "/model")
         # the marker makes the version visible, as Spark's own writes do
         run.store.spark.range(0).write.mode("append").parquet(path)
-    columns = ["Date", *news_columns()]
-    out = news.with_time_series(news.with_topics(daily, topics)).select(*columns)
-    flagged = news.with_tail_flags(out)
-    return run.store.replace("sentiment", flagged)
-
-
-def news_columns() -> list[str]:
-    from openbell.schemas import DAILY_SENTIMENT
-
-    return list(DAILY_SENTIMENT)
+    out = news.with_time_series(news.with_topics(daily, topics)).select("Date", *DAILY_SENTIMENT)
+    return run.store.replace("sentiment", news.with_tail_flags(out))
 
 
 def settle(run: Run) -> None:
@@ -133,7 +175,7 @@ def rebuild(run: Run) -> DataFrame:
     level = ses.asof_level(stored.filter(F.col("symbol") == run.level_symbol), run.clock, "vix_level")
     run.store.replace("level", level.drop("symbol"))
     matrix = run.store.replace("market", market.feature_matrix(
-        stored.filter(F.col("symbol") == run.instrument), run.clock, run.as_of, run.years, keep_unsettled=True
+        stored.filter(F.col("symbol").isin(*run.instruments)), run.clock, run.as_of, run.years, keep_unsettled=True
     ))
     macro = run.store.replace(
         "macro", lookback(ses.macro_features(stored, run.sources, run.clock), run.as_of, run.years)
@@ -152,6 +194,9 @@ def train(run: Run) -> tuple[PipelineModel, DataFrame]:
         run.store.read("model_data").filter("y IS NOT NULL"), run.store.read("ranges"), run.store.read("level")
     )
     names = run.features or [c for c in data.columns if c not in ("symbol", "date", "target")]
+    # a column without a single value cannot be imputed (tail flags in the first year)
+    filled = data.agg(*[F.count(c).alias(c) for c in names]).first()
+    names = [c for c in names if filled[c]]
     meta = run.store.read("model_meta") if run.store.exists("model_meta") else None
     nullable = [c for c in names if c in ("vix_level", "is_top_2pct_weighted_impact", "is_bot_2pct_weighted_impact")]
     model, new = ml.train_or_refit(
@@ -166,7 +211,7 @@ def train(run: Run) -> tuple[PipelineModel, DataFrame]:
 def predict(run: Run, model: PipelineModel, meta: DataFrame) -> DataFrame:
     """Score ``as_of`` and record it; returns the feature rows with predictions."""
     spark = run.store.spark
-    wanted = spark.createDataFrame([(run.instrument, run.as_of)], "symbol STRING, date DATE")
+    wanted = spark.createDataFrame([(s, run.as_of) for s in run.instruments], "symbol STRING, date DATE")
     rows = market.features_for_dates(
         run.store.read("model_data"), run.store.read("ranges"), run.store.read("level"), wanted
     )
@@ -205,7 +250,7 @@ def report(run: Run, scored: DataFrame, meta: DataFrame) -> DataFrame:
         .join(led.last_settled(run.store.read("predictions")), "symbol", "left")
         .withColumns(context)
     )
-    return run.store.replace("report", rep.forecast_report(rows, run.instrument))
+    return run.store.replace("report", rep.forecast_report(rows))
 
 
 def run_daily(

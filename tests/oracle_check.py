@@ -25,6 +25,7 @@ def session():
         .appName("openbell-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.constraintPropagation.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.bindAddress", "127.0.0.1")
