@@ -155,31 +155,53 @@ def spread_to_copies(
 
 
 def newest_scores(rows: DataFrame, seq: str = "updated_at") -> DataFrame:
-    """Checkpoint read: consolidated rows and deltas together, newest per text."""
+    """General checkpoint read: several rows of one text, newest wins."""
     return keep_last(rows, ["text_hash"], seq)
 
 
+def open_failures(rows: DataFrame) -> DataFrame:
+    """Texts whose tier 2 failed and has not recovered since."""
+    done = rows.filter("tier2_scored").select("text_hash")
+    return rows.filter(~F.col("tier2_scored")).join(done, "text_hash", "left_anti")
+
+
+def current_scores(rows: DataFrame) -> DataFrame:
+    """One row per text of a checkpoint written by ``score_articles``.
+
+    Such a text has at most one failed and one scored row, so dropping the
+    recovered failures is enough: vectors are neither sorted nor shuffled.
+    """
+    return rows.filter("tier2_scored").unionByName(open_failures(rows))
+
+
 def score_articles(
-    articles: DataFrame, scorer: Scorer, store: TableStore, batch: int, name: str = "article_scores"
+    articles: DataFrame,
+    scorer: Scorer,
+    store: TableStore,
+    batch: int,
+    name: str = "article_scores",
+    retry_from: DataFrame | None = None,
 ) -> DataFrame:
     """Score what the checkpoint lacks, retry what failed, return one row per text.
 
     Only new and recovered rows are appended, in one job, so every model is called
     once per text and history is not rewritten; ``batch`` is the load number that
-    orders several rows of one text. ``compact`` folds the deltas when convenient.
+    orders several rows of one text. ``retry_from`` holds the texts of failed
+    articles when ``articles`` is only the newest part. ``compact`` folds deltas.
     """
     keyed = with_key(articles)
-    known = newest_scores(upgraded(store.read(name))) if store.exists(name) else None
+    known = upgraded(store.read(name)) if store.exists(name) else None
     delta = parsed_responses(raw_responses(pending_texts(keyed, known), scorer))
     if known is not None:
-        failed = known.filter(~F.col("tier2_scored"))
-        texts = unique_texts(keyed.join(failed.select("text_hash"), "text_hash", "left_semi"))
+        failed = open_failures(known)
+        source = keyed if retry_from is None else with_key(retry_from)
+        texts = unique_texts(source.join(failed.select("text_hash"), "text_hash", "left_semi"))
         recovered = retry_merge(failed, retry_scores(failed, texts, scorer)).filter("tier2_scored")
         delta = delta.unionByName(recovered.drop("updated_at"))
     store.append(name, delta.withColumn("updated_at", F.lit(batch).cast("bigint")))
-    return newest_scores(store.read(name))
+    return current_scores(store.read(name))
 
 
 def compact(store: TableStore, name: str = "article_scores") -> DataFrame:
     """One row per text in a new version; readers switch when it is complete."""
-    return store.replace(name, newest_scores(store.read(name)))
+    return store.replace(name, current_scores(store.read(name)))

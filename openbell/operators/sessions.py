@@ -72,8 +72,12 @@ def session_ohlcv(
     return daily.filter(is_weekday("date") & (F.col("close") > 0))
 
 
-def daily_anchors_wide(bars: DataFrame, clock: SessionClock = ONE_MINUTE) -> DataFrame:
-    """All per-day inputs of the feature matrix, one shuffle over the bars.
+def daily_anchors_wide(
+    bars: DataFrame, clock: SessionClock = ONE_MINUTE, asof: bool = False
+) -> DataFrame:
+    """All per-day inputs of the feature matrix, one shuffle over the bars; with
+    ``asof`` also the macro anchors, so that one stored daily table serves every
+    builder and bars are read once per load.
 
     The evening bar opens the *next* trading day, so it is keyed one calendar
     day forward; no other column uses that bar.
@@ -84,11 +88,16 @@ def daily_anchors_wide(bars: DataFrame, clock: SessionClock = ONE_MINUTE) -> Dat
     rth = _ohlcv(clock, "rth_open", "rth_last")
     pre = _ohlcv(clock, "pre_start", "pre_last")
     # a coarse range on purpose: the aggregates pick their own bars out of it
-    relevant = evening | _within(clock, "pre_start", "rth_last")
+    until_close = F.col("et_second") <= clock.at("rth_last")
+    relevant = evening | (until_close if asof else _within(clock, "pre_start", "rth_last"))
 
     def exact(name: str, c: str) -> Column:
         return F.max(_only(_exactly(clock, name), c))
 
+    anchors = [
+        _asof_snapshot(clock).alias("snapshot_9am"),
+        _latest_row("close", until_close).alias("close_4pm"),
+    ]
     return (
         stamped.filter(relevant)
         .groupBy("symbol", date.alias("date"))
@@ -100,6 +109,7 @@ def daily_anchors_wide(bars: DataFrame, clock: SessionClock = ONE_MINUTE) -> Dat
             exact("rth_last", "close").alias("official_close"),
             exact("rth_open", "open").alias("cash_open"),
             exact("evening", "open").alias("evening_open"),
+            *(anchors if asof else []),
         )
         .withColumn(
             "has_session", F.coalesce(is_weekday("date") & (F.col("close") > 0), F.lit(False))
@@ -218,7 +228,12 @@ def macro_features(
     source traded stays, with NULLs for the other."""
     # the symbol filter reaches the scan before anything is aggregated
     chosen = bars.filter(F.col("symbol").isin([s.symbol for s in sources]))
-    long = macro_features_long(daily_anchors(chosen, clock), sources, n)
+    return macro_features_wide(daily_anchors(chosen, clock), sources, n)
+
+
+def macro_features_wide(anchors: DataFrame, sources: list[SourceConfig], n: int = 20) -> DataFrame:
+    """The same from ready anchors (symbol, date, snapshot_9am, close_4pm)."""
+    long = macro_features_long(anchors, sources, n)
     measures = ("overnight", f"dist_sma_{n}")
     return long.groupBy("date").agg(*[
         F.max(F.when(F.col("source") == s.source, F.col(m))).alias(f"{s.source}_{m}")

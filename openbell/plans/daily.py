@@ -14,7 +14,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from openbell.functions.clock import ONE_MINUTE, SessionClock, lookback, snapshot_bound
+from openbell.functions.clock import ONE_MINUTE, SessionClock, is_weekday, lookback, snapshot_bound
 from openbell.operators import calendar as cal
 from openbell.operators import daily_news as news
 from openbell.operators import ledger as led
@@ -68,6 +68,10 @@ class Run:
     def bars_path(self) -> str:
         return f"{self.store.root}/bars"
 
+    @property
+    def daily_path(self) -> str:
+        return f"{self.store.root}/daily"
+
     @property
     def articles_path(self) -> str:
         return f"{self.store.root}/articles"
@@ -98,12 +102,34 @@ def land_bars(run: Run, incoming: DataFrame) -> None:
     _write_load(run, src.new_bars(known, incoming, run.bound, keep="volume"), run.batch)
 
 
-def bars(run: Run) -> DataFrame:
-    """Stored bars up to the snapshot bound, one more year than the lookback for
-    the indicators to warm up; only those months are read."""
-    first = (run.as_of.replace(day=1) - dt.timedelta(days=366 * (run.years + 1))).strftime("%Y-%m")
-    stored = src.read_stamped(run.store.spark, run.bars_path, first, run.as_of.strftime("%Y-%m"))
-    return stored.filter(F.col("ts") < F.lit(run.bound).cast("timestamp_ntz"))
+def refresh_daily(run: Run) -> None:
+    """Bring the per-day table up to date: one aggregation over the months that
+    loads since the last refresh have touched, whatever the length of history."""
+    spark, built = run.store.spark, -1
+    if run.store.exists("daily_built"):
+        built = min(run.store.read("daily_built").first()["load"], run.batch)
+    loads = spark.read.parquet(run.bars_path).filter(F.col("load").between(max(built, 0), run.batch))
+    month = loads.agg(F.min("et_month").alias("m")).first()["m"]
+    if month is not None:
+        first = dt.date.fromisoformat(f"{month}-01")
+        before = (first - dt.timedelta(days=1)).strftime("%Y-%m")
+        # the evening bar of a month's last day belongs to the next month
+        bars = src.read_stamped(spark, run.bars_path, before).filter(
+            F.col("ts") < F.lit(run.bound).cast("timestamp_ntz")
+        )
+        wide = ses.daily_anchors_wide(bars, run.clock, asof=True).filter(F.col("date") >= F.lit(first))
+        (
+            wide.withColumn("month", F.date_format("date", "yyyy-MM"))
+            .hint("rebalance", "month").write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(run.daily_path)
+        )
+    run.store.replace("daily_built", spark.range(1).select(F.lit(run.batch).alias("load")))
+
+
+def daily_table(run: Run) -> DataFrame:
+    """Per-day rows of the lookback, and one more year for indicators to warm up."""
+    first = (run.as_of - dt.timedelta(days=366 * (run.years + 1))).strftime("%Y-%m")
+    return run.store.spark.read.parquet(run.daily_path).filter(F.col("month") >= first).drop("month")
 
 
 def _write_articles(run: Run, rows: DataFrame) -> None:
@@ -139,15 +165,26 @@ def land_articles(run: Run, incoming: DataFrame, manifest: DataFrame | None = No
 # --- stages -------------------------------------------------------------------
 
 def score(run: Run) -> DataFrame:
-    aligned = art.aligned(articles(run))
-    return sc.score_articles(aligned, run.scorer, run.store, run.batch)
+    """Score the days landed since the last completed scoring, and retry failures
+    from the days they were published on; other days are not read."""
+    everything, recent, retry = articles(run), articles(run), None
+    if run.store.exists("scored_through"):
+        through = run.store.read("scored_through").first()["day"]
+        recent = everything.filter(F.col("day") >= F.lit(through))
+        failed = sc.open_failures(run.store.read("article_scores"))
+        days = failed.select(F.to_date("published_at").alias("day")).distinct()
+        retry = art.aligned(everything.join(days, "day", "left_semi"))
+    out = sc.score_articles(art.aligned(recent), run.scorer, run.store, run.batch, retry_from=retry)
+    newest = run.store.read("articles_loaded").select(F.to_date("published_at").alias("day"))
+    run.store.replace("scored_through", newest)
+    return out
 
 
 def sentiment(run: Run) -> DataFrame:
     """Daily table; the topic axes are fitted once and loaded ever after."""
     scored = run.store.read("article_scores")
     daily = run.store.replace(
-        "daily_scores", news.aggregate_daily(sc.newest_scores(scored), embedding=True)
+        "daily_scores", news.aggregate_daily(sc.current_scores(scored), embedding=True)
     )
     if run.store.exists("topics"):
         topics = PipelineModel.load(run.store.location("topics") + "/model")
@@ -168,18 +205,18 @@ def settle(run: Run) -> None:
 
 
 def rebuild(run: Run) -> DataFrame:
-    """Feature tables; the realized ranges are computed once and shared."""
-    spark, stored = run.store.spark, bars(run)
-    daily = ses.complete_sessions(ses.session_ohlcv(stored, run.clock), run.as_of)
-    run.store.replace("ranges", ses.realized_range(daily))
-    level = ses.asof_level(stored.filter(F.col("symbol") == run.level_symbol), run.clock, "vix_level")
-    run.store.replace("level", level.drop("symbol"))
-    matrix = run.store.replace("market", market.feature_matrix(
-        stored.filter(F.col("symbol").isin(*run.instruments)), run.clock, run.as_of, run.years, keep_unsettled=True
+    """Feature tables, all from the per-day table: no bar is read here."""
+    spark, stored = run.store.spark, daily_table(run)
+    sessions = ses.complete_sessions(stored.filter("has_session"), run.as_of)
+    run.store.replace("ranges", ses.realized_range(sessions))
+    level = stored.filter(F.col("symbol") == run.level_symbol).filter("snapshot_9am IS NOT NULL")
+    run.store.replace("level", level.select("date", F.col("snapshot_9am").alias("vix_level")))
+    matrix = run.store.replace("market", market.matrix_from_daily(
+        stored.filter(F.col("symbol").isin(*run.instruments)), run.as_of, run.years, keep_unsettled=True
     ))
-    macro = run.store.replace(
-        "macro", lookback(ses.macro_features(stored, run.sources, run.clock), run.as_of, run.years)
-    )
+    anchors = stored.filter(is_weekday("date") & F.coalesce("snapshot_9am", "close_4pm").isNotNull())
+    macro = ses.macro_features_wide(anchors, run.sources)
+    macro = run.store.replace("macro", lookback(macro, run.as_of, run.years))
     calendar = run.store.replace("calendar", cal.calendar_features(
         cal.default_bounds(spark, *run.calendar), cal.event_table(spark)
     ))
@@ -262,6 +299,7 @@ def run_daily(
         land_bars(run, new_bars)
     if new_articles is not None:
         land_articles(run, new_articles)
+    refresh_daily(run)
     score(run)
     sentiment(run)
     rebuild(run)

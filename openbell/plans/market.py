@@ -33,15 +33,28 @@ def feature_matrix(
     anchor: str = "exact",
 ) -> DataFrame:
     """(symbol, date, 4 pre-market, 16 lagged technicals, y), one row per day
-    with a snapshot bar.
+    with a snapshot bar. The bars are scanned and shuffled once."""
+    return matrix_from_daily(
+        daily_anchors_wide(bars, clock), as_of, years, keep_unsettled, drop_incomplete, anchor
+    )
+
+
+def matrix_from_daily(
+    daily: DataFrame,
+    as_of: dt.date | None = None,
+    years: int | None = 5,
+    keep_unsettled: bool = False,
+    drop_incomplete: bool = True,
+    anchor: str = "exact",
+) -> DataFrame:
+    """The feature matrix from the per-day table.
 
-    The bars are scanned and shuffled once. Pre-market values, technicals and
-    label then live on one daily frame, where each ``previous row`` is a window
-    partitioned by the flag that says which rows count for it, so the three
-    tables need no joins.
+    Pre-market values, technicals and label live on one frame, where each
+    ``previous row`` is a window partitioned by the flag that says which rows
+    count for it, so the three tables need no joins.
     """
     # one exchange by symbol serves every window below, whatever flag it adds
-    daily = daily_anchors_wide(bars, clock).repartition("symbol")
+    daily = daily.repartition("symbol")
     daily = with_premarket(daily, anchor).withColumn("y", label())
     today = F.lit(False) if as_of is None else F.col("date") == F.lit(as_of)
     daily = daily.withColumn("has_technicals", F.col("has_session") | today).drop(

@@ -2,9 +2,12 @@ import datetime as dt
 import tempfile
 
 from conftest import rows
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from openbell.functions.clock import from_wall_clock
+from openbell.operators import scoring as sc
+from openbell.operators.sessions import daily_anchors_wide
 from openbell.plans import daily
 from openbell.plans.scorers import hash_scorer
 from openbell.sources.bars import SourceConfig
@@ -66,14 +69,24 @@ def test_two_days_and_a_rerun(spark):
     assert stored.groupBy("symbol", "ts").count().filter("count > 1").count() == 0
     ledger = store.read("predictions")
     assert rows(ledger, "date", "actual_range") == [(today, None)]
-    n_bars, texts = stored.count(), store.read("article_scores").count()
+    n_bars, texts = stored.count(), sc.current_scores(store.read("article_scores")).count()
 
-    # the same day again changes nothing
-    again = daily.run_daily(run, history, news).collect()
-    assert again[0]["payload"] == report[0]["payload"]
+    # landing, scoring and predicting the same day again changes nothing
+    daily.land_bars(run, history)
+    daily.land_articles(run, news)
+    daily.refresh_daily(run)
+    daily.score(run)
+    daily.rebuild(run)
+    meta = store.read("model_meta")
+    daily.predict(run, PipelineModel.load(meta.first()["model_path"]), meta)
     assert spark.read.parquet(run.bars_path).count() == n_bars
-    assert store.read("article_scores").filter("tier2_scored").count() <= texts
-    assert rows(store.read("predictions"), "predicted_range") == rows(ledger, "predicted_range")
+    assert sc.current_scores(store.read("article_scores")).count() == texts
+    assert rows(store.read("predictions"), "date", "predicted_range") == rows(ledger, "date", "predicted_range")
+
+    # the stored daily table equals one built from all bars at once
+    wide = daily_anchors_wide(spark.read.parquet(run.bars_path), asof=True)
+    kept = spark.read.parquet(run.daily_path).select(*wide.columns)
+    assert wide.exceptAll(kept).count() == 0 and kept.exceptAll(wide).count() == 0
 
     # the next day settles the first and keeps its parameters
     searched = store.read("model_meta").first()["last_search"]
