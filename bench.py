@@ -1,7 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3 warm runs, the median counts).
+BENCH_RUNS (default 2 warm runs, the median counts).
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ def main() -> None:
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("openbell-bench")
     conf = recommended_conf() | {
         "spark.sql.shuffle.partitions": cpus,

@@ -183,19 +183,15 @@ def with_technicals(daily: DataFrame, group: tuple[str, ...] = ("symbol",)) -> D
     return full.withColumns(out).drop("atr_14", "macd", "macd_hist", "macd_signal")
 
 
-def with_placeholders(daily: DataFrame, as_of: dt.date | None) -> DataFrame:
-    """Add a row for ``as_of`` with NULL values to every symbol that lacks one,
-    so that lagging hands yesterday's values to a day without a session yet."""
-    if as_of is None:
-        return daily
+def placeholders(daily: DataFrame, as_of: dt.date) -> DataFrame:
+    """(symbol, date) rows for ``as_of`` of every symbol that has none."""
     day = F.lit(as_of)
-    missing = (
+    return (
         daily.groupBy("symbol")
         .agg(F.bool_or(F.col("date") == day).alias("present"))
         .filter(~F.col("present"))
         .select("symbol", day.alias("date"))
     )
-    return daily.unionByName(missing, allowMissingColumns=True)
 
 
 def lagged(daily: DataFrame, columns: list[str], group: tuple[str, ...] = ("symbol",)) -> DataFrame:
@@ -205,6 +201,13 @@ def lagged(daily: DataFrame, columns: list[str], group: tuple[str, ...] = ("symb
 
 
 def daily_technicals(daily: DataFrame, as_of: dt.date | None = None) -> DataFrame:
-    """(symbol, date, 16 features): each row holds the previous session's values."""
-    wide = with_technicals(daily.select(*KEY, *OHLCV)).select(*KEY, *TECHNICALS)
-    return lagged(with_placeholders(wide, as_of), TECHNICALS)
+    """(symbol, date, 16 features): each row holds the previous session's values.
+
+    ``as_of`` adds a row without values to symbols that have no session on that
+    day yet, so that the lag hands yesterday's values to it.
+    """
+    base = daily.select(*KEY, *OHLCV)
+    wide = with_technicals(base).select(*KEY, *TECHNICALS)
+    if as_of is not None:
+        wide = wide.unionByName(placeholders(base, as_of), allowMissingColumns=True)
+    return lagged(wide, TECHNICALS)

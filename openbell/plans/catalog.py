@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from openbell.functions.clock import article_date, wall_clock
+from openbell.functions.clock import article_date, is_weekday, wall_clock
 from openbell.functions.clock import lookback as clock_lookback
 from openbell.functions.numeric import as_double, round_doubles
 from openbell.functions.text import content_key
@@ -185,48 +185,54 @@ def _sentiment(spark, d, start):
     return daily.select("Date", *columns)
 
 
-def _calendar(spark, bounds):
-    return cal.calendar_features(bounds, cal.event_table(spark))
+def _calendar(spark, days):
+    """Calendar between the first and last day of a column: two scalars."""
+    span = days.agg(F.min("day").alias("start"), F.max("day").alias("end")).first()
+    return cal.calendar_features(cal.default_bounds(spark, *span), cal.event_table(spark))
 
 
-def _line_bounds(spark, d):
-    day = F.to_date("l_shipdate")
-    return b.table(spark, d, "lineitem").agg(F.min(day).alias("start"), F.max(day).alias("end"))
+def _daily_table(spark, d):
+    """The stored per-day table of the daily run: bars are read once for all."""
+    return materialize(ses.daily_anchors_wide(b.line_bars(spark, d), b.CLOCK, asof=True), "daily")
+
+
+def _anchors(daily):
+    return daily.filter(is_weekday("date") & F.coalesce("snapshot_9am", "close_4pm").isNotNull())
+
+
+def _ranges_and_level(daily):
+    ranges = ses.realized_range(daily.filter("has_session"))
+    level = daily.filter("symbol = 'N' AND snapshot_9am IS NOT NULL")
+    return ranges, level.select("date", F.col("snapshot_9am").alias("vix_level"))
 
 
 @query
 def model_matrix(spark, d):
     """Four-way checked merge: market, macro, sentiment, calendar."""
+    daily = _daily_table(spark, d)
     return market.merge_features(
-        _matrix(spark, d, as_of=AS_OF, years=None, keep_unsettled=True),
-        ses.macro_features(b.line_bars(spark, d), b.LINE_SOURCES, b.CLOCK),
+        market.matrix_from_daily(daily, AS_OF, years=None, keep_unsettled=True),
+        ses.macro_features_wide(_anchors(daily), b.LINE_SOURCES),
         market.prepare_sentiment(_sentiment(spark, d, "1996-01-01")),
-        _calendar(spark, _line_bounds(spark, d)),
+        _calendar(spark, b.table(spark, d, "lineitem").select(F.to_date("l_shipdate").alias("day"))),
         cutoff=AS_OF,
         check_rows=False,
     )
 
 
-def _training(spark, d):
-    bars = b.line_bars(spark, d)
-    ranges = ses.realized_range(ses.session_ohlcv(bars, b.CLOCK))
-    level = ses.asof_level(bars.filter("symbol = 'N'"), b.CLOCK, "vix_level").drop("symbol")
-    return market.assemble(_matrix(spark, d, as_of=AS_OF, years=None), ranges, level)
-
-
 @query
 def training_matrix(spark, d):
-    return _training(spark, d)
+    daily = _daily_table(spark, d)
+    matrix = market.matrix_from_daily(daily, AS_OF, years=None)
+    return market.assemble(matrix, *_ranges_and_level(daily))
 
 
 @query
 def scoring_rows(spark, d):
     """Feature rows for every day with a snapshot, settled or not."""
-    bars = b.line_bars(spark, d)
-    matrix = _matrix(spark, d, as_of=AS_OF, years=None, keep_unsettled=True)
-    realized = ses.realized_range(ses.session_ohlcv(bars, b.CLOCK))
-    level = ses.asof_level(bars.filter("symbol = 'N'"), b.CLOCK, "vix_level").drop("symbol")
-    return market.features_for_dates(matrix, realized, level, matrix)
+    daily = _daily_table(spark, d)
+    matrix = market.matrix_from_daily(daily, AS_OF, years=None, keep_unsettled=True)
+    return market.features_for_dates(matrix, *_ranges_and_level(daily), matrix)
 
 
 @query
@@ -244,8 +250,7 @@ def duplicate_keys(spark, d):
 @query
 def calendar_features(spark, d):
     """Calendar of the days the article table spans."""
-    days = b.articles(spark, d).select(article_date("published_at").alias("day"))
-    return _calendar(spark, days.agg(F.min("day").alias("start"), F.max("day").alias("end")))
+    return _calendar(spark, b.articles(spark, d).select(article_date("published_at").alias("day")))
 
 
 @query
