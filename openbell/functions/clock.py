@@ -6,7 +6,7 @@ import datetime as dt
 from dataclasses import dataclass
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NEW_YORK = "America/New_York"
@@ -41,24 +41,37 @@ ONE_MINUTE = SessionClock()
 HALF_HOUR = SessionClock(rth_last="15:30", pre_last="08:30")
 
 
-def wall_clock(ts, tz: str = NEW_YORK) -> Column:
-    """UTC instant -> local wall time (timestamp without zone).
+def _utc_session() -> bool:
+    spark = SparkSession.getActiveSession()
+    zone = spark.conf.get("spark.sql.session.timeZone") if spark else ""
+    return zone in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
-    from_utc_timestamp resolves a literal zone once per task; the session zone
-    must be UTC for the casts to keep the value.
-    """
+
+def _shift(ts, from_tz: str, to_tz: str) -> Column:
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.from_utc_timestamp(ts.cast("timestamp"), tz).cast("timestamp_ntz")
+    if not _utc_session():
+        return F.convert_timezone(F.lit(from_tz), F.lit(to_tz), ts.cast("timestamp_ntz"))
+    # the same value in a UTC session, but a literal zone is resolved once per
+    # task there, while convert_timezone looks it up for every row
+    if from_tz == "UTC":
+        return F.from_utc_timestamp(ts.cast("timestamp"), to_tz).cast("timestamp_ntz")
+    return F.to_utc_timestamp(ts.cast("timestamp"), from_tz).cast("timestamp_ntz")
+
+
+def wall_clock(ts, tz: str = NEW_YORK) -> Column:
+    """UTC instant (zone-less) -> local wall time (zone-less)."""
+    return _shift(ts, "UTC", tz)
 
 
 def from_wall_clock(ts, tz: str) -> Column:
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.to_utc_timestamp(ts.cast("timestamp"), tz).cast("timestamp_ntz")
+    return _shift(ts, tz, "UTC")
 
 
 def second_of_day(local) -> Column:
-    """One arithmetic expression over the local time: filters repeat it once per
-    comparison, and each hour()/minute()/second() would repeat the conversion."""
+    """In a UTC session one arithmetic expression: filters repeat it once per
+    comparison, and each of hour(), minute() and second() repeats the conversion."""
+    if not _utc_session():
+        return (F.hour(local) * 3600 + F.minute(local) * 60 + F.second(local)).cast("int")
     return F.pmod(F.unix_seconds(local.cast("timestamp")), F.lit(86400)).cast("int")
 
 

@@ -119,3 +119,14 @@ def test_snapshot_bound():
 def test_lookback_is_inclusive(make_daily):
     daily = make_daily([1, 2, 3])
     assert lookback(daily, D(2025, 1, 2)).count() == 2
+
+
+def test_session_zone_does_not_matter(spark, make_bars):
+    bars = make_bars(("2024-03-08 09:30", 1, 2, 1, 2), ("2024-03-11 15:59", 3, 4, 3, 4), ("2024-07-01 16:00", 1, 1, 1, 1))
+    want = rows(ses.session_ohlcv(bars), "date", "open", "close")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert rows(ses.session_ohlcv(bars), "date", "open", "close") == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r[0] for r in want] == [D(2024, 3, 8), D(2024, 3, 11)]
