@@ -4,6 +4,7 @@ import pytest
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry
+from openbell.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     sql = entry.oracle_sql().get(name)
