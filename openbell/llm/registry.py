@@ -1,13 +1,17 @@
 """Queries of this package, and their SQL where SQL can express them."""
 
-from openbell.llm import licenses, warc
+from openbell.llm import licenses, lines, packing, tiling, warc
 
 QUERIES = {
     "op2_license_scan": licenses.op2_license_scan,
+    "op7_best_fit_packing": packing.op7_best_fit_packing,
+    "op8_decontaminate": tiling.op8_decontaminate,
     "op9_warc": warc.op9_warc,
+    "op10_line_dedup": lines.op10_line_dedup,
 }
 
 ORACLE = {
     "op2_license_scan": licenses.ORACLE_SQL,
     "op9_warc": warc.ORACLE_SQL,
+    "op10_line_dedup": lines.ORACLE_SQL,
 }
