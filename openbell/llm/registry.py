@@ -1,9 +1,10 @@
 """Queries of this package, and their SQL where SQL can express them."""
 
-from openbell.llm import licenses, lines, packing, tiling, warc
+from openbell.llm import licenses, lines, packing, tiling, vptree, warc
 
 QUERIES = {
     "op2_license_scan": licenses.op2_license_scan,
+    "op6_simhash_near_dedup": vptree.op6_simhash_near_dedup,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_decontaminate": tiling.op8_decontaminate,
     "op9_warc": warc.op9_warc,
