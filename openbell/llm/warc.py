@@ -203,7 +203,7 @@ def _frames(path: str, wanted: list[tuple[str, int]]) -> Iterator[tuple[str, int
         file.close()
 
 
-def read_bundles(index: DataFrame, path: str, payloads: bool = False) -> DataFrame:
+def read_bundles(index: DataFrame, path: str, payloads: bool = False, frames_per_task: int = 16) -> DataFrame:
     """All records of the frames named in the index, parsed from the archives (``RECORDS`` or ``CONTENT``)."""
     columns = [x.split()[0] for x in CONTENT.split(", ")]
 
@@ -220,6 +220,8 @@ def read_bundles(index: DataFrame, path: str, payloads: bool = False) -> DataFra
         yield from rows_to_frames(rows(), columns, 500 if payloads else 5000)
 
     wanted = index.select("file", "frame").distinct()
+    # a row is a frame: tiny rows stand for much work, so their number sets the tasks
+    wanted = wanted.repartition(max(1, -(-wanted.count() // frames_per_task)), "file", "frame")
     out = wanted.mapInPandas(read, CONTENT.replace("page_id long", "page_id string").replace("refers_to long", "refers_to string"))
     out = out.withColumns({c: F.col(c).cast("long") for c in ("page_id", "refers_to")})
     return out if payloads else out.drop("payload")
