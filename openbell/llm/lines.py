@@ -7,7 +7,8 @@ earliest line) and removed elsewhere, after its bytes are compared with the firs
 
 Plan: chunk digests are counted first (narrow rows, partial counts per task); only chunks whose digest repeats
 carry their text into the comparison; decisions are grouped per document and joined to the documents once.
-A hot chunk is one row on the side of first texts, so the skewed side can be split by Spark.
+All three joins are merge joins at every size: the sides grow with the data, so none is broadcast. A hot chunk is
+one row on the side of first texts, so the skewed side can be split by Spark.
 
 Defined cases: a null or empty text is one empty line and is kept as it is; chunks of blank lines are kept;
 rows equal in doc_id and text are treated alike; a null doc_id is smaller than any other; other columns pass through.
@@ -77,10 +78,10 @@ def removals(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> D
         chunks.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1").drop("n"),
         "line-repeated",
     )
-    found = materialize(chunks.join(repeated, ["h1", "h2"]).withColumn("is_first", place.eqNullSafe(F.col("first"))), "line-chunks")
+    found = materialize(chunks.join(repeated.hint("merge"), ["h1", "h2"]).withColumn("is_first", place.eqNullSafe(F.col("first"))), "line-chunks")
     # rows equal in doc_id and text share one place: one of them is enough to compare with
     firsts = found.where("is_first").groupBy("h1", "h2").agg(F.first("body").alias("kept"))
-    gone = found.where("NOT is_first").join(firsts, ["h1", "h2"]).where(F.col("body") == F.col("kept"))
+    gone = found.where("NOT is_first").join(firsts.hint("merge"), ["h1", "h2"]).where(F.col("body") == F.col("kept"))
     return gone.groupBy("doc_id", "_k1", "_k2").agg(F.collect_set("at").alias("gone"))
 
 
@@ -90,10 +91,10 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -
     gone = materialize(removals(docs, window, divisor), "line-removals").select(
         F.col("doc_id").alias("_id"), F.col("_k1").alias("_g1"), F.col("_k2").alias("_g2"), "gone"
     )
-    keyed = _keys(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row")))
+    keyed = _keys(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"))).drop("text")
     joined = keyed.join(
-        gone, keyed["doc_id"].eqNullSafe(gone["_id"]) & (keyed["_k1"] == gone["_g1"]) & (keyed["_k2"] == gone["_g2"]), "left"
-    )
+        gone.hint("merge"), keyed["doc_id"].eqNullSafe(gone["_id"]) & (keyed["_k1"] == gone["_g1"]) & (keyed["_k2"] == gone["_g2"]), "left"
+    ).withColumn("text", F.col("_row.text"))
     lost = lambda c: F.array_contains("gone", c["at"])
     cut = _chunks(joined, window, divisor)
     kept = F.array_join(F.transform(F.filter("_chunks", lambda c: ~lost(c)), lambda c: c["body"]), "\n")
