@@ -1,10 +1,11 @@
 """Queries of this package, and their SQL where SQL can express them."""
 
-from openbell.llm import language, licenses, lines, packing, tiling, vptree, warc
+from openbell.llm import fingerprints, language, licenses, lines, packing, tiling, vptree, warc
 
 QUERIES = {
     "op2_license_scan": licenses.op2_license_scan,
     "op4_language_id": language.op4_language_id,
+    "op5_fingerprints": fingerprints.op5_fingerprints,
     "op6_simhash_near_dedup": vptree.op6_simhash_near_dedup,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_decontaminate": tiling.op8_decontaminate,
