@@ -15,6 +15,7 @@ from __future__ import annotations
 import functools
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
@@ -34,59 +35,63 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+class Recent(dict):
+    """Computed values of the keys met lately: two generations of at most ``limit`` keys each."""
+
+    def __init__(self, compute, limit: int):
+        super().__init__()
+        self.compute, self.limit, self.older = compute, limit, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level letters: visible Latin-1 characters stand for themselves, other bytes for those from 256 on."""
+    seen = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    rest = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class WordEncoder:
-    """Token ids of whole texts through a bounded memory of words.
+    """Token ids (little-endian, 4 bytes each) of whole texts through a bounded memory of words.
 
     The vocabulary never merges across white space, so a text's ids are those of its space-separated parts.
-    Parts of plain Latin characters are split as the tokenizer does, and only unseen words are encoded; any other
-    part goes to the tokenizer as it is.
+    Parts of plain Latin characters are split as the tokenizer does, and its model encodes their words; any other
+    part goes to the whole tokenizer.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 500_000):
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocab = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.model = self.tokenizer.model
         self.words = regex.compile(PRETOKEN).findall
-        self.plain = re.compile(r"[\x21-\x7eÀ-ÿ]+").fullmatch
+        self.plain = re.compile(r"[\x21-\x7eÀ-ÿ]{1,64}").fullmatch
         self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)").search
-        self.limit = limit
-        self.parts: dict[str, list[int]] = {}
-        self.known: dict[str, list[int]] = {}
-
-    def _whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def learn(self, parts: set[str]) -> None:
-        if len(self.parts) + len(self.known) > self.limit:
-            self.parts, self.known = {}, {}
-        split: dict[str, list[str]] = {}
-        for part in parts - self.parts.keys():
-            if len(part) <= 64 and self.plain(part) and not self.special(part):
-                split[part] = self.words(part.lower())
-            else:
-                self.parts[part] = self._whole(part)
-        new = list({w for words in split.values() for w in words} - self.known.keys())
-        for at in range(0, len(new), 4000):
-            some = new[at : at + 4000]
-            ids = self._whole(" ".join(some))
-            cuts = np.flatnonzero(self.ends[np.asarray(ids, np.int64)]) + 1 if ids else np.zeros(0, int)
-            if len(cuts) == len(some):
-                self.known.update(zip(some, (ids[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)), strict=True))
-            else:  # a word that is no single word to the tokenizer
-                self.known.update((w, self._whole(w)) for w in some)
-        for part, words in split.items():
-            self.parts[part] = self.known[words[0]] if len(words) == 1 else [i for w in words for i in self.known[w]]
-
-    def encode(self, texts: list[str]) -> Iterator[list[int]]:
-        split = [[p for line in t.split("\n") for p in line.split(" ") if p] for t in texts]
-        self.learn(set().union(*split))
-        get = self.parts.__getitem__
-        for parts in split:
-            yield [i for ids in map(get, parts) for i in ids]
+        self.letters = _byte_letters()
+        self.known = Recent(self._word, limit // 2)
+        self.parts = Recent(self._part, limit)
+
+    def _word(self, word: str) -> bytes:
+        spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        if self.plain(part) and not self.special(part):
+            return b"".join(map(self.known.__getitem__, self.words(part.lower())))
+        return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 @functools.cache
@@ -98,17 +103,15 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     """(doc_id, piece, start, length, ids_crc32) of every document."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(tokenizer)
+        encoder, end = _encoder(tokenizer), end_id.to_bytes(4, "little")
 
         def rows():
             for pdf in frames:
-                keys, texts = pdf["doc_id"].tolist(), pdf["text"].tolist()
-                for at in range(0, len(keys), 200):
-                    for key, ids in zip(keys[at : at + 200], encoder.encode(texts[at : at + 200]), strict=True):
-                        ids = np.asarray([*ids, end_id], "<u4")
-                        for k, start in enumerate(range(0, len(ids), capacity)):
-                            part = ids[start : start + capacity]
-                            yield key, k, start, len(part), zlib.crc32(part.tobytes())
+                for key, text in pdf.itertuples(index=False):
+                    ids = encoder.encode(text) + end
+                    for k, start in enumerate(range(0, len(ids) // 4, capacity)):
+                        part = ids[start * 4 : (start + capacity) * 4]
+                        yield key, k, start, len(part) // 4, zlib.crc32(part)
 
         yield from rows_to_frames(rows(), ["doc_id", "piece", "start", "length", "ids_crc32"])
 
