@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -95,17 +96,22 @@ class Matcher:
             for h in rolling(ids, n).tolist():
                 pairs[n][h].add(item_id)
         self.owners = {n: dict(x) for n, x in pairs.items()}
-        self.seeds = {n: np.array(sorted(x), np.uint64) for n, x in self.owners.items()}
 
     def judge(self, text: str) -> list[tuple[int, int, int, float]]:
         """(item_id, item tokens, tiled tokens, coverage) of every contaminating item."""
         get = self.vocab.get
-        ids = np.array([get(t, 0) for t in tokens(text)], np.uint64)
+        ids = np.fromiter(map(get, TOKENS(text.lower()), repeat(0)), np.int64).astype(np.uint64)
         hit: set[int] = set()
-        for n, seeds in self.seeds.items():
-            hashes = rolling(ids, n)
-            for h in np.unique(hashes[np.isin(hashes, seeds)]).tolist():
-                hit |= self.owners[n][h]
+        # a seed has known tokens only: the token where the last unknown one is seeds before cannot end a seed
+        place = np.arange(1, len(ids) + 1)
+        run = place - np.maximum.accumulate(np.where(ids == 0, place, 0)) if len(ids) else place
+        for n, owners in self.owners.items():
+            ends = np.flatnonzero(run >= n)
+            h = np.zeros(len(ends), np.uint64)
+            for k in range(n):
+                h = h * MULTIPLIER + ids[ends - (n - 1 - k)]
+            for x in owners.keys() & set(h.tolist()):
+                hit |= owners[x]
         out = []
         for item_id in sorted(hit):
             item = self.items[item_id]
