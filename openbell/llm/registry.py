@@ -1,9 +1,10 @@
 """Queries of this package, and their SQL where SQL can express them."""
 
-from openbell.llm import fingerprints, language, licenses, lines, packing, tiling, vptree, warc
+from openbell.llm import fingerprints, language, licenses, lines, packing, tiling, urls, vptree, warc
 
 QUERIES = {
     "op2_license_scan": licenses.op2_license_scan,
+    "op3_url_filter": urls.op3_url_filter,
     "op4_language_id": language.op4_language_id,
     "op5_fingerprints": fingerprints.op5_fingerprints,
     "op6_simhash_near_dedup": vptree.op6_simhash_near_dedup,
