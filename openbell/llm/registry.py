@@ -1,8 +1,9 @@
 """Queries of this package, and their SQL where SQL can express them."""
 
-from openbell.llm import fingerprints, language, licenses, lines, packing, tiling, urls, vptree, warc
+from openbell.llm import fingerprints, language, licenses, lines, packing, suffixes, tiling, urls, vptree, warc
 
 QUERIES = {
+    "op1_suffix_dedup": suffixes.op1_suffix_dedup,
     "op2_license_scan": licenses.op2_license_scan,
     "op3_url_filter": urls.op3_url_filter,
     "op4_language_id": language.op4_language_id,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_suffix_dedup": suffixes.ORACLE_SQL,
     "op2_license_scan": licenses.ORACLE_SQL,
     "op9_warc": warc.ORACLE_SQL,
     "op10_line_dedup": lines.ORACLE_SQL,
