@@ -25,7 +25,7 @@ from openbell.llm.components import components
 from openbell.session import materialize
 
 #: Rows of the sample that balances the tree, fingerprints a shard aims at, and of a leaf inside a shard.
-SAMPLE, SHARD, LEAF = 8192, 20_000, 512
+SAMPLE, SHARD, LEAF = 32_768, 4_000, 512
 WORDS = re.compile(rb"[^\x20\x09-\x0d]+").findall
 
 
@@ -56,6 +56,23 @@ def simhash(terms: list[bytes], seed: int = 42) -> int:
     return int(np.packbits(bits * 2 > len(h), bitorder="little").view(np.uint64)[0])
 
 
+def simhash_views(terms: list[bytes], n: int) -> list[int]:
+    """``n`` independent fingerprints of the terms: one XXH64 each, mixed anew for every view."""
+    import xxhash
+
+    if not terms:
+        return [0] * n
+    h = np.array([xxhash.xxh64_intdigest(t, 42) for t in terms], np.uint64)
+    out = []
+    for k in range(n):
+        g = (h + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+        g = (g ^ (g >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+        g ^= g >> np.uint64(29)
+        bits = np.unpackbits(g.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        out.append(int(np.packbits(bits * 2 > len(h), bitorder="little").view(np.uint64)[0]))
+    return out
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -208,7 +225,7 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- one document of each group, for the pipeline -----------------------------------------------------------
 
-VIEWS = (42, 43, 44, 45)
+VIEWS = 6
 
 
 def _node() -> F.Column:
@@ -222,10 +239,10 @@ def jaccard(left: str, right: str, n: int) -> float:
     return len(a & b) / len(a | b) if a or b else 1.0
 
 
-def keep_one(docs: DataFrame, n_words: int = 5, similarity: float = 0.8, radius: int = 3, views=VIEWS) -> DataFrame:
+def keep_one(docs: DataFrame, n_words: int = 5, similarity: float = 0.8, radius: int = 4, views: int = VIEWS) -> DataFrame:
     """The documents without near copies: of every group the row with the smallest doc_id stays.
 
-    Candidates: fingerprints of the distinct words under several hash seeds, searched within ``radius`` in every
+    Candidates: several independent fingerprints of the distinct words, searched within ``radius`` in every
     view, since few bits of a fingerprint change with few words. Links count only after the exact similarity of
     the ``n_words`` shingle sets is at least ``similarity``. Spanning forests by the distance over all views
     stand for the pairs of a cluster. Equal texts are one node; texts without words are one group. Rows equal in
@@ -233,14 +250,11 @@ def keep_one(docs: DataFrame, n_words: int = 5, similarity: float = 0.8, radius:
     """
     columns = docs.columns
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), _node().alias("node"))
-    names = [f"v{k}" for k in range(len(views))]
+    names = [f"v{k}" for k in range(views)]
 
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            rows = []
-            for text in pdf["text"]:
-                terms = sorted(set(words(text)))
-                rows.append([_signed(simhash(terms, s)) for s in views])
+            rows = [[_signed(x) for x in simhash_views(list(set(words(text))), views)] for text in pdf["text"]]
             yield pd.concat([pdf[["doc_id", "node"]], pd.DataFrame(rows, columns=names, index=pdf.index)], axis=1)
 
     signed = texts.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
