@@ -124,10 +124,9 @@ def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
         for texts in batches:
             yield pd.DataFrame([known.value.predict(t) for t in texts], columns=["name", "score"])
 
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.select(*columns, run(F.col("text").cast("string")).alias("_found")).select(
-        *columns, F.col("_found.name").alias("lang_pred"), F.col("_found.score").alias("lang_score")
-    )
+    columns = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "lang_score")]
+    rows = docs.select(F.struct(*columns).alias("row"), run(F.col("text").cast("string")).alias("found"))
+    return rows.select("row.*", F.col("found.name").alias("lang_pred"), F.col("found.score").alias("lang_score"))
 
 
 def held_out():

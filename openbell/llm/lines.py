@@ -11,7 +11,8 @@ All three joins are merge joins at every size: the sides grow with the data, so
 one row on the side of first texts, so the skewed side can be split by Spark.
 
 Defined cases: a null or empty text is one empty line and is kept as it is; chunks of blank lines are kept;
-rows equal in doc_id and text are treated alike; a null doc_id is smaller than any other; other columns pass through.
+rows equal in doc_id and text are treated alike; a null doc_id is smaller than any other; other columns pass through, but
+those named like an added one are replaced.
 """
 
 from __future__ import annotations
@@ -87,7 +88,7 @@ def removals(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> D
 
 def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> DataFrame:
     """The documents with ``text`` shortened, and ``_n_lines``, ``_gone_lines``, ``_gone_chunks``."""
-    columns = docs.columns
+    columns = [c for c in docs.columns if c not in ("_n_lines", "_gone_lines", "_gone_chunks")]
     gone = materialize(removals(docs, window, divisor), "line-removals").select(
         F.col("doc_id").alias("_id"), F.col("_k1").alias("_g1"), F.col("_k2").alias("_g2"), "gone"
     )

@@ -1,9 +1,10 @@
 """Best-fit packing of tokenized documents, certified by lower bounds.
 
 Pieces are dealt to groups of bounded size; every group is packed by best-fit decreasing in its own task and
-compares its bin count with a lower bound from dual-feasible functions. A group that meets its bound is certified
-and done. A group with a gap gives its loosest bins back; the documents of all such bins are exchanged (dealt to
-fewer groups) and packed again, until no gap is left, one group remains or the rounds are over.
+compares its bin count with a lower bound from dual-feasible functions. A group that meets its bound is certified:
+only its loosest bin, the one that rounding up costs, may go. A group with a gap gives ``release`` of its loosest bins
+back. The documents of all such bins are exchanged (dealt to fewer groups) and packed again, until nothing is given
+back, one group remains or the rounds are over.
 
 Defined cases: a null or empty text is the end token alone; only documents longer than the capacity are cut, into
 full pieces and a shorter last one; repeated rows are packed one by one; an empty table gives no rows; further
@@ -174,8 +175,8 @@ def _pack(pdf: pd.DataFrame, capacity: int, last: bool, release: int) -> pd.Data
     bins, offsets, fill = best_fit_decreasing(lengths, capacity)
     bound = lower_bound(lengths, capacity)
     done = np.ones(len(fill), bool)
-    if not last and len(fill) > bound:  # the loosest bins go back; full ones cannot gain
-        loose = np.argsort(fill, kind="stable")[:release]
+    if not last:  # the loosest bins go back; full ones cannot gain
+        loose = np.argsort(fill, kind="stable")[: release if len(fill) > bound else 1]
         done[loose[fill[loose] < capacity]] = False
     return pdf[["doc_id", "piece", "start", "length", "ids_crc32"]].assign(
         sequence_id=int(pdf["_group"].iloc[0]) * (1 << 24) + bins, offset=offsets, bins=len(fill), bound=bound, done=done[bins]
@@ -185,7 +186,7 @@ def _pack(pdf: pd.DataFrame, capacity: int, last: bool, release: int) -> pd.Data
 def pack(parts: DataFrame, capacity: int = CAPACITY, group_rows: int = 20_000, release: int = 64, rounds: int = 6) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces: (doc_id, piece, start, length, ids_crc32, sequence_id, offset).
 
-    ``group_rows`` bounds the rows of a task, ``release`` the bins a group with a gap gives back.
+    ``group_rows`` sets the rows of a task, ``release`` the bins a group with a gap gives back.
     """
     total = parts.count()
     # ids travel as text: pandas would turn a nullable long into a float

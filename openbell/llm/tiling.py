@@ -10,7 +10,8 @@ The benchmark's seeds are broadcast while their number is at most ``max_broadcas
 into slices of that size by item, and every slice is one pass over the documents.
 
 Defined cases: null or empty texts and items without tokens match nothing; items of equal tokens are reported by
-the smallest item_id; repeated rows are judged one by one; further columns pass through.
+the smallest item_id; repeated rows are judged one by one; further columns pass through, but one
+named ``_items`` is replaced.
 """
 
 from __future__ import annotations
@@ -130,7 +131,7 @@ def contaminations(
     docs: DataFrame, benchmark: DataFrame, seed: int = SEED, threshold: float = THRESHOLD, max_broadcast: int = 2_000_000
 ) -> DataFrame:
     """The documents with ``_items``: array of (item_id, n_tokens, tiled, coverage), empty for clean ones."""
-    columns = docs.columns
+    columns = [c for c in docs.columns if c != "_items"]
     item = "array<struct<item_id: long, n_tokens: long, tiled: long, coverage: double>>"
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).where(
         F.col("item_id").isNotNull()

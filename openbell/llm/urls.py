@@ -9,7 +9,7 @@ the distinct token sets of all urls look their tokens up, and candidates are che
 
 Defined cases: a null url, or one without ``://``, has empty host and path, no token, and is allowed; fixed rules
 match the text as it stands (ports and user names are part of the host); repeated rows are judged alike; without a
-blocked label nothing is mined; further columns are ignored.
+blocked label nothing is mined; further columns pass through, but those named like an added one are replaced.
 """
 
 from __future__ import annotations
@@ -112,7 +112,7 @@ def judge(urls: DataFrame, labelled: DataFrame, rules=RULES, **mining) -> DataFr
     url = F.col("url").cast("string")
     learn = labelled.select(tokens(url).alias("tokens"), F.col("blocked").cast("boolean").alias("blocked"))
     mined = mine(learn, **mining)
-    rows = urls.withColumns({"host": F.coalesce(host(url), F.lit("")), "path": F.coalesce(path(url), F.lit("")), "_tokens": F.coalesce(tokens(url), F.array().cast("array<string>"))})
+    rows = urls.drop("_tokens", "_fixed", "mined").withColumns({"host": F.coalesce(host(url), F.lit("")), "path": F.coalesce(path(url), F.lit("")), "_tokens": F.coalesce(tokens(url), F.array().cast("array<string>"))})
     rows = rows.withColumn("_fixed", fixed_rule(F.col("host"), F.col("path"), rules))
     hit = match(rows.select(F.col("_tokens").alias("tokens")).distinct(), mined).select(F.col("tokens").alias("_tokens"), F.lit(True).alias("mined"))
     out = rows.join(materialize(hit, "url-hits"), "_tokens", "left").withColumn("mined", F.coalesce("mined", F.lit(False)))

@@ -286,6 +286,6 @@ def keep_one(docs: DataFrame, n_words: int = 5, similarity: float = 0.8, radius:
     grouped = signed.select("doc_id", "node").distinct().join(roots, "node", "left").withColumn("group", F.coalesce("group", "node"))
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "node")
     kept = materialize(grouped.groupBy("group").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.node").alias("_keep")), "kept")
-    rows = docs.withColumn("_node", _node())
-    rows = rows.join(kept, (rows["_node"] == kept["_keep"]) & rows["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
-    return rows.dropDuplicates(["doc_id", "_node"]).select(*[F.col(f"`{c}`") for c in columns])
+    rows = docs.select("doc_id", _node().alias("node"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+    rows = rows.join(kept.hint("merge"), (rows["node"] == kept["_keep"]) & rows["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
+    return rows.dropDuplicates(["doc_id", "node"]).select("row.*")
