@@ -101,11 +101,18 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -
     kept = F.array_join(F.transform(F.filter("_chunks", lambda c: ~lost(c)), lambda c: c["body"]), "\n")
     gone_lines = F.aggregate(F.filter("_chunks", lost), F.lit(0), lambda a, c: a + c["n"])
     touched = F.col("gone").isNotNull()
-    return cut.select(
-        *[F.when(touched, kept).otherwise(F.col("_row.text")).alias(c) if c == "text" else F.col(f"_row.`{c}`") for c in columns],
-        F.col("_n").cast("long").alias("_n_lines"),
-        F.when(touched, gone_lines).otherwise(0).cast("long").alias("_gone_lines"),
-        F.when(touched, F.size("gone")).otherwise(0).cast("long").alias("_gone_chunks"),
+    # exploding one struct keeps later filters from being pushed into, and so repeating, these expressions
+    made = F.struct(
+        F.when(touched, kept).otherwise(F.col("_row.text")).alias("text"),
+        F.col("_n").cast("long").alias("lines"),
+        F.when(touched, gone_lines).otherwise(0).cast("long").alias("gone_lines"),
+        F.when(touched, F.size("gone")).otherwise(0).cast("long").alias("gone_chunks"),
+    )
+    return cut.select("_row", F.explode(F.array(made)).alias("_made")).select(
+        *[F.col("_made.text") if c == "text" else F.col(f"_row.`{c}`") for c in columns],
+        F.col("_made.lines").alias("_n_lines"),
+        F.col("_made.gone_lines").alias("_gone_lines"),
+        F.col("_made.gone_chunks").alias("_gone_chunks"),
     )
 
 
