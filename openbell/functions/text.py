@@ -29,8 +29,14 @@ def news_text(title="title", description="description") -> Column:
 
 
 def content_key(text) -> Column:
-    """First 16 hex digits of the SHA-256 of the whole text."""
-    return F.substring(F.sha2(text, 256), 1, 16)
+    """The SHA-256 of the whole text, in hex: the identity of a text. Shorter
+    prefixes may be shown, never grouped or joined on."""
+    return F.sha2(text, 256)
+
+
+def display_key(text_hash) -> Column:
+    """The first 16 hex digits, for people."""
+    return F.substring(text_hash, 1, 16)
 
 
 def class_probability(labels, name: str) -> Column:

@@ -35,8 +35,21 @@ def keep_highest_volume(
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with their row count."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
+    """Keys that occur more than once, with their row count.
+
+    Text keys are counted by their full digest (null apart from empty), so whole
+    texts are read again for the repeated ones only.
+    """
+    kinds = dict(df.dtypes)
+    if not any(kinds[c] == "string" for c in keys):
+        return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
+    marks = [
+        F.coalesce(F.sha2(F.col(c), 256), F.lit("-")) if kinds[c] == "string" else F.col(c) for c in keys
+    ]
+    marked = df.select(*keys, F.sha2(F.to_json(F.struct(*marks)), 256).alias("_digest"))
+    counted = marked.groupBy("_digest").agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
+    # within a task one row per key is left before anything is shuffled
+    return marked.join(counted, "_digest").dropDuplicates(["_digest"]).select(*keys, "n_rows")
 
 
 def latest_per_day(

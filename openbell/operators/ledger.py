@@ -55,7 +55,8 @@ def rolling_error(predictions: DataFrame, n: int = 7) -> DataFrame:
 
 def last_settled(predictions: DataFrame, n: int = 7) -> DataFrame:
     """Newest settled prediction per symbol with its rolling error."""
-    rows = settled(predictions).join(rolling_error(predictions, n), KEY)
+    w = Window.partitionBy("symbol").orderBy("date").rowsBetween(-(n - 1), 0)
+    rows = settled(predictions).withColumn(f"mae_{n}d", F.avg("abs_error").over(w))
     fields = ["date", "predicted_range", "actual_range", "abs_error", f"mae_{n}d"]
     return rows.groupBy("symbol").agg(F.max_by(F.struct(*fields), "date").alias("r")).select(
         "symbol",

@@ -40,6 +40,8 @@ SCORE = {"mae": "mae", "aggressive": "rmse"}
 COLLAPSE_SHARE = 1e-3
 TRIALS = 50
 MAX_ROUNDS = 5000
+#: Rounds without a better holdout error after which a search fit ends, and the first block of rounds.
+PATIENCE, FIRST_ROUNDS = 50, 64
 SEARCH_EVERY_DAYS = 7
 SEED = 42
 TARGET = "target"
@@ -139,12 +141,15 @@ def search(
     max_rounds: int = MAX_ROUNDS,
     parallelism: int = 1,
     seed: int = SEED,
+    patience: int = PATIENCE,
 ) -> list[Trial]:
     """Score seeded draws on one fixed chronological holdout.
 
-    Each fit stops early on the validation slice. A model whose predictions hardly
-    vary is collapsed and cannot win. Fits are independent Spark jobs, so
-    ``parallelism`` overlaps their small stages.
+    A fit grows in doubling blocks of rounds (boosting with one seed repeats its
+    first rounds) until its lowest holdout error is ``patience`` rounds old; the
+    trial is scored at that round. A model whose predictions hardly vary is
+    collapsed and cannot win. Fits are independent Spark jobs, so ``parallelism``
+    overlaps their small stages.
     """
     prepare = Pipeline(stages=preparation(feature_names, nullable)).fit(train)
     n, mean, dev = target_scale(train)
@@ -160,8 +165,17 @@ def search(
     error = F.col(TARGET) - F.col("predicted_range")
     measure = F.avg(F.abs(error)) if SCORE[mode] == "mae" else F.sqrt(F.avg(error * error))
 
+    learn = ready.filter("NOT _holdout")
+
     def run(params: dict) -> Trial:
-        model = regressor(mode, params, max_rounds, n).setValidationIndicatorCol("_holdout").fit(ready)
+        rounds = min(FIRST_ROUNDS, max_rounds)
+        while True:
+            curve = regressor(mode, params, rounds, n).fit(learn).evaluateEachIteration(held, LOSS[mode])
+            best = best_round(curve, patience)
+            if rounds - best >= patience or rounds == max_rounds:
+                break
+            rounds = min(2 * rounds, max_rounds)
+        model = regressor(mode, params, best, n).fit(learn)
         row = restored.transform(model.transform(held)).agg(
             measure.alias("score"), F.stddev_pop("predicted_range").alias("spread")
         ).first()
@@ -178,6 +192,17 @@ def search(
         ready.unpersist()
 
 
+def best_round(curve: Sequence[float], patience: int = PATIENCE) -> int:
+    """The round (from 1) of the lowest error before ``patience`` rounds pass without a lower one."""
+    best = 0
+    for k, error in enumerate(curve):
+        if error < curve[best]:
+            best = k
+        elif k - best >= patience:
+            break
+    return best + 1
+
+
 def best_trial(trials: Sequence[Trial]) -> Trial:
     alive = [t for t in trials if not t.collapsed]
     if not alive:

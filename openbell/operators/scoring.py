@@ -56,21 +56,37 @@ def upgraded(checkpoint: DataFrame) -> DataFrame:
     )
 
 
-def unique_texts(keyed: DataFrame) -> DataFrame:
-    """One row per text with its number of copies. Date and publish time are
-    those of the newest copy. Partial aggregation folds a heavily copied text
-    inside every map task, so it never meets in one reducer."""
+def distinct_keys(keyed: DataFrame) -> DataFrame:
+    """One row per text key with its number of copies and the day and publish time
+    of the newest copy. Fixed-width buffers: a hash aggregation that folds a heavily
+    copied text inside every map task; no text is sorted or shuffled."""
     return keyed.groupBy("text_hash").agg(
-        F.max_by(F.struct("Date", "published_at", "news_text"), "published_at").alias("_row"),
+        F.max_by("Date", "published_at").alias("Date"),
+        F.max("published_at").alias("published_at"),
         F.count("*").alias("n_copies"),
-    ).select("text_hash", "_row.*", "n_copies")
+    )
 
 
-def pending_texts(keyed: DataFrame, checkpoint: DataFrame | None) -> DataFrame:
-    """Distinct texts the checkpoint has not seen. Folding copies first keeps the
+def with_text(keys: DataFrame, keyed: DataFrame) -> DataFrame:
+    """Fetch the text of each key from its newest copy; ties hold the same text."""
+    texts = keyed.select("text_hash", "published_at", "news_text").join(keys, ["text_hash", "published_at"])
+    return texts.dropDuplicates(["text_hash"]).select("text_hash", "Date", "published_at", "news_text", "n_copies")
+
+
+def unique_texts(keyed: DataFrame) -> DataFrame:
+    return with_text(distinct_keys(keyed), keyed)
+
+
+def pending_keys(keyed: DataFrame, checkpoint: DataFrame | None) -> DataFrame:
+    """Keys of the texts the checkpoint has not seen. Folding copies first keeps the
     anti join free of hot keys."""
-    texts = unique_texts(keyed)
-    return texts if checkpoint is None else texts.join(checkpoint.select("text_hash"), "text_hash", "left_anti")
+    keys = distinct_keys(keyed)
+    return keys if checkpoint is None else keys.join(checkpoint.select("text_hash"), "text_hash", "left_anti")
+
+
+def pending_texts(keyed: DataFrame, checkpoint: DataFrame | None) -> DataFrame:
+    """Distinct unseen texts; only theirs are fetched."""
+    return with_text(pending_keys(keyed, checkpoint), keyed)
 
 
 def parsed_responses(raw: DataFrame) -> DataFrame:

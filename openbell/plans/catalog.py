@@ -216,7 +216,6 @@ def model_matrix(spark, d):
         market.prepare_sentiment(_sentiment(spark, d, "1996-01-01")),
         _calendar(spark, b.table(spark, d, "lineitem").select(F.to_date("l_shipdate").alias("day"))),
         cutoff=AS_OF,
-        check_rows=False,
     )
 
 
@@ -365,7 +364,7 @@ def aligned_articles(spark, d):
 def text_keys(spark, d):
     """Distinct texts with the number of their copies."""
     keyed = sc.with_key(art.aligned(b.articles(spark, d)))
-    return sc.unique_texts(keyed).select("text_hash", "Date", "published_at", "n_copies")
+    return sc.distinct_keys(keyed).select("text_hash", "Date", "published_at", "n_copies")
 
 
 def _checkpoint(spark, d):
@@ -379,7 +378,7 @@ def _checkpoint(spark, d):
 @query
 def pending_texts(spark, d):
     keyed, checkpoint = _checkpoint(spark, d)
-    return sc.pending_texts(keyed, checkpoint).select("text_hash", "Date", "published_at", "n_copies")
+    return sc.pending_keys(keyed, checkpoint).select("text_hash", "Date", "published_at", "n_copies")
 
 
 @query
@@ -561,8 +560,8 @@ _PARAMS = {"maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8, "featureShare
 @query
 def fit_predict(spark, d):
     """Train on the first 80 % of the days, predict the rest."""
-    split = met.chronological_split(_model_rows(spark, d)).persist()
-    model = ml.fit("mae", split.filter("split <> 'test'"), MODEL_FEATURES, ["rv_lag_22"], _PARAMS, rounds=10)
+    split = materialize(met.chronological_split(_model_rows(spark, d)), "split").coalesce(1)
+    model = ml.fit("mae", split.filter("split <> 'test'"), MODEL_FEATURES, ["rv_lag_22"], _PARAMS, rounds=40)
     return ml.predict(model, split.filter("split = 'test'"), MODEL_FEATURES).select(
         "symbol", "date", "target", "predicted_range"
     )
@@ -570,30 +569,30 @@ def fit_predict(spark, d):
 
 @query
 def param_search(spark, d):
-    """Two seeded draws scored on the chronological validation days."""
-    split = met.chronological_split(_model_rows(spark, d)).persist()
+    """Seeded draws, each fitted until its holdout error stops falling (patience and
+    block sizes of the search; the numbers of draws and rounds are arguments)."""
+    split = materialize(met.chronological_split(_model_rows(spark, d)), "split").coalesce(1)
     trials = ml.search("mae", split.filter("split = 'train'"), split.filter("split = 'validation'"),
-                       MODEL_FEATURES, ["rv_lag_22"], trials=2, max_rounds=10)
+                       MODEL_FEATURES, ["rv_lag_22"], trials=3, max_rounds=64, parallelism=3)
     rows = [(i, t.score, t.best_iter, t.collapsed) for i, t in enumerate(trials)]
     return spark.createDataFrame(rows, "trial INT, score DOUBLE, best_iter INT, collapsed BOOLEAN")
 
 
 @query
 def importance(spark, d):
-    rows = _model_rows(spark, d)
-    model = ml.fit("mae", rows, MODEL_FEATURES, ["rv_lag_22"], _PARAMS, rounds=10)
+    rows = materialize(_model_rows(spark, d), "model-rows").coalesce(1)
+    model = ml.fit("mae", rows, MODEL_FEATURES, ["rv_lag_22"], _PARAMS, rounds=40)
     return ml.importance(model, MODEL_FEATURES, ["rv_lag_22"])
 
 
 # --- ledger and report ----------------------------------------------------------
 
-def _predictions(spark, d, symbol="A", open_days=20):
-    """B6: predicted = mean of the previous five; the last 20 dates are pending."""
+def _predictions(spark, d, daily=None, open_days=20):
+    """B6: predicted = mean of the previous five; the last 20 dates of a symbol are pending."""
     w = ind.by_date().rowsBetween(-5, -1)
     newest = Window.partitionBy("symbol").orderBy(F.col("date").desc())
-    ranged = b.daily_bars(spark, d).filter(F.col("symbol") == symbol).select(
-        "symbol", "date", ind.day_range().alias("realized_range")
-    )
+    daily = b.daily_bars(spark, d) if daily is None else daily
+    ranged = daily.select("symbol", "date", ind.day_range().alias("realized_range"))
     rows = ranged.select(
         "symbol", "date",
         F.avg("realized_range").over(w).alias("predicted_range"),
@@ -616,11 +615,11 @@ def settlement(spark, d):
 
 @query
 def ledger_upsert(spark, d):
-    """The last 30 days are predicted again, together with one more symbol."""
-    predictions, realized = _predictions(spark, d)
+    """The last 30 days of every symbol are predicted again; the ledger lacks the last 10 of them."""
+    predictions, _ = _predictions(spark, d)
     again = met.latest_rows(predictions, 30).withColumn("predicted_range", F.col("predicted_range") * 2)
-    other, _ = _predictions(spark, d, symbol="R")
-    return led.upsert(predictions, again.unionByName(other))
+    new = met.latest_rows(predictions, 10).select("symbol", "date")
+    return led.upsert(predictions.join(new, ["symbol", "date"], "left_anti"), again)
 
 
 @query
@@ -635,7 +634,7 @@ def last_settled(spark, d):
 
 @query
 def range_band(spark, d):
-    predictions, realized = _predictions(spark, d)
+    predictions, realized = _predictions(spark, d, materialize(b.daily_bars(spark, d), "daily"))
     history = rep.range_history(realized, predictions)
     rows = predictions.select("symbol", "date", "predicted_range").join(history, ["symbol", "date"])
     return rows.withColumn("band", rep.range_band("predicted_range", "p25", "p75", "n_ranges"))
@@ -650,17 +649,22 @@ def tone_label(spark, d):
 @query
 def forecast_report(spark, d):
     """The nested message of every prediction, with its interval and band."""
-    predictions, realized = _predictions(spark, d)
+    daily = materialize(b.daily_bars(spark, d), "daily")
+    predictions, realized = _predictions(spark, d, daily)
     rows = predictions.select("symbol", "date", "predicted_range")
     rows = rows.join(rep.range_history(realized, rows), ["symbol", "date"], "left")
-    lags = ses.realized_range(b.daily_bars(spark, d)).select("symbol", "date", "rv_lag_5")
+    lags = ses.realized_range(daily).select("symbol", "date", "rv_lag_5")
     rows = rows.join(lags, ["symbol", "date"], "left").join(led.last_settled(predictions), "symbol", "left")
-    message = rep.forecast_report(rows, "S&P 500")
+    message = rep.forecast_report(rows)
     low, high = rep.interval("predicted_range", F.lit(None).cast("double"))
     keyed = rows.select("symbol", "date", low.alias("low_bps"), high.alias("high_bps"),
                         rep.edge_bps("predicted_range", "rv_lag_5").alias("edge_bps"))
     return message.select("symbol", "date", "title", "description", "band", "color",
                           F.element_at("fields", 1)["value"].alias("last_settled"),
+                          F.transform("fields", lambda f: f["name"]).cast("string").alias("field_names"),
+                          F.element_at("fields", 2)["value"].alias("dates_and_levels"),
+                          F.try_element_at(F.filter("fields", lambda f: f["name"] == "Simple forecasts"), F.lit(1))["value"].alias("simple"),
+                          "tone", F.get_json_object("payload", "$.title").alias("payload_title"),
                           F.size("fields").alias("n_fields")).join(keyed, ["symbol", "date"])
 
 
@@ -673,9 +677,12 @@ def _file_stream(spark, d, name):
 
 def _ticks(spark, d):
     """The events as a file stream of one-tick bars."""
-    ticks = _file_stream(spark, d, "events")
+    return _as_ticks(_file_stream(spark, d, "events"))
+
+
+def _as_ticks(events):
     price = 100 + F.col("value")
-    return ticks.select(
+    return events.select(
         F.col("event_type").alias("symbol"), "ts", *[price.alias(c) for c in ("open", "high", "low", "close")],
         F.lit(1.0).alias("volume"),
     )
@@ -694,7 +701,16 @@ def stream_dedupe(spark, d):
 
 @query
 def stream_sessions(spark, d):
-    return _drain(spark, st.sessions(_ticks(spark, d)), "sessions")
+    """All sessions: a tick of a marker symbol a week later moves the watermark past the last one."""
+    path = shared_dir(spark, "session-ticks")
+    events = b.table(spark, d, "events")
+    events.write.parquet(f"{path}/data")
+    closing = events.groupBy().agg((F.max("ts") + F.expr("INTERVAL 7 DAYS")).alias("ts")).withColumn("event_type", F.lit("~end"))
+    empty = [F.lit(None).cast(t).alias(c) for c, t in events.dtypes if c not in ("ts", "event_type", "value")]
+    closing = closing.where("ts IS NOT NULL").select("ts", "event_type", F.lit(0.0).alias("value"), *empty).select(*events.columns)
+    closing.write.mode("append").parquet(f"{path}/data")
+    stream = spark.readStream.schema(events.schema).parquet(f"{path}/data")
+    return _drain(spark, st.sessions(_as_ticks(stream)), "sessions").where("symbol <> '~end'")
 
 
 @query

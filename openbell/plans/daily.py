@@ -51,6 +51,7 @@ class Run:
     years: int = 5
     trials: int = ml.TRIALS
     max_rounds: int = ml.MAX_ROUNDS
+    parallelism: int = 4
     force_search: bool = False
     features: list[str] | None = None
     level_source: str = "vix"
@@ -127,9 +128,9 @@ def refresh_daily(run: Run) -> None:
 
 
 def daily_table(run: Run) -> DataFrame:
-    """Per-day rows of the lookback, and one more year for indicators to warm up."""
-    first = (run.as_of - dt.timedelta(days=366 * (run.years + 1))).strftime("%Y-%m")
-    return run.store.spark.read.parquet(run.daily_path).filter(F.col("month") >= first).drop("month")
+    """All per-day rows, about 250 a year and symbol: recursive means and settlements
+    must not depend on where a table was cut. The lookback applies to outputs."""
+    return run.store.spark.read.parquet(run.daily_path).drop("month")
 
 
 def _write_articles(run: Run, rows: DataFrame) -> None:
@@ -188,6 +189,8 @@ def sentiment(run: Run) -> DataFrame:
     )
     if run.store.exists("topics"):
         topics = PipelineModel.load(run.store.location("topics") + "/model")
+    elif run.store.exists("sentiment"):
+        raise RuntimeError("the fitted topic axes are lost: new ones would not fit the stored components")
     else:
         topics = news.fit_topics(daily)
         path = run.store.next_location("topics")
@@ -239,6 +242,7 @@ def train(run: Run) -> tuple[PipelineModel, DataFrame]:
     model, new = ml.train_or_refit(
         data, names, dt.datetime.combine(run.as_of, dt.time()), f"{run.store.root}/model_{run.mode}/{run.batch}",
         run.mode, meta, run.force_search, nullable, run.trials, run.max_rounds,
+        run.parallelism,
     )
     others = meta.filter(F.col("mode") != run.mode) if meta is not None else None
     run.store.replace("model_meta", new if others is None else others.unionByName(new))

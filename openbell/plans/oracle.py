@@ -363,7 +363,7 @@ def articles(start: str = "2024-01-01") -> list[tuple[str, str]]:
         ("placed", """SELECT *, CASE WHEN hour(local) < 9 THEN CAST(local AS DATE)
             WHEN hour(local) >= 16 THEN CAST(local AS DATE) + 1 END AS day
             FROM (SELECT *, timezone('America/New_York', timezone('UTC', published_at)) AS local FROM articles)"""),
-        ("boxed", f"""SELECT *, substr(sha256(news_text), 1, 16) AS text_hash FROM (
+        ("boxed", f"""SELECT *, sha256(news_text) AS text_hash FROM (
             SELECT doc_id, published_at, title,
             CAST(day + CASE isodow(day) WHEN 6 THEN 2 WHEN 7 THEN 1 ELSE 0 END AS DATE) AS Date,
             replace({strip('title')} || '. ' || {strip('description')}, '.. ', '. ') AS news_text
@@ -446,7 +446,7 @@ ORACLE["articles_merged"] = with_(
         UNION ALL SELECT title, published_at, description || ' (updated)', 2 FROM articles
         WHERE published_at >= TIMESTAMP '2024-01-31' AND published_at >= TIMESTAMP '2024-02-01'"""),
 ) + """SELECT title, published_at, CAST(load_seq AS BIGINT) AS load_seq,
-    substr(sha256(description), 1, 16) AS text_key FROM both_loads
+    sha256(description) AS text_key FROM both_loads
     QUALIFY row_number() OVER (PARTITION BY title, published_at ORDER BY load_seq DESC) = 1"""
 ORACLE["daily_cap"] = with_(*articles()) + """SELECT doc_id, published_at FROM articles
     QUALIFY row_number() OVER (PARTITION BY CAST(published_at AS DATE) ORDER BY published_at DESC, title, doc_id) <= 5"""
@@ -654,13 +654,13 @@ ORACLE["baseline_metrics"] = with_(
 # --- ledger and report ----------------------------------------------------------------------
 
 
-def predictions(symbol: str = "A", name: str = "preds") -> list[tuple[str, str]]:
-    w5 = "OVER (ORDER BY date ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)"
+def predictions(name: str = "preds") -> list[tuple[str, str]]:
+    w5 = "OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)"
     return [
-        (f"{name}_rr", f"SELECT symbol, date, (high - low) / nullif(open, 0) AS rr FROM daily WHERE symbol = '{symbol}'"),
+        (f"{name}_rr", f"SELECT symbol, date, (high - low) / nullif(open, 0) AS rr FROM daily"),
         (name, f"""SELECT symbol, date, predicted_range, CASE WHEN rn > 20 THEN rr END AS actual_range,
             CASE WHEN rn > 20 THEN abs(predicted_range - rr) END AS abs_error, rr
-            FROM (SELECT *, avg(rr) {w5} AS predicted_range, row_number() OVER (ORDER BY date DESC) AS rn FROM {name}_rr)
+            FROM (SELECT *, avg(rr) {w5} AS predicted_range, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS rn FROM {name}_rr)
             WHERE predicted_range IS NOT NULL"""),
     ]
 
@@ -669,31 +669,32 @@ PREDS = (LINES, DAILY, *predictions())
 LEDGER_COLS = f"symbol, date, {rounded('predicted_range', 'actual_range', 'abs_error')}"
 ORACLE["settlement"] = with_(
     *PREDS,
-    ("known", "SELECT *, row_number() OVER (ORDER BY date DESC) > 5 AS done FROM preds"),
+    ("known", "SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) > 5 AS done FROM preds"),
 ) + f"""SELECT symbol, date, {r('predicted_range')} AS predicted_range,
     {r('CASE WHEN done THEN rr END')} AS actual_range,
     {r('CASE WHEN done THEN abs(predicted_range - rr) END')} AS abs_error FROM known"""
 ORACLE["ledger_upsert"] = with_(
-    *PREDS, *predictions("R", "preds_r"),
+    *PREDS,
     ("again", """SELECT symbol, date, CASE WHEN rn <= 30 THEN predicted_range * 2 ELSE predicted_range END AS predicted_range,
-        actual_range, abs_error FROM (SELECT *, row_number() OVER (ORDER BY date DESC) AS rn FROM preds)"""),
-) + f"SELECT {LEDGER_COLS} FROM again UNION ALL SELECT {LEDGER_COLS} FROM preds_r"
+        actual_range, abs_error FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS rn FROM preds)"""),
+) + f"SELECT {LEDGER_COLS} FROM again"
 ROLLING7 = (
     "rolling7",
-    """SELECT *, avg(abs_error) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS mae_7d
+    """SELECT *, avg(abs_error) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS mae_7d
        FROM preds WHERE actual_range IS NOT NULL""",
 )
 ORACLE["rolling_error"] = with_(*PREDS, ROLLING7) + f"SELECT symbol, date, {r('mae_7d')} AS mae_7d FROM rolling7"
 ORACLE["last_settled"] = with_(*PREDS, ROLLING7) + f"""SELECT symbol, date AS settled_date,
     {r('predicted_range')} AS settled_predicted, {r('actual_range')} AS settled_actual,
-    {r('abs_error')} AS settled_error, {r('mae_7d')} AS rolling_mae FROM rolling7 ORDER BY date DESC LIMIT 1"""
-TRAIL = "OVER (ORDER BY date ROWS BETWEEN 252 PRECEDING AND 1 PRECEDING)"
+    {r('abs_error')} AS settled_error, {r('mae_7d')} AS rolling_mae FROM rolling7
+    QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) = 1"""
+TRAIL = "OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 252 PRECEDING AND 1 PRECEDING)"
 BANDS = (
     "bands",
     f"""SELECT *, CASE WHEN n_ranges < 30 THEN 'Normal' WHEN predicted_range < p25 THEN 'Calm'
         WHEN predicted_range < p75 THEN 'Normal' ELSE 'Active' END AS band
-        FROM preds JOIN (SELECT date, quantile_cont(rr, 0.25) {TRAIL} AS p25, quantile_cont(rr, 0.75) {TRAIL} AS p75,
-        count(*) {TRAIL} AS n_ranges FROM preds_rr) USING (date)""",
+        FROM preds JOIN (SELECT symbol, date, quantile_cont(rr, 0.25) {TRAIL} AS p25, quantile_cont(rr, 0.75) {TRAIL} AS p75,
+        count(*) {TRAIL} AS n_ranges FROM preds_rr) USING (symbol, date)""",
 )
 ORACLE["range_band"] = with_(*PREDS, BANDS) + (
     f"SELECT symbol, date, {rounded('predicted_range', 'p25', 'p75')}, n_ranges, band FROM bands"
@@ -715,19 +716,25 @@ def bps(x: str) -> str:
 
 ORACLE["forecast_report"] = with_(
     *PREDS, ROLLING7, BANDS,
-    ("s", "SELECT * FROM daily WHERE symbol = 'A'"), RANGES,
-    ("newest", "SELECT * FROM rolling7 ORDER BY date DESC LIMIT 1"),
+    ("s", "SELECT * FROM daily"), RANGES,
+    ("newest", "SELECT * FROM rolling7 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) = 1"),
     ("msg", """SELECT b.*, rv_lag_5, n.date AS sd, n.predicted_range AS sp, n.actual_range AS sa, n.mae_7d AS sm,
         greatest((b.predicted_range - 0.003e0) * 10000, 0) AS low, (b.predicted_range + 0.003e0) * 10000 AS high
         FROM bands b JOIN newest n ON n.symbol = b.symbol
         LEFT JOIN ranges g ON g.symbol = b.symbol AND g.date = b.date"""),
-) + f"""SELECT symbol, date, '📊 S&P 500 Vol Forecast — ' || strftime(date, '%A %Y-%m-%d') AS title,
-    '**Predicted range:** ' || {bps('predicted_range')} || ' (' || printf('%.2f', predicted_range * 100) || '%)' || chr(10)
-    || '**Read:** ' || band || ' day expected' || chr(10) || 'Likely range: ' || printf('%.0f', low) || '–'
+) + f"""SELECT symbol, date, symbol || ': range forecast for ' || strftime(date, '%A %Y-%m-%d') AS title,
+    symbol || ': range forecast for ' || strftime(date, '%A %Y-%m-%d') AS payload_title, '—' AS tone,
+    'Expected high-low range ' || {bps('predicted_range')} || ' = ' || printf('%.2f', predicted_range * 100) || '%' || chr(10)
+    || 'Session class: ' || band || chr(10) || 'Interval: ' || printf('%.0f', low) || ' to '
     || printf('%.0f', high) || ' bps' AS description, band,
     CAST(CASE band WHEN 'Calm' THEN 3447003 WHEN 'Active' THEN 15548997 ELSE 5763719 END AS INT) AS color,
-    '**' || strftime(sd, '%Y-%m-%d') || '**' || chr(10) || 'Pred: ' || {bps('sp')} || chr(10) || 'Actual: ' || {bps('sa')}
-    || chr(10) || 'Error: ' || {bps('abs(sp - sa)')} || chr(10) || '7d MAE: ' || {bps('sm')} AS last_settled,
+    strftime(sd, '%Y-%m-%d') || chr(10) || 'Forecast ' || {bps('sp')} || chr(10) || 'Realized ' || {bps('sa')}
+    || chr(10) || 'Missed by ' || {bps('abs(sp - sa)')} || chr(10) || 'Mean miss, last 7: ' || {bps('sm')} AS last_settled,
+    strftime(date, '%A') AS dates_and_levels,
+    CASE WHEN rv_lag_5 IS NOT NULL THEN 'Mean of 5 sessions ' || {bps('rv_lag_5')} || ', forecast is off it by '
+    || printf('%+.0f', (predicted_range - rv_lag_5) * 10000) || ' bps' END AS simple,
+    '[Latest settled day, Dates and levels, Overnight articles, ' || CASE WHEN rv_lag_5 IS NULL THEN '' ELSE 'Simple forecasts, ' END
+    || 'Fit]' AS field_names,
     CAST(CASE WHEN rv_lag_5 IS NULL THEN 4 ELSE 5 END AS INT) AS n_fields, {r('low')} AS low_bps,
     {r('high')} AS high_bps, {r('(predicted_range - rv_lag_5) * 10000')} AS edge_bps FROM msg"""
 
@@ -740,9 +747,7 @@ TICKS = (
 )
 ORACLE["stream_dedupe"] = with_(TICKS) + f"SELECT {BAR_COLS} FROM bars"
 TICK_STAMPED = ("stamped", STAMPED[1].replace("minute(local) * 60", "minute(local) * 60 + second(local)"))
-ORACLE["stream_sessions"] = with_(TICKS, TICK_STAMPED, ("s", session(34200, 57540))) + f"""
-    SELECT {BARS_OUT} FROM s
-    WHERE date + INTERVAL 1 DAY <= (SELECT max(local) - INTERVAL 10 MINUTE FROM stamped)"""
+ORACLE["stream_sessions"] = with_(TICKS, TICK_STAMPED, ("s", session(34200, 57540))) + f"SELECT {BARS_OUT} FROM s"
 ORACLE["stream_articles"] = with_(*articles()) + "SELECT Date, published_at, text_hash FROM boxed"
 ORACLE["stream_append"] = with_(TICKS, TICK_STAMPED) + f"""SELECT symbol, ts, {rounded('close', 'volume')}, et_date,
     CAST(sec AS INT) AS et_second, strftime(et_date, '%Y-%m') AS et_month FROM stamped"""

@@ -61,7 +61,7 @@ def test_two_days_and_a_rerun(spark):
     daily.seed_bars(run, history.filter(F.col("ts") < cut))
     daily.seed_articles(run, news.filter(F.col("published_at") < cut))
     report = daily.run_daily(run, history, news).collect()
-    assert len(report) == 1 and report[0]["date"] == today and report[0]["title"].startswith("📊 ES")
+    assert len(report) == 1 and report[0]["date"] == today and report[0]["title"].startswith("ES: ")
 
     # nothing of the session was stored: the bound stops at the snapshot
     stored = spark.read.parquet(run.bars_path)
@@ -98,4 +98,4 @@ def test_two_days_and_a_rerun(spark):
     assert book[later.as_of]["actual_range"] is None
     assert store.read("model_meta").first()["last_search"] == searched
     last = store.read("report").first()
-    assert [f["name"] for f in last["fields"]][0] == "Last Settled"
+    assert [f["name"] for f in last["fields"]][0] == "Latest settled day"

@@ -159,10 +159,10 @@ def test_history_is_bounded(spark):
 def test_report_drops_missing_lines(spark):
     base = dated(spark, "symbol STRING, date DATE, predicted_range DOUBLE", ("ES", D(2024, 3, 5), 0.0125))
     bare = rep.forecast_report(base).first()
-    assert [f["name"] for f in bare["fields"]] == ["Calendar / Macro", "News (4 PM yest → 9 AM today)", "Model"]
-    assert bare["fields"][0]["value"] == "**Tuesday**"
-    assert bare["fields"][1]["value"] == "**Tone: —**\nVolume: 0 articles"
-    assert "Likely range: 95–155 bps" in bare["description"]
+    assert [f["name"] for f in bare["fields"]] == ["Dates and levels", "Overnight articles", "Fit"]
+    assert bare["fields"][0]["value"] == "Tuesday"
+    assert bare["fields"][1]["value"] == "Tone —\nArticles: 0"
+    assert "Interval: 95 to 155 bps" in bare["description"]
     full = rep.forecast_report(base.withColumns({
         "days_to_fomc": F.lit(0.0), "is_fomc_day": F.lit(1), "days_to_opex": F.lit(10), "is_quarterly_opex": F.lit(1),
         "vix_level": F.lit(15.04), "weighted_impact": F.lit(0.1234), "share_below": F.lit(96.0), "n_impacts": F.lit(252),
@@ -171,11 +171,11 @@ def test_report_drops_missing_lines(spark):
         "prev_day_range": F.lit(0.01), "test_mae": F.lit(0.002), "test_coverage": F.lit(0.6),
     })).first()
     text = {f["name"]: f["value"] for f in full["fields"]}
-    assert text["Calendar / Macro"] == "**Tuesday**\nDays to FOMC: 0 (today)\nDays to OPEX: 10 (quarterly)\nVIX @ 09:00: 15.0"
-    news = text["News (4 PM yest → 9 AM today)"].split("\n")
-    assert news[0] == "**Tone: Extreme Bullish**  (+0.123 weighted impact)"
-    assert news[1] == "Volume: 12 articles (1.2× normal)" and news[2] == "Mix: 50% pos / 20% neg / 30% neu"
-    assert news[3] == "Momentum -0.010" and news[4].startswith("⚠️ Top-2%")
-    assert text["Baselines (today's pred vs naive predictors)"] == "Persistence: 100 bps  (model edge +25 bps)"
-    assert full["description"].endswith("Likely range: 105–145 bps (~60% confidence)")
+    assert text["Dates and levels"] == "Tuesday\nNext rate decision in days: 0, today\nNext expiry in days: 10, quarterly\nVolatility index at 09:00: 15.0"
+    news = text["Overnight articles"].split("\n")
+    assert news[0] == "Tone Extreme Bullish, impact +0.123"
+    assert news[1] == "Articles: 12, 1.2 times the usual" and news[2] == "Positive 50%, negative 20%, neutral 30%"
+    assert news[3] == "Change -0.010" and news[4].startswith("Impact is in the highest")
+    assert text["Simple forecasts"] == "Yesterday 100 bps, forecast is off it by +25 bps"
+    assert full["description"].endswith("Interval: 105 to 145 bps, held on 60% of test days")
     assert '"inline":true' in full["payload"]

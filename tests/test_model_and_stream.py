@@ -143,3 +143,21 @@ def test_stream_maintained_table_survives_a_restart(spark, make_bars):
     go()
     table = src.read_stamped(spark, path)
     assert table.count() == 7 and table.filter("open = 9").count() == 0
+
+
+def test_best_round_waits_for_patience():
+    slow = [1.0 - 0.001 * k for k in range(200)] + [0.9] * 60
+    assert ml.best_round(slow, 50) == 200
+    assert ml.best_round([3, 2, 1, 2, 2, 2, 0.5], patience=3) == 3
+    assert ml.best_round([3, 2, 1, 2, 2, 2, 0.5], patience=10) == 7
+    assert ml.best_round([1.0], 50) == 1
+
+
+def test_search_does_not_stop_at_the_start_of_a_slow_curve(panel, monkeypatch):
+    """A small step improves by far less than a percent a round and must train on."""
+    draw = {"maxDepth": 1, "stepSize": 0.01, "subsamplingRate": 1.0, "featureShare": 1.0, "minInstancesPerNode": 1, "gamma": 0.0}
+    monkeypatch.setattr(ml, "draw_params", lambda *a: [draw])
+    split = ml.chronological_split(panel)
+    parts = [split.filter(f"split = '{s}'").coalesce(1) for s in ("train", "validation")]
+    (trial,) = ml.search("aggressive", *parts, NAMES, [], trials=1, max_rounds=48, patience=20)
+    assert trial.best_iter > 30 and not trial.collapsed
