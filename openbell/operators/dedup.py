@@ -13,8 +13,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Optional column with the place of a row inside its load.
+DELIVERY = "delivery"
+
+
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order)
+    """The first row per key. Ties of ``order`` go to the earliest delivered row where the
+    table says so, and then by the values themselves: never by partitioning."""
+    rest = [c for c, kind in df.dtypes if c not in keys and c != DELIVERY and not kind.startswith(("map", "void"))]
+    ties = ([F.col(DELIVERY)] if DELIVERY in df.columns else []) + [F.xxhash64(*rest)] * bool(rest)
+    w = Window.partitionBy(*keys).orderBy(*order, *ties)
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
@@ -26,6 +34,14 @@ def keep_last(df: DataFrame, keys: Sequence[str], seq: str = "load_seq") -> Data
     return keep_one(df, keys, [F.col(seq).desc()])
 
 
+def keep_by_rule(
+    df: DataFrame, volume_rules: Column, keys: Sequence[str] = ("symbol", "ts"), seq: str = "load_seq"
+) -> DataFrame:
+    """The most traded row where ``volume_rules`` holds, else the first."""
+    volume = F.when(volume_rules, F.col("volume"))
+    return keep_one(df, keys, [volume.desc_nulls_last(), F.col(seq).asc()])
+
+
 def keep_highest_volume(
     df: DataFrame, keys: Sequence[str] = ("symbol", "ts"), seq: str = "load_seq"
 ) -> DataFrame:

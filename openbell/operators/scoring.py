@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from openbell.functions.text import class_probability, content_key, tier2_scores
 from openbell.operators.dedup import keep_last
+from openbell.session import materialize
 from openbell.sources.store import TableStore
 
 # Fixed value: a text whose neutral probability exceeds this skips tier 2.
@@ -197,24 +198,29 @@ def score_articles(
     batch: int,
     name: str = "article_scores",
     retry_from: DataFrame | None = None,
+    parts: int = 8,
 ) -> DataFrame:
     """Score what the checkpoint lacks, retry what failed, return one row per text.
 
-    Only new and recovered rows are appended, in one job, so every model is called
-    once per text and history is not rewritten; ``batch`` is the load number that
-    orders several rows of one text. ``retry_from`` holds the texts of failed
+    Only new and recovered rows are appended, so every model is called once per text
+    and history is not rewritten. New texts are scored in ``parts`` by key, each
+    appended when done: after a failure only the unfinished parts are scored again.
+    ``batch`` is the load number that orders several rows of one text. ``retry_from`` holds the texts of failed
     articles when ``articles`` is only the newest part. ``compact`` folds deltas.
     """
     keyed = with_key(articles)
     known = upgraded(store.read(name)) if store.exists(name) else None
-    delta = parsed_responses(raw_responses(pending_texts(keyed, known), scorer))
+    stamp = F.lit(batch).cast("bigint")
+    pending = materialize(pending_keys(keyed, known), "pending")
+    for k in range(parts):
+        some = with_text(pending.filter(F.pmod(F.xxhash64("text_hash"), F.lit(parts)) == k), keyed)
+        store.append(name, parsed_responses(raw_responses(some, scorer)).withColumn("updated_at", stamp))
     if known is not None:
         failed = open_failures(known)
         source = keyed if retry_from is None else with_key(retry_from)
         texts = unique_texts(source.join(failed.select("text_hash"), "text_hash", "left_semi"))
         recovered = retry_merge(failed, retry_scores(failed, texts, scorer)).filter("tier2_scored")
-        delta = delta.unionByName(recovered.drop("updated_at"))
-    store.append(name, delta.withColumn("updated_at", F.lit(batch).cast("bigint")))
+        store.append(name, recovered.withColumn("updated_at", stamp))
     return current_scores(store.read(name))
 
 

@@ -28,6 +28,7 @@ from openbell.session import materialize, shared_dir
 from openbell.sources import articles as art
 from openbell.sources import bars as src
 from openbell.sources import bindings as b
+from openbell.sources.store import TableStore
 from openbell.streaming import jobs as st
 
 QUERIES: dict = {}
@@ -305,6 +306,48 @@ def dedupe_last(spark, d):
     return dedup.keep_last(first.unionByName(second), ["symbol", "ts"])
 
 
+@query
+def bars_keep_rule(spark, d):
+    """Two deliveries of every minute in one load: the first one, for one symbol the most traded."""
+    bars = b.event_bars(spark, d).withColumns({"load_seq": F.lit(1).cast("bigint"), "delivery": F.lit(1)})
+    second = bars.withColumns({"volume": F.col("volume") + 1, "close": F.col("close") + 1, "delivery": F.lit(2)})
+    known = bars.limit(0).select("symbol", "ts")
+    out = src.new_bars(known, second.unionByName(bars), LOAD_END, keep=F.col("symbol") == "click")
+    return out.select("symbol", "ts", "close", "volume")
+
+
+@query
+def bars_healed(spark, d):
+    """A stored table with overlapping loads is cleaned when it is found dirty."""
+    first, second = _loads(spark, d)
+    return src.healed(first.unionByName(second))[0]
+
+
+@query
+def bars_read(spark, d):
+    """Bars written and read back through the bar source."""
+    path = shared_dir(spark, "bars-read")
+    b.event_bars(spark, d).withColumn("load_seq", F.lit(1).cast("bigint")).write.parquet(path)
+    return src.read_bars(spark, path).select("symbol", "ts", "open", "high", "low", "close", "volume")
+
+
+@query
+def articles_first_delivered(spark, d):
+    """Three deliveries of every article in one load, the first one wins."""
+    base = b.articles(spark, d).select("title", "published_at", "description", F.lit(1).cast("bigint").alias("load_seq"), "doc_id")
+    each = base.select("*", F.explode(F.array(F.lit(2), F.lit(0), F.lit(1))).alias("copy"))
+    each = each.withColumns({"description": F.concat("description", F.col("copy").cast("string")), "delivery": F.struct("doc_id", "copy")})
+    return art.landed(each.drop("doc_id", "copy")).select("title", "published_at", content_key(F.col("description")).alias("text_key"))
+
+
+@query
+def load_gaps(spark, d):
+    """Days between the first and last event without a good load; Sundays failed."""
+    days = b.table(spark, d, "events").select(F.to_date("ts").alias("load_date")).distinct()
+    span = days.agg(F.min("load_date"), F.max("load_date")).first()
+    return art.missing_days(days.withColumn("ok", F.dayofweek("load_date") != 1), *span)
+
+
 @query
 def trim_half_open(spark, d):
     return src.trim(b.event_bars(spark, d), OVERLAP_FROM, SPLIT_AT)
@@ -435,6 +478,38 @@ def scored_once(spark, d):
     return sc.parsed_responses(raw).drop("embedding")
 
 
+@query
+def scored_in_two_runs(spark, d):
+    """A first run over the early articles, a second over all: the checkpoint holds every text once."""
+    store, scorer = TableStore(spark, shared_dir(spark, "scores")), hash_scorer()
+    boxed = art.aligned(b.articles(spark, d))
+    sc.score_articles(boxed.filter(F.col("Date") < F.lit(dt.date(2024, 2, 15))), scorer, store, 1, parts=2)
+    return sc.score_articles(boxed, scorer, store, 2, parts=2).drop("embedding", "updated_at", "n_copies", "Date", "published_at")
+
+
+@query
+def legacy_checkpoint(spark, d):
+    """A checkpoint from before the tier-2 flag gets it derived."""
+    return sc.upgraded(_checkpoint(spark, d)[1].drop("tier2_scored")).select("text_hash", "is_neutral", "tier2_scored")
+
+
+@query
+def failed_texts(spark, d):
+    """Texts whose tier 2 failed and that no later row has recovered."""
+    _, checkpoint = _checkpoint(spark, d)
+    recovered = checkpoint.filter("NOT tier2_scored AND doc_id % 2 = 0").withColumn("tier2_scored", F.lit(True))
+    return sc.open_failures(checkpoint.unionByName(recovered)).select("text_hash", "doc_id")
+
+
+@query
+def sentiment_load(spark, d):
+    """Two loads of a daily table: the newer row of a day wins."""
+    days = b.daily_bars(spark, d).groupBy(F.col("date").alias("Date")).agg(F.max("close").alias("impact"))
+    first = days.withColumn("load_seq", F.lit(1))
+    second = days.filter(F.dayofmonth("Date") % 2 == 0).withColumns({"impact": -F.col("impact"), "load_seq": F.lit(2)})
+    return market.prepare_sentiment(first.unionByName(second), "load_seq")
+
+
 @query
 def daily_sentiment(spark, d):
     return _sentiment(spark, d, "2024-01-01")
@@ -567,6 +642,13 @@ def fit_predict(spark, d):
     )
 
 
+@query
+def fit_predict_rows(spark, d):
+    """The rows that a fitted model predicts: every test row, none missing."""
+    out = fit_predict(spark, d)
+    return out.select("symbol", "date", "target", (F.col("predicted_range").isNotNull() & ~F.isnan("predicted_range")).alias("predicted"))
+
+
 @query
 def param_search(spark, d):
     """Seeded draws, each fitted until its holdout error stops falling (patience and
@@ -585,6 +667,14 @@ def importance(spark, d):
     return ml.importance(model, MODEL_FEATURES, ["rv_lag_22"])
 
 
+@query
+def importance_names(spark, d):
+    """One non-negative share per model input, flags of missing inputs included, summing to one."""
+    shares = importance(spark, d)
+    whole = F.abs(F.sum("importance").over(Window.partitionBy()) - 1) < 1e-9
+    return shares.select("feature", (F.col("importance") >= 0).alias("non_negative"), whole.alias("sums_to_one"))
+
+
 # --- ledger and report ----------------------------------------------------------
 
 def _predictions(spark, d, daily=None, open_days=20):

@@ -100,7 +100,9 @@ def land_bars(run: Run, incoming: DataFrame) -> None:
     """Append what extends each symbol; nothing is rewritten."""
     known = run.store.read("bar_watermarks").filter(F.col("load") < run.batch)
     known = known.select("symbol", F.col("last_ts").alias("ts"))
-    _write_load(run, src.new_bars(known, incoming, run.bound, keep="volume"), run.batch)
+    # contract months of macro series overlap: the most traded bar; an instrument keeps its first
+    macro = [s.symbol for s in run.sources if s.symbol not in run.instruments]
+    _write_load(run, src.new_bars(known, incoming, run.bound, keep=F.col("symbol").isin(*macro)), run.batch)
 
 
 def refresh_daily(run: Run) -> None:

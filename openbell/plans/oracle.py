@@ -754,3 +754,36 @@ ORACLE["stream_append"] = with_(TICKS, TICK_STAMPED) + f"""SELECT symbol, ts, {r
 ORACLE["stream_snapshot"] = with_(EVENT_BARS, STAMPED, PREMARKET) + f"""
     SELECT symbol, date, {rounded(*PREMARKET_COLS)} FROM premarket
     WHERE date + INTERVAL 541 MINUTE <= (SELECT max(local) FROM stamped)"""
+
+# --- contracts and rules ------------------------------------------------------------------------
+
+ORACLE["bars_keep_rule"] = with_(EVENT_BARS) + f"""SELECT symbol, ts,
+    {r("close + CASE WHEN symbol = 'click' THEN 1 ELSE 0 END")} AS close,
+    {r("volume + CASE WHEN symbol = 'click' THEN 1 ELSE 0 END")} AS volume
+    FROM bars WHERE ts < TIMESTAMP '2024-01-28 14:01:00'"""
+ORACLE["bars_healed"] = ORACLE["dedupe_highest_volume"]
+ORACLE["bars_read"] = with_(EVENT_BARS) + f"SELECT {BAR_COLS} FROM bars"
+ORACLE["articles_first_delivered"] = with_(*articles()) + """SELECT title, published_at, sha256(description || '0') AS text_key
+    FROM articles QUALIFY row_number() OVER (PARTITION BY title, published_at ORDER BY doc_id) = 1"""
+ORACLE["load_gaps"] = """WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS load_date FROM events)
+    SELECT CAST(unnest(generate_series((SELECT min(load_date) FROM days), (SELECT max(load_date) FROM days), INTERVAL 1 DAY)) AS DATE)
+    AS load_date EXCEPT SELECT load_date FROM days WHERE isodow(load_date) <> 7"""
+ORACLE["scored_in_two_runs"] = f"SELECT * EXCLUDE (Date, published_at, n_copies) FROM ({ORACLE['scored_once']})"
+ORACLE["legacy_checkpoint"] = with_(
+    *articles(), SCORES,
+    ("one", "SELECT text_hash, min(doc_id) AS doc_id FROM boxed WHERE Date < DATE '2024-02-15' GROUP BY 1"),
+    ("ckpt", gated("SELECT * FROM one JOIN scores USING (doc_id)")),
+) + "SELECT text_hash, is_neutral, tier2_scored FROM ckpt"
+ORACLE["failed_texts"] = ORACLE["legacy_checkpoint"].replace(
+    "SELECT text_hash, is_neutral, tier2_scored FROM ckpt", "SELECT text_hash, doc_id FROM ckpt WHERE NOT tier2_scored AND doc_id % 2 <> 0"
+)
+ORACLE["sentiment_load"] = with_(LINES, DAILY) + f"""SELECT date,
+    {r('max(close) * CASE WHEN day(date) % 2 = 0 THEN -1 ELSE 1 END')} AS impact FROM daily GROUP BY date"""
+ORACLE["fit_predict_rows"] = with_(
+    *HAR,
+    ("rows_", "SELECT symbol, date, target FROM ranges WHERE target IS NOT NULL"),
+    ("days", "SELECT date, row_number() OVER (ORDER BY date) AS pos, count(*) OVER () AS n FROM (SELECT DISTINCT date FROM rows_)"),
+) + f"""SELECT symbol, date, {r('target')} AS target, true AS predicted FROM rows_ JOIN days USING (date)
+    WHERE pos > floor(n * 0.8e0)"""
+ORACLE["importance_names"] = """SELECT unnest(['rv_lag_5', 'rv_lag_22', 'prev_day_range', 'prev_rth_momentum', 'relative_volume',
+    'rv_lag_22_missing']) AS feature, true AS non_negative, true AS sums_to_one"""

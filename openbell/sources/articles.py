@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from openbell.functions.clock import article_date
 from openbell.functions.text import news_text
-from openbell.operators.dedup import keep_first, keep_last
+from openbell.operators.dedup import DELIVERY, keep_first, keep_last
 from openbell.schemas import ARTICLES_LANDING
 
 ARTICLE_KEY = ["title", "published_at"]
@@ -18,10 +18,14 @@ ARTICLE_KEY = ["title", "published_at"]
 def read_landing(spark: SparkSession, path: str, load_seq: int = 0) -> DataFrame:
     """JSON records as delivered, with parsed timestamps and the load's number.
 
-    Inside one load the order of delivery is file name, then position; both are
-    cheap metadata columns, so no row is renumbered.
+    ``delivery`` orders the rows of a load by file name, block and place in the block,
+    whatever the partitioning.
     """
     raw = spark.read.schema(ARTICLES_LANDING).json(path)
+    raw = raw.select(
+        *raw.columns,
+        F.struct("_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row")).alias(DELIVERY),
+    )
     parsed = F.coalesce(
         F.col("published_at").try_cast("timestamp").cast("timestamp_ntz"),
         F.try_to_timestamp("published_at").cast("timestamp_ntz"),
@@ -31,7 +35,7 @@ def read_landing(spark: SparkSession, path: str, load_seq: int = 0) -> DataFrame
 
 def landed(records: DataFrame) -> DataFrame:
     """First delivery of an article wins."""
-    return keep_first(records, ARTICLE_KEY)
+    return keep_first(records, ARTICLE_KEY).drop(DELIVERY)
 
 
 def last_seen(existing: DataFrame) -> dt.datetime:
@@ -42,18 +46,21 @@ def last_seen(existing: DataFrame) -> dt.datetime:
     return newest
 
 
+def missing_days(manifest: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """Days of ``[first, last]`` without a good load."""
+    days = manifest.sparkSession.range(1).select(
+        F.explode(F.sequence(F.lit(first), F.lit(last))).alias("load_date")
+    )
+    return days.join(manifest.filter("ok").select("load_date").distinct(), "load_date", "left_anti")
+
+
 def check_manifest(manifest: DataFrame, first: dt.date, last: dt.date) -> None:
     """All or nothing: raise unless every day of ``[first, last]`` loaded.
 
     The expected days are generated, so a day without a manifest row counts as
     failed too.
     """
-    spark = manifest.sparkSession
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(first), F.lit(last))).alias("load_date")
-    )
-    good = manifest.filter("ok").select("load_date").distinct()
-    failed = days.join(good, "load_date", "left_anti").agg(
+    failed = missing_days(manifest, first, last).agg(
         F.sort_array(F.collect_list(F.col("load_date").cast("string"))).alias("days")
     ).first()["days"]
     if failed:

@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from openbell.functions.clock import ONE_MINUTE, SessionClock, from_wall_clock, stamp
 from openbell.functions.numeric import nan_to_null
-from openbell.operators.dedup import duplicate_keys, keep_first, keep_highest_volume
+from openbell.operators.dedup import DELIVERY, duplicate_keys, keep_by_rule, keep_first, keep_highest_volume
 from openbell.schemas import BARS, OHLCV, SOURCE_CFG
 
 # Prices of one vendor arrive as integers scaled by 1e9.
@@ -68,9 +68,9 @@ def normalise_exchange_time(df: DataFrame, exchange_tz: str | None) -> DataFrame
     if exchange_tz:
         ts = from_wall_clock("ts", exchange_tz)
     typed = df.withColumns({**{c: F.col(c).cast("double") for c in OHLCV}, "ts": ts})
-    return keep_first(
-        nan_to_null(typed.select("symbol", "ts", *OHLCV, "load_seq")), ["symbol", "ts"]
-    )
+    order = [DELIVERY] if DELIVERY in df.columns else []
+    kept = keep_first(nan_to_null(typed.select("symbol", "ts", *OHLCV, "load_seq", *order)), ["symbol", "ts"])
+    return kept.drop(DELIVERY)
 
 
 def trim(bars: DataFrame, start: dt.datetime, end: dt.datetime) -> DataFrame:
@@ -85,10 +85,11 @@ def new_bars(
     existing: DataFrame,
     incoming: DataFrame,
     end: dt.datetime,
-    keep: str = "first",
+    keep: str | Column = "first",
 ) -> DataFrame:
     """Rows of ``incoming`` that extend ``existing``: per symbol from one minute
-    past the last stored bar up to ``end`` (exclusive), one row per timestamp.
+    past the last stored bar up to ``end`` (exclusive), one row per timestamp: the
+    ``first`` one, that of the largest ``volume``, or the latter where a condition holds.
 
     All symbols go through one join; the watermark side has one row per symbol
     and AQE broadcasts it when it measures it to be small. A symbol without
@@ -103,11 +104,15 @@ def new_bars(
         .filter(F.col("_start").isNull() | (F.col("ts") >= F.col("_start")))
         .drop("_start")
     )
-    return keep_highest_volume(fresh) if keep == "volume" else keep_first(fresh, ["symbol", "ts"])
+    if isinstance(keep, Column):
+        out = keep_by_rule(fresh, keep)
+    else:
+        out = keep_highest_volume(fresh) if keep == "volume" else keep_first(fresh, ["symbol", "ts"])
+    return out.drop(DELIVERY)
 
 
 def extended(
-    existing: DataFrame, incoming: DataFrame, end: dt.datetime, keep: str = "first"
+    existing: DataFrame, incoming: DataFrame, end: dt.datetime, keep: str | Column = "first"
 ) -> DataFrame:
     """The whole table after a load. Storage does not need it: the new rows lie
     strictly after the old ones, so ``append_bars`` writes only those."""
