@@ -25,7 +25,7 @@ from openbell.llm.components import components
 from openbell.session import materialize
 
 #: Rows of the sample that balances the tree, fingerprints a shard aims at, and of a leaf inside a shard.
-SAMPLE, SHARD, LEAF = 32_768, 4_000, 512
+SAMPLE, SHARD, LEAF = 32_768, 8_000, 512
 WORDS = re.compile(rb"[^\x20\x09-\x0d]+").findall
 
 
@@ -56,8 +56,8 @@ def simhash(terms: list[bytes], seed: int = 42) -> int:
     return int(np.packbits(bits * 2 > len(h), bitorder="little").view(np.uint64)[0])
 
 
-def simhash_views(terms: list[bytes], n: int) -> list[int]:
-    """``n`` independent fingerprints of the terms: one XXH64 each, mixed anew for every view."""
+def simhash_views(terms: list[bytes], n: int, n_bits: int = 40) -> list[int]:
+    """``n`` independent fingerprints of ``n_bits`` of the terms: one XXH64 each, mixed anew for every view."""
     import xxhash
 
     if not terms:
@@ -69,7 +69,7 @@ def simhash_views(terms: list[bytes], n: int) -> list[int]:
         g = (g ^ (g >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
         g ^= g >> np.uint64(29)
         bits = np.unpackbits(g.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-        out.append(int(np.packbits(bits * 2 > len(h), bitorder="little").view(np.uint64)[0]))
+        out.append(int(np.packbits(bits * 2 > len(h), bitorder="little").view(np.uint64)[0]) & ((1 << n_bits) - 1))
     return out
 
 
@@ -89,8 +89,12 @@ def fingerprints(docs: DataFrame, n_words: int = 3, seed: int = 42) -> DataFrame
     return rows.mapInPandas(run, "doc_id string, fp long").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def _split(points: np.ndarray, half: int, seed: int) -> tuple[np.uint64, int] | None:
-    """The vantage point and distance that leave the smaller sides, of a few seeded candidates; None: no gain."""
+def _split(points: np.ndarray, half: int, seed: int, most: float) -> tuple[np.uint64, int] | None:
+    """The vantage point and distance that leave the least work, of a few seeded candidates.
+
+    Comparing all pairs costs the square of a side; None if the two sides together cost more than ``most`` of what
+    the undivided points do, as in a dense cluster, whose points lie on both sides of any split.
+    """
     rng = np.random.default_rng(seed)
     sample = points if len(points) <= 2048 else points[rng.integers(0, len(points), 2048)]
     best = None
@@ -99,8 +103,9 @@ def _split(points: np.ndarray, half: int, seed: int) -> tuple[np.uint64, int] |
         at = int(np.median(d))
         for mid in (at - 1, at):
             inner, outer = int((d <= mid + half).sum()), int((d > mid - half).sum())
-            if max(inner, outer) < 0.95 * len(sample) and (best is None or max(inner, outer) < best[0]):
-                best = (max(inner, outer), vp, mid)
+            work = (inner**2 + outer**2) / len(sample) ** 2
+            if work < most and (best is None or work < best[0]):
+                best = (work, vp, mid)
     return best and (best[1], best[2])
 
 
@@ -118,7 +123,7 @@ class Tree:
         self.root = self._grow(sample, scale, shard, 0)
 
     def _grow(self, points: np.ndarray, scale: float, shard: int, depth: int):
-        cut = _split(points, self.half, depth) if len(points) * scale > shard and len(points) >= 16 else None
+        cut = _split(points, self.half, depth, 0.95) if len(points) * scale > shard and len(points) >= 16 else None
         if cut is None:
             self.leaves += 1
             return self.leaves - 1
@@ -162,11 +167,14 @@ def _leaf_links(points: np.ndarray, near: np.ndarray, at: np.ndarray, radius: in
 
 
 def shard_links(points: np.ndarray, near: np.ndarray, radius: int, leaf: int = LEAF) -> set[tuple[int, int]]:
-    """Forest of the links of one shard, by a tree of its own over positions."""
-    half, out, todo = (radius + 1) // 2, set(), [(np.arange(len(points)), 0)]
+    """Forest of the links of one shard, by a tree of its own over positions. Equal points link to the first one."""
+    _, first, same = np.unique(points, return_index=True, return_inverse=True)
+    lead = first[same]
+    out = {(int(lead[k]), int(k)) for k in np.flatnonzero(lead != np.arange(len(points)))}
+    half, todo = (radius + 1) // 2, [(first, 0)]
     while todo:
         at, depth = todo.pop()
-        cut = _split(points[at], half, depth) if len(at) > leaf else None
+        cut = _split(points[at], half, depth, 0.9) if len(at) > leaf else None
         if cut is None:
             out.update(_leaf_links(points, near, at, radius))
         else:
@@ -225,7 +233,9 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- one document of each group, for the pipeline -----------------------------------------------------------
 
-VIEWS = 6
+#: Fingerprints per text, bits of each, and how many of them measure how near two texts are. Few bits change with few
+#: words: at a similarity of 0.8 a view of 40 bits differs in two or fewer about every second time.
+VIEWS, VIEW_BITS, NEAR = 10, 40, 4
 
 
 def _node() -> F.Column:
@@ -239,7 +249,34 @@ def jaccard(left: str, right: str, n: int) -> float:
     return len(a & b) / len(a | b) if a or b else 1.0
 
 
-def keep_one(docs: DataFrame, n_words: int = 5, similarity: float = 0.8, radius: int = 4, views: int = VIEWS) -> DataFrame:
+def _view_links(nodes: DataFrame, names: list[str], radius: int) -> DataFrame:
+    """(a, b): ids (column ``nid``) linked within the radius in any view, a minimum spanning forest per leaf by the
+    distance over the first views. All views are dealt in one pass and linked in one."""
+    near = names[:NEAR]
+    some = nodes.select(*names).orderBy(F.xxhash64("nid", F.lit(7)), "nid").limit(SAMPLE).collect()
+    sample, total = np.array([tuple(r) for r in some], np.int64).reshape(-1, len(names)).view(np.uint64), nodes.count()
+    trees = nodes.sparkSession.sparkContext.broadcast([Tree(sample[:, k].copy(), total, radius) for k in range(len(names))])
+
+    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for k, name in enumerate(names):
+                for number, at in trees.value[k].route(pdf[name].to_numpy(np.int64).view(np.uint64)):
+                    part = pdf.iloc[at]
+                    yield part[["nid", *near]].assign(fp=part[name], view=k, shard=number)
+
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        sig = np.stack([pdf[c].to_numpy(np.int64).view(np.uint64) for c in near], axis=1)
+        ids = pdf["nid"].tolist()
+        pairs = shard_links(pdf["fp"].to_numpy(np.int64).view(np.uint64), sig, radius)
+        rows = sorted({(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in pairs})
+        return pd.DataFrame(rows, columns=["a", "b"])
+
+    fields = "nid long, " + "".join(f"{v} long, " for v in near) + "fp long, view int, shard int"
+    dealt = nodes.select("nid", *names).mapInPandas(deal, fields)
+    return dealt.groupBy("view", "shard").applyInPandas(link, "a long, b long").distinct()
+
+
+def keep_one(docs: DataFrame, n_words: int = 5, similarity: float = 0.8, radius: int = 2, views: int = VIEWS) -> DataFrame:
     """The documents without near copies: of every group the row with the smallest doc_id stays.
 
     Candidates: several independent fingerprints of the distinct words, searched within ``radius`` in every
@@ -254,22 +291,18 @@ def keep_one(docs: DataFrame, n_words: int = 5, similarity: float = 0.8, radius:
 
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            rows = [[_signed(x) for x in simhash_views(list(set(words(text))), views)] for text in pdf["text"]]
+            rows = [[_signed(x) for x in simhash_views(list(set(words(text))), views, VIEW_BITS)] for text in pdf["text"]]
             yield pd.concat([pdf[["doc_id", "node"]], pd.DataFrame(rows, columns=names, index=pdf.index)], axis=1)
 
     signed = texts.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
         sign, "doc_id string, node string, " + ", ".join(f"{v} long" for v in names)
     )
     signed = materialize(signed.withColumn("doc_id", F.col("doc_id").cast("long")), "views")
-    nodes = materialize(signed.groupBy("node").agg(F.min("doc_id").alias("first"), *[F.min(v).alias(v) for v in names]), "view-nodes")
-    found = []
-    for v in names:
-        # nodes of one fingerprint in a view: linked in a chain to the first of them, and checked like the others
-        one = nodes.groupBy(v).agg(F.min("node").alias("one"))
-        same = nodes.join(one, v).where("node <> one").select(F.col("one").alias("a"), F.col("node").alias("b"))
-        heads = nodes.join(one, v).where("node = one").select("node", F.col(v).alias("fp"), *names)
-        found += [same, links(heads, radius, names)]
-    pairs = materialize(functools.reduce(DataFrame.unionByName, found).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "view-pairs")
+    nodes = signed.groupBy("node").agg(F.min("doc_id").alias("first"), *[F.min(v).alias(v) for v in names])
+    nodes = materialize(nodes.withColumn("nid", F.monotonically_increasing_id()), "view-nodes")
+    found = materialize(_view_links(nodes, names, radius), "view-links")
+    a, b = nodes.select(F.col("nid").alias("a"), F.col("node").alias("na")), nodes.select(F.col("nid").alias("b"), F.col("node").alias("nb"))
+    pairs = materialize(found.join(a, "a").join(b, "b").select(F.col("na").alias("a"), F.col("nb").alias("b")), "view-pairs")
 
     one_each = nodes.select("node", "first")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(one_each, "node")
