@@ -24,7 +24,7 @@ from openbell.operators import scoring as sc
 from openbell.operators import sessions as ses
 from openbell.plans import market
 from openbell.schemas import DAILY_SENTIMENT
-from openbell.session import materialize
+from openbell.session import drop_materialized, materialize, materialized_count
 from openbell.sources import articles as art
 from openbell.sources import bars as src
 from openbell.sources.store import TableStore
@@ -52,6 +52,7 @@ class Run:
     trials: int = ml.TRIALS
     max_rounds: int = ml.MAX_ROUNDS
     parallelism: int = 4
+    keep_versions: int = 3
     force_search: bool = False
     features: list[str] | None = None
     level_source: str = "vix"
@@ -299,8 +300,10 @@ def report(run: Run, scored: DataFrame, meta: DataFrame) -> DataFrame:
 def run_daily(
     run: Run, new_bars: DataFrame | None = None, new_articles: DataFrame | None = None
 ) -> DataFrame:
-    """All steps in order; returns the report."""
+    """All steps in order; returns the report. Intermediate tables go at the end, and
+    so do all but the last ``keep_versions`` versions of each stage table."""
     run.store.require(**REQUIRED)
+    before = materialized_count()
     if new_bars is not None:
         land_bars(run, new_bars)
     if new_articles is not None:
@@ -312,4 +315,7 @@ def run_daily(
     settle(run)
     model, meta = train(run)
     scored = predict(run, model, meta)
-    return report(run, scored, meta)
+    out = report(run, scored, meta)
+    drop_materialized(run.store.spark, before)
+    run.store.prune(run.keep_versions)
+    return out

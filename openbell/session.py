@@ -32,6 +32,7 @@ def recommended_conf() -> dict[str, str]:
 
 
 _local_base: str | None = None
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
@@ -54,5 +55,19 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut and
     a lost executor costs a re-read instead of a recomputation."""
     path = shared_dir(df.sparkSession, purpose)
+    _made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_materialized(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables that ``materialize`` wrote in this session after the first
+    ``since``; for the end of a job whose results are stored elsewhere."""
+    for path in _made[since:]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    del _made[since:]
+
+
+def materialized_count() -> int:
+    return len(_made)

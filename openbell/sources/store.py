@@ -32,14 +32,36 @@ class TableStore:
             numbers = [n for n in numbers if fs.exists(self._path(name, f"v{n}", "_SUCCESS"))]
         return sorted(numbers)
 
+    def _newest(self, name: str) -> int | None:
+        """The newest committed version; older ones are not looked at."""
+        fs = self._fs()
+        for n in reversed(self._versions(name, committed=False)):
+            if fs.exists(self._path(name, f"v{n}", "_SUCCESS")):
+                return n
+        return None
+
     def exists(self, name: str) -> bool:
-        return bool(self._versions(name, committed=True))
+        return self._newest(name) is not None
 
     def location(self, name: str) -> str:
-        versions = self._versions(name, committed=True)
-        if not versions:
+        newest = self._newest(name)
+        if newest is None:
             raise FileNotFoundError(f"no table {name!r} below {self.root}")
-        return f"{self.root}/{name}/v{versions[-1]}"
+        return f"{self.root}/{name}/v{newest}"
+
+    def prune(self, keep: int = 3) -> None:
+        """Delete all but the last ``keep`` committed versions of every table (whole
+        versions, never rows), and uncommitted ones that are older than those."""
+        fs = self._fs()
+        if not fs.exists(self._path()):
+            return
+        for status in fs.listStatus(self._path()):
+            name = status.getPath().getName()
+            good = self._versions(name, committed=True) if status.isDirectory() else []
+            if len(good) > keep:
+                for n in self._versions(name, committed=False):
+                    if n < good[-keep]:
+                        fs.delete(self._path(name, f"v{n}"), True)
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.location(name))

@@ -158,3 +158,30 @@ def test_topics_fit_once(spark):
     _, _, vt = np.linalg.svd(m, full_matrices=False)
     got = np.array([r[0] for r in a.orderBy("Date").select("context_pca_1").collect()])
     assert np.allclose(np.abs(got), np.abs(m @ vt[0]))
+
+
+def test_scoring_resumes_after_a_failed_part(spark):
+    """Texts of finished parts are not scored again."""
+    store = TableStore(spark, tempfile.mkdtemp(prefix="openbell-test-"))
+    articles = spark.range(40).select(
+        F.lit(dt.date(2024, 3, 5)).alias("Date"), F.lit(dt.datetime(2024, 3, 5, 10)).cast("timestamp_ntz").alias("published_at"),
+        F.concat(F.lit("text "), F.col("id")).alias("news_text"),
+    )
+    good = hash_scorer()
+    append, calls = store.append, []
+
+    def failing(name, df):
+        calls.append(name)
+        if len(calls) == 3:
+            raise RuntimeError("the model went away")
+        append(name, df)
+
+    store.append = failing
+    with pytest.raises(RuntimeError, match="went away"):
+        sc.score_articles(articles, good, store, batch=1, parts=4)
+    store.append = append
+    done = store.read("article_scores").count()
+    assert 0 < done < 40
+    assert sc.pending_keys(sc.with_key(articles), store.read("article_scores")).count() == 40 - done
+    assert sc.score_articles(articles, good, store, batch=2, parts=4).count() == 40
+    assert store.read("article_scores").select("text_hash").distinct().count() == 40

@@ -167,3 +167,38 @@ def test_contracts(spark, make_daily):
     with pytest.raises(KeyError, match=r"\['a', 'b'\]"):
         contracts.require_columns(df, ["a", "close", "b"], "x")
     assert rows(contracts.null_audit(df.withColumn("open", F.lit(None))), "column_name", "n_null") == [("open", 2)]
+
+
+def test_prune_keeps_the_last_versions(spark):
+    store = TableStore(spark, tempfile.mkdtemp(prefix="openbell-test-"))
+    for n in range(5):
+        store.replace("bars", spark.range(n))
+    store.prune(keep=2)
+    assert store._versions("bars", committed=False) == [4, 5] and store.read("bars").count() == 4
+
+
+def test_first_delivery_wins_whatever_the_partitioning(spark):
+    records = [(f"t{k % 5}", dt.datetime(2024, 1, 1), f"text {k}", 1, k) for k in range(40)]
+    schema = "title STRING, published_at TIMESTAMP_NTZ, description STRING, load_seq BIGINT, delivery INT"
+    for n in (1, 8):
+        table = spark.createDataFrame(records[::-1], schema).repartition(n)
+        assert rows(art.landed(table), "description") == [(f"text {k}",) for k in range(5)]
+    ties = [spark.createDataFrame(records, schema).drop("delivery").repartition(n) for n in (1, 8)]
+    first, second = (rows(art.landed(t), "title", "description") for t in ties)
+    assert first == second and len(first) == 5
+
+
+def test_landing_keeps_the_order_of_files(spark, tmp_path):
+    for name, text in (("b.json", "late"), ("a.json", "early")):
+        (tmp_path / name).write_text("".join(f'{{"title": "x", "published_at": "2024-01-01T00:00:00Z", "description": "{text} {k}"}}\n' for k in range(3)))
+    landed = art.landed(art.read_landing(spark, str(tmp_path)))
+    assert [r.description for r in landed.collect()] == ["early 0"]
+
+
+def test_keep_rule_by_symbol(spark, make_bars):
+    bars = make_bars(
+        ("2024-03-05 10:00", 1, 1, 1, 1, 5, "VX", 1), ("2024-03-05 10:00", 2, 2, 2, 2, 9, "VX", 2),
+        ("2024-03-05 10:00", 3, 3, 3, 3, 5, "ES", 1), ("2024-03-05 10:00", 4, 4, 4, 4, 9, "ES", 2),
+    )
+    out = src.new_bars(bars.limit(0), bars, dt.datetime(2024, 3, 6), keep=F.col("symbol").isin("VX"))
+    assert rows(out, "symbol", "open") == [("ES", 3.0), ("VX", 2.0)]
