@@ -55,23 +55,6 @@ def simhash(terms: list[bytes], seed: int = 42) -> int:
     return int(np.packbits(bits * 2 > len(h), bitorder="little").view(np.uint64)[0])
 
 
-def simhash_views(terms: list[bytes], n: int, n_bits: int = 40) -> list[int]:
-    """``n`` independent fingerprints of ``n_bits`` of the terms: one XXH64 each, mixed anew for every view."""
-    import xxhash
-
-    if not terms:
-        return [0] * n
-    h = np.array([xxhash.xxh64_intdigest(t, 42) for t in terms], np.uint64)
-    out = []
-    for k in range(n):
-        g = (h + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
-        g = (g ^ (g >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-        g ^= g >> np.uint64(29)
-        bits = np.unpackbits(g.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-        out.append(int(np.packbits(bits * 2 > len(h), bitorder="little").view(np.uint64)[0]) & ((1 << n_bits) - 1))
-    return out
-
-
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -232,9 +215,33 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- one document of each group, for the pipeline -----------------------------------------------------------
 
-#: Fingerprints per text, bits of each, and how many of them measure how near two texts are. Few bits change with few
-#: words: at a similarity of 0.8 a view of 40 bits differs in two or fewer about every second time.
-VIEWS, VIEW_BITS, NEAR = 10, 40, 4
+#: Keys per text and MinHash values in each. Two texts of similarity J share no key with probability
+#: (1 - J**4) ** 32, which is 5e-8 at 0.8 and less above, whatever kind of edit parts them.
+BANDS, ROWS = 32, 4
+FACTORS = np.random.default_rng(42).integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
+#: Shingles hashed in one block.
+BLOCK = 2048
+
+
+def band_keys(terms: set[bytes]) -> list[int]:
+    """One signed 64-bit key per band: the MinHash values of the distinct terms, ``ROWS`` to a key. No term: no key."""
+    import xxhash
+
+    if not terms:
+        return []
+    h = np.array([xxhash.xxh64_intdigest(t, 42) for t in terms], np.uint64)
+    least = np.full(BANDS * ROWS, np.uint64(0xFFFFFFFFFFFFFFFF))
+    for at in range(0, len(h), BLOCK):
+        g = h[None, at : at + BLOCK] * FACTORS[:, None]
+        g ^= g >> np.uint64(32)
+        g *= np.uint64(0xBF58476D1CE4E5B9)
+        g ^= g >> np.uint64(29)
+        least = np.minimum(least, g.min(1))
+    key = np.arange(BANDS, dtype=np.uint64)
+    for column in least.reshape(BANDS, ROWS).T:
+        key = (key ^ column) * np.uint64(0x94D049BB133111EB)
+        key ^= key >> np.uint64(31)
+    return key.view(np.int64).tolist()
 
 
 def _node() -> F.Column:
@@ -248,76 +255,96 @@ def jaccard(left: str, right: str, n: int) -> float:
     return len(a & b) / len(a | b) if a or b else 1.0
 
 
-def _view_links(nodes: DataFrame, names: list[str], radius: int) -> DataFrame:
-    """(a, b): ids (column ``nid``) linked within the radius in any view, a minimum spanning forest per leaf by the
-    distance over the first views. All views are dealt in one pass and linked in one."""
-    near = names[:NEAR]
-    some = nodes.select(*names).orderBy(F.xxhash64("nid", F.lit(7)), "nid").limit(SAMPLE).collect()
-    sample, total = np.array([tuple(r) for r in some], np.int64).reshape(-1, len(names)).view(np.uint64), nodes.count()
-    trees = nodes.sparkSession.sparkContext.broadcast([Tree(sample[:, k].copy(), total, radius) for k in range(len(names))])
+def _similar(pairs: DataFrame, texts: DataFrame, n_words: int) -> DataFrame:
+    """(a, b, j): the exact similarity of every pair; ``texts`` are (nid, text)."""
 
-    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            for k, name in enumerate(names):
-                for number, at in trees.value[k].route(pdf[name].to_numpy(np.int64).view(np.uint64)):
-                    part = pdf.iloc[at]
-                    yield part[["nid", *near]].assign(fp=part[name], view=k, shard=number)
+    @F.pandas_udf("double")
+    def alike(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series([jaccard(a, b, n_words) for a, b in zip(left, right, strict=True)], dtype="float64")
 
-    def link(pdf: pd.DataFrame) -> pd.DataFrame:
-        sig = np.stack([pdf[c].to_numpy(np.int64).view(np.uint64) for c in near], axis=1)
-        ids = pdf["nid"].tolist()
-        pairs = shard_links(pdf["fp"].to_numpy(np.int64).view(np.uint64), sig, radius)
-        rows = sorted({(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in pairs})
-        return pd.DataFrame(rows, columns=["a", "b"])
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("nid")).distinct()
+    some = texts.join(wanted, "nid", "left_semi")
+    left, right = some.toDF("a", "ta"), some.toDF("b", "tb")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", alike("ta", "tb").alias("j"))
 
-    fields = "nid long, " + "".join(f"{v} long, " for v in near) + "fp long, view int, shard int"
-    dealt = nodes.select("nid", *names).mapInPandas(deal, fields)
-    return dealt.groupBy("view", "shard").applyInPandas(link, "a long, b long").distinct()
 
+def _groups(live: DataFrame, texts: DataFrame, n_words: int, similarity: float) -> DataFrame | None:
+    """(nid, root) of all texts with a true link; None without any. ``live`` has the rows (key, nid, n) of shared keys.
 
-def keep_one(docs: DataFrame, n_words: int = 5, similarity: float = 0.8, radius: int = 2, views: int = VIEWS) -> DataFrame:
+    Per key, centres are compared with all other texts of the key that are not connected to them by true links yet,
+    and leave it. The number of centres doubles every round, so that rounds are few; a key is done when its texts
+    are connected or one is left. So every two texts of a key are compared, or connected by true links, or ruled
+    out: by their sizes, or because their distances to the key's first centre differ by more than a link may
+    measure (Jaccard distance is a metric).
+    """
+    most, centres_per_key, tried, roots = 1 - similarity + 1e-9, 1, None, None
+    live = live.withColumn("d", F.lit(None).cast("double"))
+    while True:
+        named = live.withColumn("root", F.col("nid"))
+        if roots is not None:
+            named = live.join(roots, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
+        named = materialize(named.select("key", "nid", "n", "d", "root"), "band-rows")
+        open_keys = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
+        named = materialize(named.join(open_keys, "key", "left_semi"), "band-open")
+        if named.isEmpty():
+            return roots
+        part = F.pmod(F.xxhash64("nid"), F.lit(centres_per_key))
+        first = named.groupBy("key", part.alias("part")).agg(F.min(F.struct("nid", "n", "d", "root")).alias("c"))
+        centres = materialize(first.select("key", *[F.col(f"c.{x}").alias(f"c_{x}") for x in ("nid", "n", "d", "root")]), "band-centres")
+        near = F.coalesce(F.abs(F.col("d") - F.col("c_d")) <= most, F.lit(True))
+        sizes = F.least("n", "c_n") >= F.greatest("n", "c_n") * similarity - 1e-9
+        pairs = named.join(centres.hint("merge"), "key").where((F.col("root") != F.col("c_root")) & sizes & near)
+        pairs = pairs.select(F.least("nid", "c_nid").alias("a"), F.greatest("nid", "c_nid").alias("b")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "band-pairs")
+        fresh = materialize(_similar(pairs, texts, n_words), "band-tried")
+        tried = fresh if tried is None else tried.unionByName(fresh)
+        if not fresh.where(F.col("j") >= similarity).isEmpty():
+            roots = materialize(components(tried.where(F.col("j") >= similarity).select("a", "b")).select(F.col("node").alias("nid"), "root"), "band-roots")
+        left = named.join(centres.select("key", F.col("c_nid").alias("nid")), ["key", "nid"], "left_anti").drop("root")
+        if centres_per_key == 1:
+            to_first = left.drop("d").join(centres.select("key", F.col("c_nid").alias("a")).hint("merge"), "key")
+            measured = fresh.select("a", F.col("b").alias("nid"), (1 - F.col("j")).alias("d"))
+            left = to_first.join(measured, ["a", "nid"], "left").select("key", "nid", "n", "d")
+        live, centres_per_key = left, centres_per_key * 2
+
+
+def keep_one(docs: DataFrame, n_words: int = 5, similarity: float = 0.8) -> DataFrame:
     """The documents without near copies: of every group the row with the smallest doc_id stays.
 
-    Candidates: several independent fingerprints of the distinct words, searched within ``radius`` in every
-    view, since few bits of a fingerprint change with few words. Links count only after the exact similarity of
-    the ``n_words`` shingle sets is at least ``similarity``. Spanning forests by the distance over all views
-    stand for the pairs of a cluster. Equal texts are one node; texts without words are one group. Rows equal in
-    doc_id and text count as one; other columns pass through.
+    Texts whose ``n_words`` shingle sets have an exact similarity of at least ``similarity`` are linked, groups are
+    transitive. Candidates share one of the keys of MinHash values of these shingles; every two texts of a key are
+    compared or implied (see ``_groups``). Equal texts are one node; texts without words are one group. Rows equal
+    in doc_id and text count as one; other columns pass through.
     """
     columns = docs.columns
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), _node().alias("node"))
-    names = [f"v{k}" for k in range(views)]
 
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            rows = [[_signed(x) for x in simhash_views(list(set(words(text))), views, VIEW_BITS)] for text in pdf["text"]]
-            yield pd.concat([pdf[["doc_id", "node"]], pd.DataFrame(rows, columns=names, index=pdf.index)], axis=1)
-
-    signed = texts.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
-        sign, "doc_id string, node string, " + ", ".join(f"{v} long" for v in names)
-    )
-    signed = materialize(signed.withColumn("doc_id", F.col("doc_id").cast("long")), "views")
-    nodes = signed.groupBy("node").agg(F.min("doc_id").alias("first"), *[F.min(v).alias(v) for v in names])
-    nodes = materialize(nodes.withColumn("nid", F.monotonically_increasing_id()), "view-nodes")
-    found = materialize(_view_links(nodes, names, radius), "view-links")
-    a, b = nodes.select(F.col("nid").alias("a"), F.col("node").alias("na")), nodes.select(F.col("nid").alias("b"), F.col("node").alias("nb"))
-    pairs = materialize(found.join(a, "a").join(b, "b").select(F.col("na").alias("a"), F.col("nb").alias("b")), "view-pairs")
-
-    one_each = nodes.select("node", "first")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(one_each, "node")
-    some = texts.join(wanted, (texts["node"] == wanted["node"]) & texts["doc_id"].eqNullSafe(wanted["first"])).select(texts["node"], "text")
-    some = materialize(some.groupBy("node").agg(F.first("text").alias("text")), "pair-texts")
-
-    @F.pandas_udf("double")
-    def alike(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([jaccard(a, b, n_words) for a, b in zip(left, right, strict=True)], dtype="float64")
-
-    left, right = some.toDF("a", "ta"), some.toDF("b", "tb")
-    true = pairs.join(left, "a").join(right, "b").where(alike("ta", "tb") >= similarity).select("a", "b")
-    roots = components(true).withColumnRenamed("root", "group")
-    grouped = signed.select("doc_id", "node").distinct().join(roots, "node", "left").withColumn("group", F.coalesce("group", "node"))
-    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "node")
-    kept = materialize(grouped.groupBy("group").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.node").alias("_keep")), "kept")
+            sets = [set(shingles(words(text), n_words)) for text in pdf["text"]]
+            yield pdf[["doc_id", "node"]].assign(n=[len(x) for x in sets], keys=[band_keys(x) for x in sets])
+
+    signed = texts.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(sign, "doc_id string, node string, n long, keys array<long>")
+    signed = materialize(signed.withColumn("doc_id", F.col("doc_id").cast("long")), "bands")
+    nodes = signed.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"), F.min("keys").alias("keys"))
+    nodes = materialize(nodes.withColumn("nid", F.monotonically_increasing_id()), "band-nodes")
+    rows = nodes.select(F.explode("keys").alias("key"), "nid", "n")
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    live = materialize(rows.join(shared.hint("merge"), "key", "left_semi"), "band-shared")
+
+    wanted = nodes.join(live.select("nid").distinct(), "nid", "left_semi").select("nid", F.col("node").alias("_n"), "first")
+    some = texts.join(wanted.hint("merge"), (texts["node"] == wanted["_n"]) & texts["doc_id"].eqNullSafe(wanted["first"]))
+    some = materialize(some.groupBy("nid").agg(F.first("text").alias("text")), "band-texts")
+
+    group = F.col("nid")
+    roots = _groups(live, some, n_words, similarity)
+    if roots is not None:
+        nodes, group = nodes.join(roots, "nid", "left"), F.coalesce("root", "nid")
+    order = F.struct(F.col("first").isNull().alias("unknown"), "first", "node")
+    kept = nodes.groupBy(group.alias("group")).agg(F.min(order).alias("k"))
+    kept = materialize(kept.select(F.col("k.first").alias("_id"), F.col("k.node").alias("_keep")), "kept")
     rows = docs.select("doc_id", _node().alias("node"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
     rows = rows.join(kept.hint("merge"), (rows["node"] == kept["_keep"]) & rows["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
     return rows.dropDuplicates(["doc_id", "node"]).select("row.*")

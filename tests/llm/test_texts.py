@@ -303,6 +303,19 @@ def test_keep_one(spark, corpus):
     assert vptree.keep_one(docs(spark, [])).count() == 0
 
 
+def test_keep_one_finds_appended_cut_and_inserted_blocks(spark):
+    rng = random.Random(12)
+    rows, want = [], set()
+    for k in range(90):
+        base = prose(rng, 220).split()
+        block, at = prose(rng, 50).split(), rng.randrange(20, 200)
+        near = [base + block, base[:180], base[:at] + block[:42] + base[at:]][k % 3]
+        assert 0.8 <= vptree.jaccard(" ".join(base), " ".join(near), 5) <= 0.86
+        rows += [(k, " ".join(base)), (1000 + k, " ".join(near))]
+        want.add(k)
+    assert {r.doc_id for r in vptree.keep_one(docs(spark, rows)).collect()} == want
+
+
 # --- packing --------------------------------------------------------------------------------------------------
 
 
