@@ -316,6 +316,26 @@ def test_keep_one_finds_appended_cut_and_inserted_blocks(spark):
     assert {r.doc_id for r in vptree.keep_one(docs(spark, rows)).collect()} == want
 
 
+def test_keep_one_compares_texts_of_equal_word_sets(spark):
+    """Many texts over few words: a failed comparison with one text leaves the others to be tried."""
+    rng = random.Random(13)
+    vocabulary = [word(rng) for _ in range(30)]
+    base = [[rng.choice(vocabulary) for _ in range(500)] for _ in range(40)]
+    rows = [(k, " ".join(t)) for k, t in enumerate(base)]
+    rows += [(1000 + k, " ".join([*t[:250], vocabulary[0] + vocabulary[1], *t[251:]])) for k, t in enumerate(base)]
+    assert {r.doc_id for r in vptree.keep_one(docs(spark, rows)).collect()} == set(range(40))
+
+
+def test_groups_try_every_centre(spark):
+    """One key holds texts with and without links: none is linked to the first one."""
+    rng = random.Random(14)
+    base = [prose(rng, 60) for _ in range(7)]
+    texts = [base[0], *[f"{t} {x}" for x in ("a", "b", "c") for t in base[1:]]]
+    live = spark.createDataFrame([(5, k, len(t.split()) - 4) for k, t in enumerate(texts)], "key long, nid long, n long")
+    roots = vptree._groups(live, spark.createDataFrame(list(enumerate(texts)), "nid long, text string"), 5, 0.8)
+    assert {r.nid: r.root for r in roots.collect()} == {k: (k - 1) % 6 + 1 for k in range(1, 19)}
+
+
 # --- packing --------------------------------------------------------------------------------------------------
 
 
