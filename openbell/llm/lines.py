@@ -13,6 +13,9 @@ one row on the side of first texts, so the skewed side can be split by Spark.
 Defined cases: a null or empty text is one empty line and is kept as it is; chunks of blank lines are kept;
 rows equal in doc_id and text are treated alike; a null doc_id is smaller than any other; other columns pass through, but
 those named like an added one are replaced.
+
+A chunk has three lines on average and a passage loses only chunks that lie inside it, so short passages often
+stay, and one-line chunks always do. ``dedup_passages``, for the pipeline, removes repeated passages whole.
 """
 
 from __future__ import annotations
@@ -116,6 +119,74 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -
     )
 
 
+# --- repeated passages, for the pipeline ---------------------------------------------------------------------
+
+
+def _units(docs: DataFrame) -> DataFrame:
+    """Adds ``_lines``, and ``_at``: the places (from 0) of the lines that are not blank."""
+    lines = docs.withColumn("_lines", F.split(_text(), "\n", -1))
+    shown = lambda i: F.get("_lines", i).rlike(r"[^ \t\r\n]")
+    return lines.withColumn("_at", F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), shown))
+
+
+def _passages(docs: DataFrame) -> DataFrame:
+    """(doc_id, _k1, _k2, gone): numbers (of the lines not blank, from 0) to remove, one row per document that loses any."""
+    # rows equal in doc_id and text share their places
+    units = _units(_keys(docs.select("doc_id", "text")))
+    line = lambda k: F.get("_lines", F.get("_at", k))
+    pair = lambda k: F.struct(k.alias("k"), F.unhex(F.md5(F.concat_ws("\n", line(k - 1), line(k)))).alias("h"))
+    pairs = F.when(F.size("_at") > 1, F.transform(F.sequence(F.lit(1), F.size("_at") - 1), pair))
+    rows = units.select("doc_id", "_k1", "_k2", F.explode(pairs).alias("c")).select("doc_id", "_k1", "_k2", "c.k", "c.h")
+    rows = materialize(rows, "line-pairs")
+    place = F.struct("doc_id", "_k1", "_k2", "k")
+    repeated = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
+    repeated = materialize(repeated, "line-repeated")
+    found = rows.join(repeated.hint("merge"), "h").where(~place.eqNullSafe(F.col("first")))
+    same = F.struct("doc_id", "_k1", "_k2").eqNullSafe(F.struct("first.doc_id", "first._k1", "first._k2"))
+    # the line between is the first pair's too where a pair follows on its own first place
+    lost = F.when(same & (F.col("k") == F.col("first.k") + 1), F.array("k")).otherwise(F.array(F.col("k") - 1, F.col("k")))
+    return found.groupBy("doc_id", "_k1", "_k2").agg(F.array_distinct(F.flatten(F.collect_set(lost))).alias("gone"))
+
+
+def dedup_passages(docs: DataFrame) -> DataFrame:
+    """The documents with ``text`` shortened, and ``_gone_lines``: repeated passages of two or more lines go.
+
+    Every pair of neighbouring lines, blank ones between them skipped, that stands earlier (smaller doc_id, then
+    earlier line) is removed, so a passage of any length goes whole wherever it stands, and an exact copy of a text
+    of several lines leaves nothing. Every line removed stands somewhere earlier. Blank lines go with the line
+    before them, leading ones with the first line. A line alone, without a repeated neighbour, stays.
+
+    Pairs are equal if their MD5 is. Plan: one narrow row per line; only decisions are joined to the texts.
+    Defined cases as above.
+    """
+    columns = [c for c in docs.columns if c != "_gone_lines"]
+    gone = materialize(_passages(docs), "line-removals").select(
+        F.col("doc_id").alias("_id"), F.col("_k1").alias("_g1"), F.col("_k2").alias("_g2"), "gone"
+    )
+    keyed = _keys(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"))).drop("text")
+    joined = keyed.join(
+        gone.hint("merge"), keyed["doc_id"].eqNullSafe(gone["_id"]) & (keyed["_k1"] == gone["_g1"]) & (keyed["_k2"] == gone["_g2"]), "left"
+    ).withColumn("text", F.col("_row.text"))
+    units = _units(joined).withColumn("_n", F.size("_at"))
+
+    def unit(k: Column) -> Column:
+        start = F.when(k == 0, 0).otherwise(F.get("_at", k))
+        end = F.coalesce(F.get("_at", k + 1), F.size("_lines"))
+        return F.struct((end - start).alias("n"), F.array_join(F.slice("_lines", start + 1, end - start), "\n").alias("body"))
+
+    left = units.withColumn(
+        "_left", F.when(F.col("gone").isNotNull(), F.transform(F.array_except(F.sequence(F.lit(0), F.col("_n") - 1), "gone"), unit))
+    )
+    touched = F.col("gone").isNotNull()
+    made = F.struct(
+        F.when(touched, F.array_join(F.col("_left.body"), "\n")).otherwise(F.col("_row.text")).alias("text"),
+        F.when(touched, F.size("_lines") - F.aggregate("_left", F.lit(0), lambda a, c: a + c["n"])).otherwise(0).cast("long").alias("gone_lines"),
+    )
+    return left.select("_row", F.explode(F.array(made)).alias("_made")).select(
+        *[F.col("_made.text") if c == "text" else F.col(f"_row.`{c}`") for c in columns], F.col("_made.gone_lines").alias("_gone_lines")
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(

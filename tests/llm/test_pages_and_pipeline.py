@@ -195,6 +195,14 @@ def test_stages_on_an_empty_table(spark, folder):
         assert stage(spark, docs, folder[0]).count() == 0
 
 
+def test_exact_copies_leave_no_fragment(spark, folder):
+    rng = random.Random(16)
+    texts = ["\n".join(" ".join(word(rng) for _ in range(6)) for _ in range(n)) for n in range(2, 30)]
+    rows = [(100 * c + k, t, "xx", "s", len(t)) for c in range(3) for k, t in enumerate(texts)]
+    left = corpus_pipeline.unique_lines(spark, spark.createDataFrame(rows, DOCS), folder[0]).collect()
+    assert {(r.doc_id, r.text, r.n_chars) for r in left} == {(k, t, len(t)) for k, t in enumerate(texts)}
+
+
 def test_nothing_to_learn_from_keeps_all_texts_with_letters(spark, folder):
     docs = spark.createDataFrame([(1, "abc", None, None, 3), (2, "12", None, None, 2), (3, None, None, None, 0)], DOCS)
     assert [r.doc_id for r in corpus_pipeline.known_language(spark, docs, folder[0]).collect()] == [1]

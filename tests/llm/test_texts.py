@@ -503,3 +503,49 @@ def test_line_dedup_edges(spark):
     assert got.columns[:11] == [c.split()[0] for c in CLASHING.split(", ")]
     rows = sorted((r.doc_id, r.text) for r in got.collect())
     assert rows[0] == rows[1] == (1, text) and len(rows[2][1]) < 40 and rows[3] == (3, None)
+
+
+def brute_passages(rows):
+    """Lines left of every (doc_id, text): pairs of neighbouring lines that are not blank stay where they stand first."""
+    place, lost = {}, {}
+    h = lambda x: hashlib.md5("\n".join(x).encode()).digest()
+    for i, t in sorted({(i, t or "") for i, t in rows}, key=lambda x: (x[0] is not None, x[0] or 0)):
+        shown = [x for x in t.split("\n") if x.strip(" \t\r")]
+        out = lost[i, t] = set()
+        for k in range(1, len(shown)):
+            first = place.setdefault(h(shown[k - 1 : k + 1]), (i, t, k))
+            if first != (i, t, k):
+                out |= {k} if first == (i, t, k - 1) else {k - 1, k}
+        lost[i, t] = [x for k, x in enumerate(shown) if k not in out]
+    return lost
+
+
+def test_passages_equal_brute_force(spark, corpus):
+    rng = random.Random(15)
+    planted = [[prose(rng, rng.randint(8, 30)) for _ in range(n)] for n in range(2, 8)]
+    rows = []
+    for k in range(40):
+        own = [prose(rng, 6) for _ in range(5)]
+        at = rng.randint(0, 5)
+        rows.append((1000 + k, "\n".join([*own[:at], *planted[k % 6], *own[at:]])))
+    pool = [prose(rng, 3) for _ in range(6)]
+    rows += [(2000 + k, "\n".join(rng.choice([*pool, "", " \t"]) for _ in range(rng.randint(1, 25)))) for k in range(30)]
+    rows += [(700, "\n" * 40), (702, "x\n" * 900), (703, None), (1000, rows[0][1])] + corpus
+    got = lines.dedup_passages(docs(spark, rows).repartition(3)).collect()
+    want = brute_passages(rows)
+    left = defaultdict(list)
+    for (i, _), x in want.items():
+        left[i].append(x)
+    assert len(got) == len(rows)
+    assert all([x for x in (r.text or "").split("\n") if x.strip(" \t\r")] in left[r.doc_id] for r in got)
+    texts = {r.doc_id: r.text for r in got}
+    for k in range(6, 40):  # planted passages go whole, wherever they stand, and nothing else
+        assert not set(texts[1000 + k].split("\n")) & set(planted[k % 6]) and texts[1000 + k].count("\n") == 4
+    assert lines.dedup_passages(docs(spark, [])).count() == 0
+
+
+def test_passages_keep_blank_lines_and_columns(spark):
+    text = "\n a\n\nb\nc\n\n\nd \n"
+    got = {r.doc_id: (r.text, r._gone_lines) for r in lines.dedup_passages(clashing(spark, [(1, text), (2, "b\n\n\nc\nnew\n"), (3, None)])).collect()}
+    assert got == {1: (text, 0), 2: ("new\n", 4), 3: (None, 0)}
+    assert lines.dedup_passages(clashing(spark, [(1, text)])).columns[:11] == [c.split()[0] for c in CLASHING.split(", ")]
