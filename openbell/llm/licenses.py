@@ -2,7 +2,9 @@
 
 Every sentence of a text is normalised (A-Z lower-cased, runs of other characters than a-z and 0-9 become one
 space) and looked up among the known licence sentences; the identifiers found, in text order, form the document's
-sequence. A rule is an ordered list of identifiers and matches where it stands as a contiguous run of that
+sequence. Single lines are looked up, and also every run of lines of a paragraph, as texts are often wrapped: a line
+break inside it is a space, sentence punctuation and lines without letters and digits are breaks. Runs come in the
+order of their first and then of their last line. A rule is an ordered list of identifiers and matches where it stands as a contiguous run of that
 sequence. The whole lookup is one map expression per row: no shuffle, no Python.
 
 Defined cases: a null or empty text has no sentences and no licence; unknown sentences between known ones do not
@@ -69,6 +71,8 @@ RULES = [
 
 #: A line break, or sentence punctuation before white space.
 BREAK = r"\n|[.!?;:][ \t\r]"
+#: Sentence punctuation before white space or the end of a line, or lines without letters and digits.
+PARAGRAPH = r"[.!?;:](?:[ \t\r]|(?=\n))|\n(?:[^A-Za-z0-9\n]*\n)+"
 
 
 def normalise(sentence: Column) -> Column:
@@ -82,16 +86,36 @@ def scan(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules=RULES) ->
     name order; ``license`` is that of the longest matching rule (ties: the first name), null without a match.
     """
     known = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
-    found = F.filter(
-        F.transform(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), BREAK), lambda s: F.element_at(known, normalise(s))),
-        lambda x: x.isNotNull(),
-    )
+    most = max(len(s.split()) for s in sentences)  # a run has a word of each line
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+    def runs(paragraph: Column) -> Column:
+        lines = F.filter(F.transform(F.split(paragraph, "\n"), normalise), lambda x: x != "")
+
+        def from_line(pieces: Column, i: Column) -> Column:
+            ends = F.sequence(F.lit(1), F.least(F.size(pieces) - i, F.lit(most)))
+            ids = F.transform(ends, lambda n: F.element_at(known, F.array_join(F.slice(pieces, i + 1, n), " ")))
+            starts = F.array_contains(F.transform(F.map_keys(known), lambda s: s.startswith(F.get(pieces, i))), True)
+            return F.when(starts, F.filter(ids, lambda x: x.isNotNull())).otherwise(F.array().cast("array<string>"))
+
+        # one element in an array binds the lines, so that they are made once
+        bound = F.transform(F.array(lines), lambda x: F.flatten(F.transform(x, lambda _, i: from_line(x, i))))
+        return F.element_at(bound, 1)
+
+    # a text that holds no known sentence anywhere has none as a run
+    whole = normalise(text)
+    some = F.lit(False)
+    for sentence in sentences:
+        some = some | F.col("_whole").contains(sentence)
+    found = F.when(F.col("_some"), F.flatten(F.transform(F.split(F.col("_text"), PARAGRAPH), runs))).otherwise(F.array().cast("array<string>"))
     run = F.concat(F.lit(","), F.col("sentence_ids"), F.lit(","))
     hits = [(len(ids), name, run.contains("," + ",".join(ids) + ",")) for name, ids in rules]
     ranked = sorted(hits, key=lambda x: (-x[0], x[1]))
     names = F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(hit, F.lit(name)) for _, name, hit in hits]))))
     return (
-        docs.select("doc_id", found.alias("ids"))
+        docs.select("doc_id", text.alias("_text"), whole.alias("_whole"))
+        .select("doc_id", "_text", some.alias("_some"))
+        .select("doc_id", found.alias("ids"))
         .select("doc_id", F.size("ids").cast("long").alias("n_known"), F.array_join("ids", ",").alias("sentence_ids"))
         .withColumn("licenses", F.array_join(names, ","))
         .withColumn("license", F.coalesce(*[F.when(hit, F.lit(name)) for _, name, hit in ranked]))

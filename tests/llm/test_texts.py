@@ -107,6 +107,53 @@ def test_licenses(spark):
     assert licenses.scan(docs(spark, [])).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE."""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_wrapped_licenses(spark):
+    comment = lambda t: "\n".join(f" * {x}" for x in t.split("\n"))
+    texts = [MIT, GPL, BSD, BSD3, comment(MIT), MIT.replace("\n", "\r\n"), MIT.replace("a copy\nof", "a copy\n\nof"), "All rights\nreserved", "a\nAll rights reserved\nb"]
+    got = {r.doc_id: (r.n_known, r.license) for r in licenses.scan(docs(spark, list(enumerate(texts)))).collect()}
+    names = ["MIT", "GPL-3.0-or-later", "BSD-2-Clause", "BSD-3-Clause", "MIT", "MIT", None, "proprietary", "proprietary"]
+    assert got == {k: (n, name) for k, (n, name) in enumerate(zip([3, 2, 3, 4, 3, 3, 2, 1, 1], names, strict=True))}
+
+
 # --- language -------------------------------------------------------------------------------------------------
 
 
