@@ -9,9 +9,10 @@ shorter than a seed: all of it, in a row) contaminates the document.
 The benchmark's seeds are broadcast while their number is at most ``max_broadcast``; a larger benchmark is split
 into slices of that size by item, and every slice is one pass over the documents.
 
-Defined cases: null or empty texts and items without tokens match nothing; items of equal tokens are reported by
-the smallest item_id; repeated rows are judged one by one; further columns pass through, but one
-named ``_items`` is replaced.
+Defined cases: null or empty texts and items without tokens match nothing; every benchmark row is an item of its
+own, whatever its item_id: different texts of one item_id are searched and reported each (the id repeats), an item
+whose item_id is null is reported with a null id, rows equal in both are one item; repeated documents are judged one
+by one; further columns pass through, but one named ``_items`` is replaced.
 """
 
 from __future__ import annotations
@@ -83,22 +84,25 @@ def tiles(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int,
 class Matcher:
     """Seeds of one slice of the benchmark, and the tiling of documents against the items they hit."""
 
-    def __init__(self, items: list[tuple[int, str]], seed: int, threshold: float):
+    def __init__(self, items: list[tuple[int | None, str]], seed: int, threshold: float):
         self.seed, self.threshold = seed, threshold
         self.vocab: dict[str, int] = {}
+        #: Tokens of the items, by their number, and their ids.
         self.items: dict[int, np.ndarray] = {}
-        for item_id, text in sorted(items):
+        self.ids: dict[int, int | None] = {}
+        order = sorted(set(items), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+        for number, (item_id, text) in enumerate(order):
             ids = np.array([self.vocab.setdefault(t, len(self.vocab) + 1) for t in tokens(text)], np.uint64)
             if len(ids):
-                self.items[item_id] = ids
+                self.items[number], self.ids[number] = ids, item_id
         pairs: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
-        for item_id, ids in self.items.items():
+        for number, ids in self.items.items():
             n = min(seed, len(ids))
             for h in rolling(ids, n).tolist():
-                pairs[n][h].add(item_id)
+                pairs[n][h].add(number)
         self.owners = {n: dict(x) for n, x in pairs.items()}
 
-    def judge(self, text: str) -> list[tuple[int, int, int, float]]:
+    def judge(self, text: str) -> list[tuple[int | None, int, int, float]]:
         """(item_id, item tokens, tiled tokens, coverage) of every contaminating item."""
         get = self.vocab.get
         ids = np.fromiter(map(get, TOKENS(text.lower()), repeat(0)), np.int64).astype(np.uint64)
@@ -114,8 +118,8 @@ class Matcher:
             for x in owners.keys() & set(h.tolist()):
                 hit |= owners[x]
         out = []
-        for item_id in sorted(hit):
-            item = self.items[item_id]
+        for number in sorted(hit):
+            item = self.items[number]
             least = min(self.seed, len(item))
             # tokens outside the item cannot be in a tile; runs of them are cut to one
             inside = np.isin(ids, item)
@@ -123,7 +127,7 @@ class Matcher:
             short = np.where(inside, ids, np.uint64(0))[keep]
             tiled = sum(n for _, _, n in tiles(short, item, least))
             if tiled >= self.threshold * len(item) and (len(item) >= self.seed or tiled == len(item)):
-                out.append((item_id, len(item), tiled, tiled / len(item)))
+                out.append((self.ids[number], len(item), tiled, tiled / len(item)))
         return out
 
 
@@ -133,14 +137,12 @@ def contaminations(
     """The documents with ``_items``: array of (item_id, n_tokens, tiled, coverage), empty for clean ones."""
     columns = [c for c in docs.columns if c != "_items"]
     item = "array<struct<item_id: long, n_tokens: long, tiled: long, coverage: double>>"
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).where(
-        F.col("item_id").isNotNull()
-    )
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     slices = max(1, -(-total // max_broadcast))  # characters bound the seeds
     out = docs.withColumn("_items", F.array().cast(item))
     for k in range(slices):
-        part = items if slices == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(slices)) == k)
+        part = items if slices == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k)
         matcher = docs.sparkSession.sparkContext.broadcast(Matcher([tuple(r) for r in part.collect()], seed, threshold))
 
         @F.pandas_udf(item)

@@ -498,6 +498,16 @@ def test_tiling_equals_brute_force(spark):
     assert all(not r._items for r in tiling.contaminations(docs(spark, rows), bench.limit(0)).collect())
 
 
+@pytest.mark.parametrize("limit", [2_000_000, 60])
+def test_tiling_searches_every_row_of_the_benchmark(spark, limit):
+    rng = random.Random(17)
+    a, b, c, d = (prose(rng, 12) for _ in range(4))
+    bench = spark.createDataFrame([(0, a), (0, b), (None, c), (None, d), (0, a)], "item_id long, text string")
+    rows = [(k, f"{prose(rng, 5)} {t} {prose(rng, 5)}") for k, t in enumerate([a, b, c, d, prose(rng, 9), f"{a} {b} {d}"])]
+    got = {r.doc_id: sorted((x.item_id for x in r._items), key=str) for r in tiling.contaminations(docs(spark, rows), bench, max_broadcast=limit).collect()}
+    assert got == {0: [0], 1: [0], 2: [None], 3: [None], 4: [], 5: [0, 0, None]}
+
+
 # --- line dedup -----------------------------------------------------------------------------------------------
 
 
