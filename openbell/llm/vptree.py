@@ -323,8 +323,12 @@ def keep_one(docs: DataFrame, n_words: int = 5, similarity: float = 0.8) -> Data
 
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            sets = [set(shingles(words(text), n_words)) for text in pdf["text"]]
-            yield pdf[["doc_id", "node"]].assign(n=[len(x) for x in sets], keys=[band_keys(x) for x in sets])
+            sizes, keys = [], []
+            for text in pdf["text"]:  # the shingles of one text at a time are in memory
+                terms = set(shingles(words(text), n_words))
+                sizes.append(len(terms))
+                keys.append(band_keys(terms))
+            yield pdf[["doc_id", "node"]].assign(n=sizes, keys=keys)
 
     signed = texts.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(sign, "doc_id string, node string, n long, keys array<long>")
     signed = materialize(signed.withColumn("doc_id", F.col("doc_id").cast("long")), "bands")
