@@ -1,6 +1,6 @@
 """Queries of this package, and their SQL where SQL can express them."""
 
-from openbell.llm import fingerprints, language, licenses, lines, packing, suffixes, tiling, urls, vptree, warc
+from openbell.llm import audit, centroids, fingerprints, language, licenses, lines, packing, quality, suffixes, tiling, urls, vptree, warc
 
 QUERIES = {
     "op1_suffix_dedup": suffixes.op1_suffix_dedup,
@@ -13,6 +13,9 @@ QUERIES = {
     "op8_decontaminate": tiling.op8_decontaminate,
     "op9_warc": warc.op9_warc,
     "op10_line_dedup": lines.op10_line_dedup,
+    "op11_quality_rules": quality.op11_quality_rules,
+    "op12_filter_audit": audit.op12_filter_audit,
+    "op13_centroids": centroids.op13_centroids,
 }
 
 ORACLE = {
@@ -20,4 +23,7 @@ ORACLE = {
     "op2_license_scan": licenses.ORACLE_SQL,
     "op9_warc": warc.ORACLE_SQL,
     "op10_line_dedup": lines.ORACLE_SQL,
+    "op11_quality_rules": quality.ORACLE_SQL,
+    "op12_filter_audit": audit.ORACLE_SQL,
+    "op13_centroids": centroids.ORACLE_SQL,
 }
