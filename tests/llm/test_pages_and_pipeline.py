@@ -231,4 +231,4 @@ def test_entry_registers_all():
     import __spark_entry__ as entry
 
     assert {*registry.QUERIES, "pipeline"} <= set(entry.queries()) and set(registry.ORACLE) <= set(entry.oracle_sql())
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in entry.queries())] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in entry.queries())] == []
