@@ -1,9 +1,11 @@
 """Line dedup by content-defined chunks of lines, in DataFrame functions only.
 
-A rolling hash over the hashes of the last ``window`` lines ends a chunk after the line where it is divisible by
-``divisor``: boundaries depend on nearby lines alone, so a passage keeps its inner chunks wherever it stands.
-A chunk of two or more lines that is repeated anywhere is kept where it stands first (smallest doc_id, then
-earliest line) and removed elsewhere, after its bytes are compared with the first one's.
+A rolling hash over the hashes of the last ``window`` lines ends a chunk after the line where it is smaller than
+one line before and not larger than one line after: boundaries depend on nearby lines alone, so a passage keeps its
+inner chunks wherever it stands, and two boundaries are never neighbours. With none beside the first or last line
+either, every chunk of a text of several lines has two or more. A chunk that is repeated anywhere is kept where it
+stands first (smallest doc_id, then earliest line) and removed elsewhere, after its bytes are compared with the
+first one's. So an exact copy of such a text vanishes whole.
 
 Plan: chunk digests are counted first (narrow rows, partial counts per task); only chunks whose digest repeats
 carry their text into the comparison; decisions are grouped per document and joined to the documents once.
@@ -11,11 +13,13 @@ All three joins are merge joins at every size: the sides grow with the data, so
 one row on the side of first texts, so the skewed side can be split by Spark.
 
 Defined cases: a null or empty text is one empty line and is kept as it is; chunks of blank lines are kept;
-rows equal in doc_id and text are treated alike; a null doc_id is smaller than any other; other columns pass through, but
+texts of any length are taken whole; runs of equal lines have no boundary inside; rows equal in doc_id and text are
+treated alike; a null doc_id is smaller than any other; other columns pass through, but
 those named like an added one are replaced.
 
-A chunk has three lines on average and a passage loses only chunks that lie inside it, so short passages often
-stay, and one-line chunks always do. ``dedup_passages``, for the pipeline, removes repeated passages whole.
+A chunk has three lines on average and a passage loses only chunks that lie inside it: its lines up to the first
+boundary and behind the last one stay, and so do passages too short to hold two boundaries (README: shares by
+length). A text of a single line stays. ``dedup_passages``, for the pipeline, removes repeated passages whole.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 from openbell.llm.common import table
 from openbell.session import materialize
 
-WINDOW, DIVISOR = 2, 3
+WINDOW = 2
 PRIME, BASE = 1_000_003, 31
 
 
@@ -34,19 +38,23 @@ def _text() -> Column:
     return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
 
-def _chunks(docs: DataFrame, window: int, divisor: int) -> DataFrame:
+def _chunks(docs: DataFrame, window: int) -> DataFrame:
     """Adds ``_chunks``: array of (at, n, body), at the first line (from 0), n lines."""
     number = lambda s: F.conv(F.substring(F.md5(s), 1, 15), 16, 10).cast("long") % PRIME
     lines = docs.withColumn("_lines", F.split(_text(), "\n", -1))
     hashed = lines.withColumn("_hashes", F.transform("_lines", number)).withColumn("_n", F.size("_lines"))
 
+    def rolled(i: Column) -> Column:
+        terms = [F.when(i > j, F.get(F.col("_hashes"), i - j - 1)).otherwise(0) * (BASE**j) for j in range(window)]
+        return sum(terms[1:], terms[0]) % PRIME
+
+    hashed = hashed.withColumn("_rolled", F.transform(F.sequence(F.lit(1), F.col("_n")), rolled))
+
     def ends_chunk(i: Column) -> Column:
-        terms = [
-            F.when(i > j, F.get(F.col("_hashes"), i - j - 1)).otherwise(0) * (BASE**j) for j in range(window)
-        ]
-        return (i == F.col("_n")) | (sum(terms[1:], terms[0]) % divisor == 0)
+        at = lambda k: F.get(F.col("_rolled"), k)
+        return (i == F.col("_n")) | ((i >= 2) & (i <= F.col("_n") - 2) & (at(i - 1) < at(i - 2)) & (at(i - 1) <= at(i)))
 
-    cut = hashed.withColumn("_ends", F.filter(F.sequence(F.lit(1), F.col("_n")), ends_chunk)).drop("_hashes")
+    cut = hashed.withColumn("_ends", F.filter(F.sequence(F.lit(1), F.col("_n")), ends_chunk)).drop("_hashes", "_rolled")
 
     def chunk(end: Column, k: Column) -> Column:
         start = F.when(k == 0, 0).otherwise(F.get(F.col("_ends"), k - 1))
@@ -61,10 +69,10 @@ def _keys(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_k1": F.xxhash64(_text()), "_k2": F.xxhash64(_text(), F.lit(1))})
 
 
-def _multi(docs: DataFrame, window: int, divisor: int) -> DataFrame:
+def _multi(docs: DataFrame, window: int) -> DataFrame:
     """One row per removable chunk: (doc_id, _k1, _k2, at, body, h1, h2)."""
     able = lambda c: (c["n"] >= 2) & c["body"].rlike(r"[^ \t\r\n]")
-    rows = _chunks(_keys(docs.select("doc_id", "text")), window, divisor).select(
+    rows = _chunks(_keys(docs.select("doc_id", "text")), window).select(
         "doc_id", "_k1", "_k2", F.explode(F.filter("_chunks", able)).alias("c")
     )
     body = F.col("c.body")
@@ -74,10 +82,10 @@ def _multi(docs: DataFrame, window: int, divisor: int) -> DataFrame:
     )
 
 
-def removals(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> DataFrame:
+def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, _k1, _k2, gone): first lines of the chunks to remove, one row per document that loses any."""
     place = F.struct("doc_id", "at", "_k1", "_k2")
-    chunks = _multi(docs, window, divisor)
+    chunks = _multi(docs, window)
     repeated = materialize(
         chunks.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1").drop("n"),
         "line-repeated",
@@ -89,10 +97,10 @@ def removals(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> D
     return gone.groupBy("doc_id", "_k1", "_k2").agg(F.collect_set("at").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> DataFrame:
+def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents with ``text`` shortened, and ``_n_lines``, ``_gone_lines``, ``_gone_chunks``."""
     columns = [c for c in docs.columns if c not in ("_n_lines", "_gone_lines", "_gone_chunks")]
-    gone = materialize(removals(docs, window, divisor), "line-removals").select(
+    gone = materialize(removals(docs, window), "line-removals").select(
         F.col("doc_id").alias("_id"), F.col("_k1").alias("_g1"), F.col("_k2").alias("_g2"), "gone"
     )
     keyed = _keys(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"))).drop("text")
@@ -100,7 +108,7 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -
         gone.hint("merge"), keyed["doc_id"].eqNullSafe(gone["_id"]) & (keyed["_k1"] == gone["_g1"]) & (keyed["_k2"] == gone["_g2"]), "left"
     ).withColumn("text", F.col("_row.text"))
     lost = lambda c: F.array_contains("gone", c["at"])
-    cut = _chunks(joined, window, divisor)
+    cut = _chunks(joined, window)
     kept = F.array_join(F.transform(F.filter("_chunks", lambda c: ~lost(c)), lambda c: c["body"]), "\n")
     gone_lines = F.aggregate(F.filter("_chunks", lost), F.lit(0), lambda a, c: a + c["n"])
     touched = F.col("gone").isNotNull()
@@ -207,9 +215,12 @@ WITH l AS (
 ), h AS (
   SELECT *, ('0x' || substr(md5(line), 1, 15))::BIGINT % {PRIME} AS h FROM e
 ), r AS (
-  SELECT *, (h + {BASE} * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % {DIVISOR} = 0 AS cut FROM h
+  SELECT *, (h + {BASE} * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % {PRIME} AS r FROM h
+), b AS (
+  SELECT *, coalesce(r < lag(r) OVER o AND r <= lead(r) OVER o AND i <= count(*) OVER (PARTITION BY doc_id) - 2, false) AS cut
+  FROM r WINDOW o AS (PARTITION BY doc_id ORDER BY i)
 ), c AS (
-  SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM r
+  SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM b
 ), chunks AS (
   SELECT doc_id, k, min(i) AS pos, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM c GROUP BY doc_id, k
 ), judged AS (

@@ -517,9 +517,10 @@ def brute_lines(rows):
     for key in {(i, t or "") for i, t in rows}:
         ends, part, at, parts = [], [], 0, []
         h = [int(hashlib.md5(x.encode()).hexdigest()[:15], 16) % lines.PRIME for x in key[1].split("\n")]
+        rolled = [(x + lines.BASE * (h[k - 1] if k else 0)) % lines.PRIME for k, x in enumerate(h)]
         for k, line in enumerate(key[1].split("\n")):
             part.append(line)
-            if (h[k] + lines.BASE * (h[k - 1] if k else 0)) % lines.DIVISOR == 0:
+            if 1 <= k <= len(h) - 3 and rolled[k] < rolled[k - 1] and rolled[k] <= rolled[k + 1]:
                 parts.append((at, part))
                 at, part = k + 1, []
         if part:
@@ -562,6 +563,21 @@ def test_line_dedup_edges(spark):
     assert rows[0] == rows[1] == (1, text) and len(rows[2][1]) < 40 and rows[3] == (3, None)
 
 
+def test_line_chunks_of_copies_and_planted_passages(spark):
+    rng = random.Random(21)
+    own = lambda n: "\n".join(prose(rng, 5) for _ in range(n))
+    texts = [own(n) for n in range(2, 40)]  # copies of texts of several lines vanish whole
+    got = lines.dedup_lines(docs(spark, [(1000 * c + k, t) for c in range(3) for k, t in enumerate(texts)])).collect()
+    assert all((r.text == "") == (r.doc_id >= 1000) and r._gone_lines == (r._n_lines if r.doc_id >= 1000 else 0) for r in got)
+    shared = [own(20) for _ in range(40)]
+    rows = [(100 * c + k, "\n".join([own(7), t, own(6)])) for c in range(2) for k, t in enumerate(shared)]
+    got = {r.doc_id: r for r in lines.dedup_lines(docs(spark, rows)).collect()}
+    assert all(got[k]._gone_lines == 0 and 0 < got[100 + k]._gone_lines <= 20 for k in range(40))
+    assert sum(got[100 + k]._gone_lines for k in range(40)) > 40 * 20 * 0.7  # all but the edges
+    for k in range(40):  # nothing but lines of the passage goes
+        assert set(rows[40 + k][1].split("\n")) - set(got[100 + k].text.split("\n")) <= set(shared[k].split("\n"))
+
+
 def brute_passages(rows):
     """Lines left of every (doc_id, text): pairs of neighbouring lines that are not blank stay where they stand first."""
     place, lost = {}, {}
