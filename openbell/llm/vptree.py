@@ -255,20 +255,25 @@ def jaccard(left: str, right: str, n: int) -> float:
     return len(a & b) / len(a | b) if a or b else 1.0
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, n_words: int) -> DataFrame:
-    """(a, b, j): the exact similarity of every pair; ``texts`` are (nid, text)."""
+def shingle_hashes(text: str, n: int) -> np.ndarray:
+    """The XXH64 of the distinct shingles, in order, as signed longs."""
+    import xxhash
+
+    terms = set(shingles(words(text), n))
+    return np.sort(np.fromiter((xxhash.xxh64_intdigest(t, 42) for t in terms), np.uint64, len(terms)).view(np.int64))
 
-    @F.pandas_udf("double")
-    def alike(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([jaccard(a, b, n_words) for a, b in zip(left, right, strict=True)], dtype="float64")
 
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, j): the similarity of every pair by its sets of 64-bit shingle hashes; ``sets`` are (nid, sh)."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("nid")).distinct()
-    some = texts.join(wanted, "nid", "left_semi")
-    left, right = some.toDF("a", "ta"), some.toDF("b", "tb")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", alike("ta", "tb").alias("j"))
+    some = sets.join(wanted, "nid", "left_semi")
+    left, right = some.toDF("a", "sa"), some.toDF("b", "sb")
+    both = F.size(F.array_intersect("sa", "sb"))
+    rows = pairs.join(left, "a").join(right, "b").select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("all"))
+    return rows.select("a", "b", F.when(F.col("all") == 0, 1.0).otherwise(F.try_divide("both", F.col("all") - F.col("both"))).alias("j"))
 
 
-def _groups(live: DataFrame, texts: DataFrame, n_words: int, similarity: float) -> DataFrame | None:
+def _groups(live: DataFrame, sets: DataFrame, similarity: float) -> DataFrame | None:
     """(nid, root) of all texts with a true link; None without any. ``live`` has the rows (key, nid, n) of shared keys.
 
     Per key, centres are compared with all other texts of the key that are not connected to them by true links yet,
@@ -298,7 +303,7 @@ def _groups(live: DataFrame, texts: DataFrame, n_words: int, similarity: float)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "band-pairs")
-        fresh = materialize(_similar(pairs, texts, n_words), "band-tried")
+        fresh = materialize(_similar(pairs, sets), "band-tried")
         tried = fresh if tried is None else tried.unionByName(fresh)
         if not fresh.where(F.col("j") >= similarity).isEmpty():
             roots = materialize(components(tried.where(F.col("j") >= similarity).select("a", "b")).select(F.col("node").alias("nid"), "root"), "band-roots")
@@ -313,8 +318,8 @@ def _groups(live: DataFrame, texts: DataFrame, n_words: int, similarity: float)
 def keep_one(docs: DataFrame, n_words: int = 5, similarity: float = 0.8) -> DataFrame:
     """The documents without near copies: of every group the row with the smallest doc_id stays.
 
-    Texts whose ``n_words`` shingle sets have an exact similarity of at least ``similarity`` are linked, groups are
-    transitive. Candidates share one of the keys of MinHash values of these shingles; every two texts of a key are
+    Texts whose ``n_words`` shingle sets (64-bit hashes of whole texts, of any length) have a similarity of at least
+    ``similarity`` are linked, groups are transitive. Candidates share one of the keys of MinHash values of these shingles; every two texts of a key are
     compared or implied (see ``_groups``). Equal texts are one node; texts without words are one group. Rows equal
     in doc_id and text count as one; other columns pass through.
     """
@@ -330,6 +335,10 @@ def keep_one(docs: DataFrame, n_words: int = 5, similarity: float = 0.8) -> Data
                 keys.append(band_keys(terms))
             yield pdf[["doc_id", "node"]].assign(n=sizes, keys=keys)
 
+    def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            yield pdf[["nid"]].assign(sh=[shingle_hashes(t, n_words) for t in pdf["text"]])
+
     signed = texts.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(sign, "doc_id string, node string, n long, keys array<long>")
     signed = materialize(signed.withColumn("doc_id", F.col("doc_id").cast("long")), "bands")
     nodes = signed.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"), F.min("keys").alias("keys"))
@@ -340,10 +349,11 @@ def keep_one(docs: DataFrame, n_words: int = 5, similarity: float = 0.8) -> Data
 
     wanted = nodes.join(live.select("nid").distinct(), "nid", "left_semi").select("nid", F.col("node").alias("_n"), "first")
     some = texts.join(wanted.hint("merge"), (texts["node"] == wanted["_n"]) & texts["doc_id"].eqNullSafe(wanted["first"]))
-    some = materialize(some.groupBy("nid").agg(F.first("text").alias("text")), "band-texts")
+    sets = some.groupBy("nid").agg(F.first("text").alias("text")).mapInPandas(hashed, "nid long, sh array<long>")
+    sets = materialize(sets, "band-sets")
 
     group = F.col("nid")
-    roots = _groups(live, some, n_words, similarity)
+    roots = _groups(live, sets, similarity)
     if roots is not None:
         nodes, group = nodes.join(roots, "nid", "left"), F.coalesce("root", "nid")
     order = F.struct(F.col("first").isNull().alias("unknown"), "first", "node")

@@ -379,7 +379,8 @@ def test_groups_try_every_centre(spark):
     base = [prose(rng, 60) for _ in range(7)]
     texts = [base[0], *[f"{t} {x}" for x in ("a", "b", "c") for t in base[1:]]]
     live = spark.createDataFrame([(5, k, len(t.split()) - 4) for k, t in enumerate(texts)], "key long, nid long, n long")
-    roots = vptree._groups(live, spark.createDataFrame(list(enumerate(texts)), "nid long, text string"), 5, 0.8)
+    sets = [(k, vptree.shingle_hashes(t, 5).tolist()) for k, t in enumerate(texts)]
+    roots = vptree._groups(live, spark.createDataFrame(sets, "nid long, sh array<long>"), 0.8)
     assert {r.nid: r.root for r in roots.collect()} == {k: (k - 1) % 6 + 1 for k in range(1, 19)}
 
 
