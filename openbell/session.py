@@ -60,13 +60,13 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_materialized(spark: SparkSession, since: int = 0) -> None:
+def drop_materialized(spark: SparkSession, since: int = 0, until: int | None = None) -> None:
     """Delete the tables that ``materialize`` wrote in this session after the first
-    ``since``; for the end of a job whose results are stored elsewhere."""
-    for path in _made[since:]:
+    ``since`` (up to ``until``); for the end of a job whose results are stored elsewhere."""
+    for path in _made[since:until]:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    del _made[since:]
+    del _made[since:until]
 
 
 def materialized_count() -> int:
