@@ -18,6 +18,13 @@ from openbell.sources.store import TableStore
 NEUTRAL_ABOVE = 0.80
 CLASSES = {"prob_pos": "positive", "prob_neg": "negative", "prob_neu": "neutral"}
 TIER2 = ["relevance", "novelty", "subjectivity"]
+#: The checkpoint: a folder per batch and status, so that a batch, or all failures, can be read alone.
+CHECKPOINT = (
+    "text_hash STRING, Date DATE, published_at TIMESTAMP_NTZ, n_copies BIGINT, embedding ARRAY<FLOAT>, "
+    "prob_pos DOUBLE, prob_neg DOUBLE, prob_neu DOUBLE, relevance DOUBLE, novelty DOUBLE, subjectivity DOUBLE, "
+    "is_neutral BOOLEAN, tier2_scored BOOLEAN, updated_at BIGINT, status STRING"
+)
+PARTITIONS = ("updated_at", "status")
 
 
 @dataclass(frozen=True)
@@ -177,9 +184,13 @@ def newest_scores(rows: DataFrame, seq: str = "updated_at") -> DataFrame:
 
 
 def open_failures(rows: DataFrame) -> DataFrame:
-    """Texts whose tier 2 failed and has not recovered since."""
-    done = rows.filter("tier2_scored").select("text_hash")
-    return rows.filter(~F.col("tier2_scored")).join(done, "text_hash", "left_anti")
+    """Texts whose tier 2 failed and has not recovered since. A checkpoint with
+    ``status`` is read in its folders of failed and recovered rows only."""
+    if "status" in rows.columns:
+        failed, done = rows.filter("status = 'failed'"), rows.filter("status = 'recovered'")
+    else:
+        failed, done = rows.filter(~F.col("tier2_scored")), rows.filter("tier2_scored")
+    return failed.join(done.select("text_hash"), "text_hash", "left_anti").select(*rows.columns)
 
 
 def current_scores(rows: DataFrame) -> DataFrame:
@@ -188,7 +199,28 @@ def current_scores(rows: DataFrame) -> DataFrame:
     Such a text has at most one failed and one scored row, so dropping the
     recovered failures is enough: vectors are neither sorted nor shuffled.
     """
-    return rows.filter("tier2_scored").unionByName(open_failures(rows))
+    return rows.filter("tier2_scored").unionByName(open_failures(rows)).drop("status")
+
+
+def _with_status(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("status", F.when(F.col("tier2_scored"), "scored").otherwise("failed"))
+
+
+def checkpoint(store: TableStore, name: str = "article_scores") -> DataFrame | None:
+    """The stored scores, None before the first. A table of an older layout is
+    rewritten once as batch 0 or the batches it names."""
+    if not store.exists(name):
+        store.declare(name, CHECKPOINT, PARTITIONS)
+        return None
+    if name not in store._layout:
+        plain = store.read(name)
+        store.declare(name, CHECKPOINT, PARTITIONS)
+        if "status" not in plain.columns:
+            seen = upgraded(plain)
+            if "updated_at" not in seen.columns:
+                seen = seen.withColumn("updated_at", F.lit(0).cast("bigint"))
+            store.replace(name, _with_status(current_scores(seen)))
+    return store.read(name)
 
 
 def score_articles(
@@ -203,27 +235,46 @@ def score_articles(
     """Score what the checkpoint lacks, retry what failed, return one row per text.
 
     Only new and recovered rows are appended, so every model is called once per text
-    and history is not rewritten. New texts are scored in ``parts`` by key, each
-    appended when done: after a failure only the unfinished parts are scored again.
-    ``batch`` is the load number that orders several rows of one text. ``retry_from`` holds the texts of failed
-    articles when ``articles`` is only the newest part. ``compact`` folds deltas.
+    and history is not rewritten. New texts are fetched once and scored in ``parts`` by
+    key, each appended when done: after a failure only the unfinished parts are scored
+    again. ``batch`` is the load number that orders several rows of one text.
+    ``retry_from`` holds the texts of failed articles when ``articles`` is only the
+    newest part. ``compact_batches`` folds old batches.
     """
     keyed = with_key(articles)
-    known = upgraded(store.read(name)) if store.exists(name) else None
+    known = checkpoint(store, name)
     stamp = F.lit(batch).cast("bigint")
-    pending = materialize(pending_keys(keyed, known), "pending")
+    part = F.pmod(F.xxhash64("text_hash"), F.lit(parts)).cast("int")
+    pending = materialize(pending_texts(keyed, known).withColumn("part", part), "pending", ("part",))
     for k in range(parts):
-        some = with_text(pending.filter(F.pmod(F.xxhash64("text_hash"), F.lit(parts)) == k), keyed)
-        store.append(name, parsed_responses(raw_responses(some, scorer)).withColumn("updated_at", stamp))
+        some = pending.filter(F.col("part") == k).drop("part")
+        store.append(name, _with_status(parsed_responses(raw_responses(some, scorer))).withColumn("updated_at", stamp))
     if known is not None:
         failed = open_failures(known)
         source = keyed if retry_from is None else with_key(retry_from)
         texts = unique_texts(source.join(failed.select("text_hash"), "text_hash", "left_semi"))
         recovered = retry_merge(failed, retry_scores(failed, texts, scorer)).filter("tier2_scored")
-        store.append(name, recovered.withColumn("updated_at", stamp))
+        store.append(name, recovered.withColumns({"updated_at": stamp, "status": F.lit("recovered")}))
     return current_scores(store.read(name))
 
 
 def compact(store: TableStore, name: str = "article_scores") -> DataFrame:
     """One row per text in a new version; readers switch when it is complete."""
-    return store.replace(name, current_scores(store.read(name)))
+    checkpoint(store, name)
+    return store.replace(name, _with_status(current_scores(store.read(name)))).drop("status")
+
+
+def compact_batches(store: TableStore, batch: int, keep: int = 30, name: str = "article_scores") -> bool:
+    """Fold all batches up to ``batch - keep`` into one, in a new version, once there are
+    twice ``keep`` of them; so the number of folders stays bounded and each row is
+    rewritten once in ``keep`` batches. A crash before the switch leaves the old version.
+    """
+    rows = checkpoint(store, name)
+    if rows is None or rows.select("updated_at").distinct().count() <= 2 * keep:
+        return False
+    last = F.lit(batch - keep).cast("bigint")
+    old, new = rows.filter(F.col("updated_at") <= last), rows.filter(F.col("updated_at") > last)
+    folded = _with_status(current_scores(old)).withColumn("updated_at", last)
+    # a few files per folder instead of one per task
+    store.replace(name, folded.unionByName(new).hint("rebalance", *PARTITIONS))
+    return True

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from openbell.functions.clock import ONE_MINUTE, SessionClock, is_weekday, lookback, snapshot_bound
 from openbell.operators import calendar as cal
 from openbell.operators import daily_news as news
+from openbell.operators import day_sums
 from openbell.operators import ledger as led
 from openbell.operators import model as ml
 from openbell.operators import report as rep
@@ -53,6 +54,7 @@ class Run:
     max_rounds: int = ml.MAX_ROUNDS
     parallelism: int = 4
     keep_versions: int = 3
+    keep_batches: int = 30
     force_search: bool = False
     features: list[str] | None = None
     level_source: str = "vix"
@@ -175,7 +177,7 @@ def score(run: Run) -> DataFrame:
     if run.store.exists("scored_through"):
         through = run.store.read("scored_through").first()["day"]
         recent = everything.filter(F.col("day") >= F.lit(through))
-        failed = sc.open_failures(run.store.read("article_scores"))
+        failed = sc.open_failures(sc.checkpoint(run.store))
         days = failed.select(F.to_date("published_at").alias("day")).distinct()
         retry = art.aligned(everything.join(days, "day", "left_semi"))
     out = sc.score_articles(art.aligned(recent), run.scorer, run.store, run.batch, retry_from=retry)
@@ -184,12 +186,37 @@ def score(run: Run) -> DataFrame:
     return out
 
 
+def _news_days(run: Run) -> DataFrame:
+    """One row per day from the stored sums: only the scores of batches that the sums
+    lack are read, and running a batch again replaces that batch's sums."""
+    store, scores = run.store, sc.checkpoint(run.store)
+    fresh, after = not store.exists("day_sums"), -1
+    store.declare("day_sums", day_sums.STATE, ("batch",))
+    if not fresh:
+        marks = store.read("day_sums").agg(
+            F.max(F.when(F.col("batch") < run.batch, F.col("batch"))).alias("before"), F.min("batch").alias("first")
+        ).first()
+        if marks["before"] is None and marks["first"] is not None and marks["first"] > run.batch:
+            raise ValueError(f"batch {run.batch} was folded into batch {marks['first']} and cannot run again")
+        after = -1 if marks["before"] is None else marks["before"]
+    store.overwrite("day_sums", day_sums.deltas(scores, after, run.batch))
+    state = store.read("day_sums").filter(F.col("batch") <= run.batch)
+    return store.replace("daily_scores", day_sums.finished(day_sums.merged(state)))
+
+
+def fold_news(run: Run) -> None:
+    """Keep the score checkpoint and the sums at a bounded number of batches."""
+    store, last = run.store, run.batch - run.keep_batches
+    sc.compact_batches(store, run.batch, run.keep_batches)
+    state = store.read("day_sums")
+    if state.select("batch").distinct().count() > 2 * run.keep_batches:
+        old = day_sums.merged(state.filter(F.col("batch") <= last)).withColumn("batch", F.lit(last).cast("bigint"))
+        store.replace("day_sums", old.unionByName(state.filter(F.col("batch") > last)).hint("rebalance", "batch"))
+
+
 def sentiment(run: Run) -> DataFrame:
     """Daily table; the topic axes are fitted once and loaded ever after."""
-    scored = run.store.read("article_scores")
-    daily = run.store.replace(
-        "daily_scores", news.aggregate_daily(sc.current_scores(scored), embedding=True)
-    )
+    daily = _news_days(run)
     if run.store.exists("topics"):
         topics = PipelineModel.load(run.store.location("topics") + "/model")
     elif run.store.exists("sentiment"):
@@ -316,6 +343,7 @@ def run_daily(
     model, meta = train(run)
     scored = predict(run, model, meta)
     out = report(run, scored, meta)
+    fold_news(run)
     drop_materialized(run.store.spark, before)
     run.store.prune(run.keep_versions)
     return out

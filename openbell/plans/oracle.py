@@ -539,6 +539,10 @@ ORACLE["mean_embedding"] = with_(
     ("vectors", """SELECT Date, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS pos
         FROM boxed JOIN embeddings ON vec_id = doc_id % (SELECT count(*) FROM embeddings)"""),
 ) + f"SELECT Date, CAST(pos AS INT) AS pos, {r('avg(CAST(x AS DOUBLE))')} AS value FROM vectors GROUP BY 1, 2"
+ORACLE["daily_news_incremental"] = with_(
+    *articles(), SCORES, ("scored", gated("SELECT * FROM boxed JOIN scores USING (doc_id)")), DAILY_NEWS,
+) + f"SELECT Date, {rounded(*DAILY_NEWS_COLS)} FROM daily_news"
+ORACLE["mean_embedding_incremental"] = ORACLE["mean_embedding"]
 
 # --- calendar ---------------------------------------------------------------------
 

@@ -51,12 +51,12 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
+def materialize(df: DataFrame, purpose: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut and
     a lost executor costs a re-read instead of a recomputation."""
     path = shared_dir(df.sparkSession, purpose)
     _made.append(path)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -15,6 +15,11 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._layout: dict[str, tuple[str, tuple[str, ...]]] = {}
+
+    def declare(self, name: str, schema: str, partition_by: tuple[str, ...]) -> None:
+        """Give a table its schema (an empty partitioned table has no file to tell it) and partition columns."""
+        self._layout[name] = (schema, partition_by)
 
     def _path(self, *parts: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
@@ -64,13 +69,19 @@ class TableStore:
                         fs.delete(self._path(name, f"v{n}"), True)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.location(name))
+        return self._scan(name, self.location(name))
+
+    def _scan(self, name: str, path: str) -> DataFrame:
+        schema, _ = self._layout.get(name, (None, ()))
+        reader = self.spark.read.schema(schema) if schema else self.spark.read
+        return reader.parquet(path)
 
     def replace(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Write the next version and return it as a fresh scan."""
         path = self.next_location(name)
+        partition_by = partition_by or self._layout.get(name, ("", ()))[1]
         df.write.partitionBy(*partition_by).parquet(path)
-        return self.spark.read.parquet(path)
+        return self._scan(name, path)
 
     def next_location(self, name: str) -> str:
         versions = self._versions(name, committed=False)
@@ -79,7 +90,18 @@ class TableStore:
     def append(self, name: str, df: DataFrame) -> None:
         """Add rows to the current version (delta of one scoring batch)."""
         path = self.location(name) if self.exists(name) else self.next_location(name)
-        df.write.mode("append").parquet(path)
+        df.write.mode("append").partitionBy(*self._layout.get(name, ("", ()))[1]).parquet(path)
+
+    def overwrite(self, name: str, df: DataFrame) -> None:
+        """Replace the partitions of a declared table that ``df`` has rows of; all others keep their files."""
+        if not self.exists(name):  # a dynamic overwrite leaves no mark of success
+            self.replace(name, df)
+            return
+        path = self.location(name)
+        (
+            df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*self._layout[name][1]).parquet(path)
+        )
 
     def require(self, **how_to_create: str) -> None:
         """Raise one error that names every missing table and its remedy."""
