@@ -25,7 +25,7 @@ from openbell.operators import sessions as ses
 from openbell.plans import market
 from openbell.plans.scorers import hash_scorer
 from openbell.schemas import DAILY_SENTIMENT, PCA_COLUMNS
-from openbell.session import materialize, shared_dir
+from openbell.session import STATE_STORE, materialize, shared_dir
 from openbell.sources import articles as art
 from openbell.sources import bars as src
 from openbell.sources import bindings as b
@@ -853,17 +853,48 @@ def stream_append(spark, d):
     return src.read_stamped(spark, path).select("symbol", "ts", "close", "volume", "et_date", "et_second", "et_month")
 
 
+def _snapshots(spark, d, closing):
+    """The batch bars as a stream; ``closing`` adds a bar of a marker symbol a week later.
+    A session of its own holds the state store setting, so no other query sees it."""
+    path, own = shared_dir(spark, "event-bars"), spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    bars = b.event_bars(spark, d)
+    bars.write.parquet(f"{path}/data")
+    if closing:
+        last = bars.groupBy().agg((F.max("ts") + F.expr("INTERVAL 7 DAYS")).alias("ts")).where("ts IS NOT NULL")
+        marker = last.select(F.lit("~end").alias("symbol"), "ts", *[F.lit(None).cast(t).alias(c) for c, t in bars.dtypes if c not in ("symbol", "ts")])
+        marker.select(*bars.columns).write.mode("append").parquet(f"{path}/data")
+    stream = own.readStream.schema(bars.schema).parquet(f"{path}/data")
+    done = shared_dir(spark, "snapshot")
+    schema = st.run_to_table(st.snapshot_features(stream, b.CLOCK), done, shared_dir(spark, "snapshot-checkpoint")).schema
+    return spark.read.schema(schema).parquet(done)
+
+
 @query
 def stream_snapshot(spark, d):
     """Pre-market features emitted once each snapshot has passed."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    # a stream of real bars: the batch bars, written where a file stream finds them
-    path = shared_dir(spark, "event-bars")
-    b.event_bars(spark, d).write.parquet(path)
-    bars = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    try:
-        return _drain(spark, st.snapshot_features(bars, b.CLOCK), "snapshot")
-    finally:
-        spark.conf.set(key, before)
+    return _snapshots(spark, d, False)
+
+
+@query
+def stream_snapshot_closed(spark, d):
+    """The last snapshots too: a bar of another symbol moves the watermark past them."""
+    return _snapshots(spark, d, True).where("symbol <> '~end'")
+
+
+@query
+def stream_late_repair(spark, d):
+    """A twentieth of the ticks comes after their days were closed: they are kept beside
+    the stream's sessions, and a batch repair recomputes the sessions they touch."""
+    root = shared_dir(spark, "late-ticks")
+    events, late = b.table(spark, d, "events"), F.col("event_id") % 20 == 0
+    marker = events.groupBy().agg((F.max("ts") + F.expr("INTERVAL 7 DAYS")).alias("ts")).where("ts IS NOT NULL")
+    empty = [F.lit(None).cast(t).alias(c) for c, t in events.dtypes if c not in ("ts", "event_type", "value")]
+    marker = marker.select("ts", F.lit("~end").alias("event_type"), F.lit(0.0).alias("value"), *empty).select(*events.columns)
+    out = []
+    for load in (events.where(~late), marker, events.where(late)):
+        load.write.mode("append").parquet(f"{root}/source")
+        ticks = lambda: _as_ticks(spark.readStream.schema(events.schema).parquet(f"{root}/source"))
+        out = st.run_to_table(st.sessions(ticks()), f"{root}/sessions", f"{root}/sessions-checkpoint")
+        st.keep_late(ticks(), f"{root}/kept", f"{root}/kept-checkpoint").awaitTermination()
+    return st.current_sessions(out, st.repaired_sessions(spark, f"{root}/kept")).where("symbol <> '~end'")

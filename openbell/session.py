@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def recommended_conf() -> dict[str, str]:
     """Settings to pass to ``SparkSession.builder`` for a cluster run.
 
@@ -22,6 +25,8 @@ def recommended_conf() -> dict[str, str]:
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # the snapshot stream's custom state needs it
+        "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
         # every derived column of a wide feature table is a constraint, and joins of
         # such tables multiply them: seconds to minutes of planning for nothing
         "spark.sql.constraintPropagation.enabled": "false",

@@ -10,14 +10,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from openbell.functions.clock import ONE_MINUTE, SessionClock, article_date, is_weekday, stamp, wall_clock
 from openbell.functions.numeric import change
 from openbell.functions.text import news_text
-from openbell.operators.sessions import _first, _last, _only, _within
+from openbell.operators.sessions import _first, _last, _only, _within, session_ohlcv
 from openbell.sources.bars import append_bars
 
 
@@ -90,6 +90,45 @@ def maintain_bars(bars: DataFrame, path: str, checkpoint: str, clock: SessionClo
     )
 
 
+def keep_late(bars: DataFrame, root: str, checkpoint: str, clock: SessionClock = ONE_MINUTE, lateness_minutes: int = 10):
+    """Store every bar, and beside them those that came too late for ``sessions``.
+
+    A watermark drops rows silently. Here each micro-batch is stored below ``bars``, its
+    newest local time below ``marks``, and the rows of days that earlier batches had
+    closed go below ``late`` as well. All three folders carry the batch number, so a
+    batch that runs again replaces what it wrote.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, path = batch.sparkSession, f"{root}/bars/batch={batch_id}"
+        append_bars(batch, path, clock, mode="overwrite")
+        written = spark.read.parquet(path)
+        local = F.col("et_date").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("et_second"))
+        written.agg(F.max(local).alias("newest")).write.mode("overwrite").parquet(f"{root}/marks/batch={batch_id}")
+        closed = (
+            spark.read.parquet(f"{root}/marks").filter(F.col("batch") < batch_id)
+            .agg((F.max("newest") - F.make_dt_interval(mins=F.lit(lateness_minutes))).alias("t")).first()["t"]
+        )
+        day_end = F.date_add("et_date", 1).cast("timestamp_ntz")
+        late = written.filter(F.lit(False) if closed is None else day_end <= F.lit(closed).cast("timestamp_ntz"))
+        late.write.mode("overwrite").parquet(f"{root}/late/batch={batch_id}")
+
+    return bars.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def repaired_sessions(spark: SparkSession, root: str, clock: SessionClock = ONE_MINUTE) -> DataFrame:
+    """The sessions that late bars touched, from all stored bars of those symbols and
+    days; other months are pruned. Like ``sessions``, it counts the rows as they are."""
+    touched = spark.read.parquet(f"{root}/late").select("symbol", "et_date", "et_month").distinct()
+    bars = spark.read.parquet(f"{root}/bars").join(touched, ["symbol", "et_date", "et_month"], "left_semi")
+    return session_ohlcv(bars, clock)
+
+
+def current_sessions(emitted: DataFrame, repaired: DataFrame) -> DataFrame:
+    """Emitted sessions, those with late bars replaced."""
+    return emitted.join(repaired.select("symbol", "date"), ["symbol", "date"], "left_anti").unionByName(repaired)
+
+
 def snapshot_windows(
     bars: DataFrame, clock: SessionClock = ONE_MINUTE, lateness: str = "0 seconds"
 ) -> DataFrame:
@@ -117,16 +156,36 @@ def snapshot_windows(
     )
 
 
+#: Days of event time without a window after which a symbol's state is dropped. Longer
+#: than any market holiday; a longer gap has no previous session to compare with.
+EXPIRY_DAYS = 14
+
+
 class PreviousClose(StatefulProcessor):
     """Pairs each snapshot day with the official close of the previous one.
 
     A window ending on day X holds the session of X-1. State per symbol is two
-    values: the last snapshot day and that day's close once it was seen.
+    values: the last snapshot day and that day's close once it was seen. Every window
+    moves the symbol's one timer; when the watermark passes it, the symbol is dead and
+    its state goes. Time is event time alone, so a replay gives the same rows.
     """
 
+    def __init__(self, expiry_days: int = EXPIRY_DAYS):
+        self.expiry_ms = expiry_days * 86_400_000
+
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.last = handle.getValueState("last", "day DATE, close DOUBLE")
 
+    def _expire_after(self, newest: pd.Timestamp) -> None:
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(int(newest.timestamp() * 1000) + self.expiry_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        yield pd.DataFrame()
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows)).sort_values("date")
         day, close = self.last.get() if self.last.exists() else (None, None)
@@ -139,27 +198,30 @@ class PreviousClose(StatefulProcessor):
                 day, close = row["date"], None
         if day is not None:
             self.last.update((day, close))
-        yield pd.DataFrame(out, columns=[*pdf.columns, "prev_close"])
+        self._expire_after(pdf["et_end"].max())
+        yield pd.DataFrame(out, columns=[*pdf.columns, "prev_close"]).drop(columns="et_end")
 
     def close(self) -> None:
         pass
 
 
 def snapshot_features(
-    bars: DataFrame, clock: SessionClock = ONE_MINUTE, lateness: str = "0 seconds"
+    bars: DataFrame, clock: SessionClock = ONE_MINUTE, lateness: str = "0 seconds", expiry_days: int = EXPIRY_DAYS
 ) -> DataFrame:
-    """Pre-market features of a day, emitted once its snapshot has passed.
+    """Pre-market features of a day, emitted once the watermark has passed its snapshot,
+    whichever symbol's bar moved it.
 
     Bars are reduced by a built-in aggregate; only its one row per symbol and day
-    meets the custom state. Needs the RocksDB state store provider.
+    meets the custom state, whose timers run in event time. Needs the RocksDB state
+    store provider.
     """
     anchors = ["snapshot_open", "official_close", "evening_open", "pre_open", "pre_high", "pre_low", "pre_close"]
     windows = snapshot_windows(bars, clock, lateness).select(
-        "symbol", F.to_date("w.end").alias("date"), *anchors
+        "symbol", F.to_date("w.end").alias("date"), *anchors, F.window_time("w").alias("et_end")
     )
     schema = f"symbol STRING, date DATE, {', '.join(c + ' DOUBLE' for c in anchors)}, prev_close DOUBLE"
     paired = windows.groupBy("symbol").transformWithStateInPandas(
-        PreviousClose(), outputStructType=schema, outputMode="Append", timeMode="None"
+        PreviousClose(expiry_days), outputStructType=schema, outputMode="Append", timeMode="EventTime"
     )
     return paired.select(
         "symbol", "date",

@@ -120,6 +120,64 @@ def test_stream_snapshot_equals_batch(spark, make_bars):
     assert rows(out, *columns) == want
 
 
+def test_stream_snapshot_by_the_watermark_alone(spark, make_bars):
+    """Another symbol's bar moves the time: the last snapshot of a dead symbol comes out, and its state goes."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    path, cp = shared_dir(spark, "t-timers"), shared_dir(spark, "t-timers-cp")
+
+    source = shared_dir(spark, "t-timers-source")
+
+    def load(*bars):
+        """(symbol, day) of all snapshots so far, and the symbols with state, after one more load."""
+        make_bars(*bars).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(make_bars().schema).parquet(source)
+        query = (st.snapshot_features(stream, expiry_days=10).writeStream.format("parquet").option("path", path)
+                 .option("checkpointLocation", cp).trigger(availableNow=True).start())
+        query.awaitTermination()
+        state = spark.read.format("statestore").option("operatorId", _tws_operator(spark, cp)).option("stateVarName", "last").load(cp)
+        return set(rows(spark.read.schema("symbol STRING, date DATE").parquet(path), "symbol", "date")), {r[0] for r in state.select("key.symbol").collect()}
+
+    at = lambda t, symbol="ES": (t, 1, 2, 1, 1, 1.0, symbol)
+    monday = ("ES", dt.date(2024, 3, 11))
+    try:
+        assert load(*[at(f"{d} {t}") for d in DAYS[:2] for t in TIMES]) == ({("ES", dt.date.fromisoformat(d)) for d in DAYS[:2]}, {"ES"})
+        assert monday not in load(at("2024-03-11 08:30"), at("2024-03-11 09:00"))[0]  # 09:01 has not passed
+        seen, state = load(at("2024-03-11 09:01", "NQ"))
+        assert monday in seen and state == {"ES"}
+        load(at("2024-04-10 09:00", "NQ"))
+        seen, state = load(at("2024-04-11 12:00", "NQ"))
+        assert ("NQ", dt.date(2024, 4, 10)) in seen and state == {"NQ"}  # ES is dead
+    finally:
+        spark.conf.set(key, before)
+
+
+def _tws_operator(spark, checkpoint):
+    ops = spark.read.format("state-metadata").load(checkpoint).filter("operatorName LIKE 'transformWithState%'")
+    return ops.first()["operatorId"]
+
+
+def test_late_ticks_are_kept_and_repaired(spark, make_bars):
+    root = shared_dir(spark, "t-late")
+    all_bars = history(make_bars)
+    late = (F.hour("ts") == 17) & (F.dayofmonth("ts") != 12)  # noon in New York
+    sentinel = make_bars(("2024-03-14 12:00", 1, 1, 1, 1))
+    emitted = None
+    for load in (all_bars.filter(~late), sentinel, all_bars.filter(late)):
+        load.coalesce(1).write.mode("append").parquet(f"{root}/source")
+        stream = lambda: spark.readStream.schema(all_bars.schema).parquet(f"{root}/source")
+        emitted = st.run_to_table(st.sessions(stream()), f"{root}/out", f"{root}/out-cp")
+        st.keep_late(stream(), f"{root}/kept", f"{root}/kept-cp").awaitTermination()
+    kept = spark.read.parquet(f"{root}/kept/late")
+    assert rows(kept, "ts") == rows(all_bars.filter(late), "ts") and kept.count() > 0
+    columns = ("date", "open", "high", "low", "close", "volume")
+    want = rows(ses.session_ohlcv(all_bars), *columns)
+    assert rows(emitted, *columns) != want
+    now = st.current_sessions(emitted, st.repaired_sessions(spark, f"{root}/kept"))
+    assert rows(now.filter("date < '2024-03-14'"), *columns) == want
+
+
 def test_stream_dedupe_across_batches(spark, make_bars):
     one = make_bars(("2024-03-05 10:00", 1, 1, 1, 1))
     again = make_bars(("2024-03-05 10:00", 2, 2, 2, 2), ("2024-03-05 10:01", 3, 3, 3, 3))
