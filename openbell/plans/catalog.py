@@ -29,6 +29,7 @@ from openbell.session import STATE_STORE, materialize, shared_dir
 from openbell.sources import articles as art
 from openbell.sources import bars as src
 from openbell.sources import bindings as b
+from openbell.sources.snapshots import SnapshotTable
 from openbell.sources.store import TableStore
 from openbell.streaming import jobs as st
 
@@ -853,6 +854,18 @@ def stream_append(spark, d):
     return src.read_stamped(spark, path).select("symbol", "ts", "close", "volume", "et_date", "et_second", "et_month")
 
 
+@query
+def stream_append_merged(spark, d):
+    """The same table kept by snapshots: twelve micro-batches, months merged on the way."""
+    path = shared_dir(spark, "bar-snapshots")
+    events = b.table(spark, d, "events")
+    events.withColumn("load", F.col("event_id") % 12).write.partitionBy("load").parquet(f"{path}/source")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/source")
+    table = SnapshotTable(spark, f"{path}/table", "et_month", ("symbol", "ts"))
+    st.maintain_snapshots(_as_ticks(stream), table, f"{path}/checkpoint", most_files=4).awaitTermination()
+    return table.read().select("symbol", "ts", "close", "volume", "et_date", "et_second", "et_month")
+
+
 def _snapshots(spark, d, closing):
     """The batch bars as a stream; ``closing`` adds a bar of a marker symbol a week later.
     A session of its own holds the state store setting, so no other query sees it."""

@@ -759,6 +759,7 @@ ORACLE["stream_snapshot"] = with_(EVENT_BARS, STAMPED, PREMARKET) + f"""
     SELECT symbol, date, {rounded(*PREMARKET_COLS)} FROM premarket
     WHERE date + INTERVAL 541 MINUTE <= (SELECT max(local) FROM stamped)"""
 ORACLE["stream_snapshot_closed"] = with_(EVENT_BARS, STAMPED, PREMARKET) + f"SELECT symbol, date, {rounded(*PREMARKET_COLS)} FROM premarket"
+ORACLE["stream_append_merged"] = ORACLE["stream_append"]
 ORACLE["stream_late_repair"] = ORACLE["stream_sessions"]
 
 # --- contracts and rules ------------------------------------------------------------------------

@@ -19,6 +19,7 @@ from openbell.functions.numeric import change
 from openbell.functions.text import news_text
 from openbell.operators.sessions import _first, _last, _only, _within, session_ohlcv
 from openbell.sources.bars import append_bars
+from openbell.sources.snapshots import SnapshotTable
 
 
 def dedupe_bars(bars: DataFrame, lateness: str = "10 minutes") -> DataFrame:
@@ -90,6 +91,20 @@ def maintain_bars(bars: DataFrame, path: str, checkpoint: str, clock: SessionClo
     )
 
 
+def maintain_snapshots(
+    bars: DataFrame, table: SnapshotTable, checkpoint: str, clock: SessionClock = ONE_MINUTE, most_files: int = 8
+):
+    """Keep a bar table of snapshots current: each micro-batch is one load, and months
+    with more than ``most_files`` files are merged. Readers keep the version they opened."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        stamped = stamp(batch, clock).withColumn("et_month", F.date_format("et_date", "yyyy-MM"))
+        table.append(stamped, f"batch-{batch_id}")
+        table.merge(most_files)
+
+    return bars.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def keep_late(bars: DataFrame, root: str, checkpoint: str, clock: SessionClock = ONE_MINUTE, lateness_minutes: int = 10):
     """Store every bar, and beside them those that came too late for ``sessions``.
 
