@@ -218,7 +218,7 @@ def model_matrix(spark, d):
         ses.macro_features_wide(_anchors(daily), b.LINE_SOURCES),
         market.prepare_sentiment(_sentiment(spark, d, "1996-01-01")),
         _calendar(spark, b.table(spark, d, "lineitem").select(F.to_date("l_shipdate").alias("day"))),
-        cutoff=AS_OF,
+        cutoff=AS_OF, check_rows="inside",
     )
 
 
@@ -242,6 +242,31 @@ def null_audit(spark, d):
     return contracts.null_audit(_matrix(spark, d, as_of=AS_OF, years=None, drop_incomplete=False))
 
 
+@query
+def null_audit_observed(spark, d):
+    """The same audit, counted by the job that writes the table."""
+    seen = contracts.Observed(_matrix(spark, d, as_of=AS_OF, years=None, drop_incomplete=False))
+    materialize(seen.frame, "audited")
+    return seen.nulls()
+
+
+@query
+def contract_violations(spark, d):
+    """Four dirty tables: days that repeat, days that are missing, names that collide, a day with a time."""
+    daily = b.daily_bars(spark, d)
+    first = F.dayofmonth("date") == 1
+    market_days = daily.select("symbol", "date", "open").unionByName(daily.filter(first).select("symbol", "date", "open"))
+    days = daily.select(F.when(F.dayofyear("date") != 5, F.col("date")).alias("date"), "close", "volume")
+    frames = {
+        "market": market_days,
+        "macro": days.groupBy("date").agg(F.max("close").alias("close"), F.max("volume").alias("open")),
+        "sentiment": daily.select(F.col("date").cast("timestamp").alias("date"), "volume").distinct().groupBy("date").agg(F.max("volume").alias("impact")),
+        "calendar": daily.groupBy("symbol").agg(F.max("close").alias("close")),
+    }
+    keys = {"market": ["symbol", "date"], "macro": ["date"], "sentiment": ["date"], "calendar": ["date"]}
+    return contracts.violations(frames, keys, {"market": ["y"]})
+
+
 @query
 def duplicate_keys(spark, d):
     return dedup.duplicate_keys(b.articles(spark, d), ["title", "description"])

@@ -23,6 +23,7 @@ from openbell.operators import model as ml
 from openbell.operators import report as rep
 from openbell.operators import scoring as sc
 from openbell.operators import sessions as ses
+from openbell.operators.contracts import Observed
 from openbell.plans import market
 from openbell.schemas import DAILY_SENTIMENT
 from openbell.session import drop_materialized, materialize, materialized_count
@@ -254,9 +255,13 @@ def rebuild(run: Run) -> DataFrame:
         cal.default_bounds(spark, *run.calendar), cal.event_table(spark)
     ))
     merged = market.merge_features(
-        matrix, macro, market.prepare_sentiment(run.store.read("sentiment")), calendar, keep_unsettled=True
+        matrix, macro, market.prepare_sentiment(run.store.read("sentiment")), calendar, keep_unsettled=True,
+        check_rows="inside",
     )
-    return run.store.replace("model_data", merged)
+    seen = Observed(merged)
+    out = run.store.replace("model_data", seen.frame)
+    run.store.replace("model_data_nulls", seen.nulls().coalesce(1))
+    return out
 
 
 def train(run: Run) -> tuple[PipelineModel, DataFrame]:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from openbell.functions.clock import ONE_MINUTE, SessionClock, lookback, up_to
-from openbell.operators.contracts import check_collisions, check_schema, check_unique, require_columns
+from openbell.operators.contracts import check_collisions, check_schema, check_unique, require_columns, unique_inside
 from openbell.operators.dedup import keep_last
 from openbell.operators.indicators import lagged, with_technicals
 from openbell.operators.sessions import daily_anchors_wide, label, with_premarket
@@ -93,10 +93,13 @@ def merge_features(
     calendar: DataFrame,
     cutoff: dt.date | None = None,
     keep_unsettled: bool = False,
-    check_rows: bool = True,
+    check_rows: bool | str = True,
 ) -> DataFrame:
     """Checked inner merge of the four feature tables.
 
+    Repeated keys raise at once (one job per table), or with ``check_rows="inside"`` when
+    the merge itself runs, which then reads every table once.
+
     Macro, sentiment and calendar have one row per calendar day and so are
     broadcast by AQE when it measures them; market has one row per symbol and day.
     """
@@ -110,11 +113,13 @@ def merge_features(
         check_schema(df, ["date"], source)
     require_columns(market, ["y"], "market")
     check_collisions(frames, KEY)
-    if check_rows:
+    if check_rows == "inside":
+        frames = {source: unique_inside(df, keys[source], source) for source, df in frames.items()}
+    elif check_rows:
         for source, df in frames.items():
             check_unique(df, keys[source], source)
-    out = market
-    for df in (macro, sentiment, calendar):
+    out, *others = frames.values()
+    for df in others:
         out = out.join(df, [k for k in KEY if k in df.columns], "inner")
     out = _key_first(up_to(out, cutoff))
     return out if keep_unsettled else out.filter("y IS NOT NULL")

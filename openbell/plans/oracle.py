@@ -764,6 +764,15 @@ ORACLE["stream_late_repair"] = ORACLE["stream_sessions"]
 
 # --- contracts and rules ------------------------------------------------------------------------
 
+ORACLE["null_audit_observed"] = ORACLE["null_audit"]
+ORACLE["contract_violations"] = with_(LINES, DAILY) + """
+    SELECT 'market' AS source, 'duplicate key' AS rule, '{"symbol":"' || symbol || '","date":"' || strftime(date, '%Y-%m-%d') || '"}' AS detail,
+           CAST(2 AS BIGINT) AS n FROM daily WHERE day(date) = 1
+    UNION ALL SELECT 'macro', 'null key', '{"date":null}', 1 FROM (SELECT 1 FROM daily WHERE dayofyear(date) = 5 LIMIT 1)
+    UNION ALL SELECT * FROM (VALUES ('market', 'missing column', 'y', CAST(NULL AS BIGINT)), ('calendar', 'missing column', 'date', NULL),
+      ('sentiment', 'not a date', 'date: timestamp', NULL), ('market', 'column collision', 'open', NULL), ('macro', 'column collision', 'open', NULL),
+      ('macro', 'column collision', 'close', NULL), ('calendar', 'column collision', 'close', NULL)) v"""
+
 ORACLE["bars_keep_rule"] = with_(EVENT_BARS) + f"""SELECT symbol, ts,
     {r("close + CASE WHEN symbol = 'click' THEN 1 ELSE 0 END")} AS close,
     {r("volume + CASE WHEN symbol = 'click' THEN 1 ELSE 0 END")} AS volume

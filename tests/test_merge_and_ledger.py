@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from openbell.operators import contracts
 from openbell.operators import ledger as led
 from openbell.operators import metrics as met
 from openbell.operators import report as rep
@@ -41,6 +42,32 @@ def test_merge_contracts(spark):
         market.merge_features(m.drop("y"), b, c, d)
 
 
+def test_merge_checks_inside_its_own_job(spark):
+    m, (b, c, d) = tables(spark)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("merge-plan", "building the checked merge")
+    good = market.merge_features(m, b, c, d, keep_unsettled=True, check_rows="inside")
+    assert len(tracker.getJobIdsForGroup("merge-plan")) == 0  # nothing has run
+    spark.sparkContext.setJobGroup("merge-run", "")
+    assert rows(good, *good.columns) == rows(market.merge_features(m, b, c, d, keep_unsettled=True), *good.columns)
+    for frames, source in (((m.union(m), b, c, d), "market"), ((m, b, c.union(c), d), "sentiment"), ((m, b, c, d.union(d)), "calendar")):
+        with pytest.raises(Exception, match=f"{source}: duplicate key .*2024-03-0"):
+            market.merge_features(*frames, keep_unsettled=True, check_rows="inside").collect()
+
+
+def test_violations_and_observed_nulls(spark):
+    df = dated(spark, "symbol STRING, date DATE, x DOUBLE", ("a", D(2024, 3, 4), None), ("a", D(2024, 3, 4), 1.0), (None, D(2024, 3, 5), None))
+    seen = contracts.Observed(df, ["x", "date"])
+    seen.frame.write.format("noop").mode("overwrite").save()
+    assert seen.rows() == 3 and rows(seen.nulls(), "column_name", "n_null") == [("x", 2)]
+    found = contracts.violations({"a": df, "b": df.select("x")}, {"a": ["symbol", "date"], "b": ["date"]}, {"b": ["z"]})
+    assert rows(found, "source", "rule", "detail", "n") == sorted([
+        ("a", "column collision", "x", None), ("b", "column collision", "x", None),
+        ("a", "duplicate key", '{"symbol":"a","date":"2024-03-04"}', 2), ("a", "null key", '{"symbol":null,"date":"2024-03-05"}', 1),
+        ("b", "missing column", "date", None), ("b", "missing column", "z", None),
+    ], key=lambda t: tuple(map(str, t)))
+
+
 def test_sentiment_last_per_day(spark):
     df = dated(spark, "Date TIMESTAMP, x DOUBLE, seq BIGINT", (dt.datetime(2024, 3, 4), 1.0, 1), (dt.datetime(2024, 3, 4), 2.0, 2))
     assert rows(market.prepare_sentiment(df, "seq"), "date", "x") == [(D(2024, 3, 4), 2.0)]
