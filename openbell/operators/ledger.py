@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from openbell.functions.numeric import as_double
+from openbell.sources.store import TableStore
 
 KEY = ["symbol", "date"]
 NUMERIC = ["predicted_range", "actual_range", "abs_error"]
@@ -43,6 +44,50 @@ def settle(predictions: DataFrame, realized: DataFrame) -> DataFrame:
     }).drop("_actual")
 
 
+class Ledger:
+    """The stored ledger by month: a write replaces the months it touches, all others keep
+    their files, and readers keep the version they opened."""
+
+    def __init__(self, store: TableStore, name: str = "predictions"):
+        legacy = store.read(name) if store.exists(name) and not store._by_snapshots(name) else None
+        self.table = store.snapshots(name, "month", tuple(KEY))
+        if legacy is not None:
+            self.table.append(self._with_month(legacy), "legacy")
+
+    @staticmethod
+    def _with_month(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("month", F.date_format("date", "yyyy-MM"))
+
+    def exists(self) -> bool:
+        return self.table.snapshot()[0] > 0
+
+    def read(self) -> DataFrame:
+        return self.table.read().drop("month")
+
+    def _months(self, rows: DataFrame) -> list[str]:
+        return [r[0] for r in self._with_month(rows).select("month").distinct().collect()]
+
+    def _part(self, months: list[str]) -> DataFrame:
+        return self.table.read(where=lambda part: part.partition("=")[2] in months).drop("month")
+
+    def upsert(self, new: DataFrame, load: str) -> None:
+        """``upsert`` into the months of ``new``; only those are read."""
+        if not self.exists():
+            self.table.append(self._with_month(new), load)
+            return
+        months = self._months(new)
+        self.table.replace_parts(self._with_month(upsert(self._part(months), new)), months, load)
+
+    def settle(self, realized: DataFrame, load: str) -> None:
+        """``settle`` the months that hold a pending row whose session is complete by now."""
+        if not self.exists():
+            return
+        pending = coerced(self.read()).filter("actual_range IS NULL").select(*KEY)
+        months = self._months(pending.join(realized.filter("realized_range IS NOT NULL").select(*KEY), KEY))
+        if months:
+            self.table.replace_parts(self._with_month(settle(self._part(months), realized)), months, load)
+
+
 def settled(predictions: DataFrame) -> DataFrame:
     return coerced(predictions).filter("actual_range IS NOT NULL")
 

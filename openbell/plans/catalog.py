@@ -769,6 +769,18 @@ def ledger_upsert(spark, d):
     return led.upsert(predictions.join(new, ["symbol", "date"], "left_anti"), again)
 
 
+@query
+def ledger_by_month(spark, d):
+    """The ledger kept by month: the last 30 days are predicted again, and all but the last five settle."""
+    predictions, realized = _predictions(spark, d)
+    ledger = led.Ledger(TableStore(spark, shared_dir(spark, "ledger")))
+    ledger.upsert(predictions, "history")
+    ledger.upsert(met.latest_rows(predictions, 30).withColumn("predicted_range", F.col("predicted_range") * 2), "again")
+    last_open = met.latest_rows(realized, 5).select("symbol", "date")
+    ledger.settle(realized.join(last_open, ["symbol", "date"], "left_anti"), "settle")
+    return ledger.read()
+
+
 @query
 def rolling_error(spark, d):
     return led.rolling_error(_predictions(spark, d)[0])

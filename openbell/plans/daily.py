@@ -233,9 +233,7 @@ def sentiment(run: Run) -> DataFrame:
 
 
 def settle(run: Run) -> None:
-    if not run.store.exists("predictions"):
-        return
-    run.store.replace("predictions", led.settle(run.store.read("predictions"), run.store.read("ranges")))
+    led.Ledger(run.store).settle(run.store.read("ranges"), f"settle-{run.batch}")
 
 
 def rebuild(run: Run) -> DataFrame:
@@ -301,10 +299,7 @@ def predict(run: Run, model: PipelineModel, meta: DataFrame) -> DataFrame:
         F.lit(info["train_rows"]).cast("bigint").alias("model_train_rows"),
         F.lit(str(info["last_search"])).alias("last_search"),
     )
-    ledger = entry
-    if run.store.exists("predictions"):
-        ledger = led.upsert(run.store.read("predictions"), entry)
-    run.store.replace("predictions", ledger)
+    led.Ledger(run.store).upsert(entry, f"predict-{run.batch}")
     return scored
 
 

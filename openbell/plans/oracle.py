@@ -682,6 +682,13 @@ ORACLE["ledger_upsert"] = with_(
     ("again", """SELECT symbol, date, CASE WHEN rn <= 30 THEN predicted_range * 2 ELSE predicted_range END AS predicted_range,
         actual_range, abs_error FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS rn FROM preds)"""),
 ) + f"SELECT {LEDGER_COLS} FROM again"
+ORACLE["ledger_by_month"] = with_(
+    *PREDS,
+    ("again", """SELECT symbol, date, predicted_range * CASE WHEN rn <= 30 THEN 2 ELSE 1 END AS predicted_range, rr, rn, abs_error
+        FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS rn FROM preds)"""),
+    ("done", """SELECT symbol, date, predicted_range, CASE WHEN rn > 5 THEN rr END AS actual_range,
+        CASE WHEN rn > 20 THEN abs_error WHEN rn > 5 THEN abs(predicted_range - rr) END AS abs_error FROM again"""),
+) + f"SELECT {LEDGER_COLS} FROM done"
 ROLLING7 = (
     "rolling7",
     """SELECT *, avg(abs_error) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS mae_7d

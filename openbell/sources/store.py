@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from openbell.sources.snapshots import SnapshotTable
+
 
 class TableStore:
     """Tables below one shared root, each replaced by writing a new version.
@@ -21,6 +23,10 @@ class TableStore:
         """Give a table its schema (an empty partitioned table has no file to tell it) and partition columns."""
         self._layout[name] = (schema, partition_by)
 
+    def snapshots(self, name: str, partition: str = "", sort: tuple[str, ...] = ()) -> SnapshotTable:
+        """The table as one of snapshots, of which parts can be replaced."""
+        return SnapshotTable(self.spark, f"{self.root}/{name}", partition, sort)
+
     def _path(self, *parts: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
 
@@ -45,8 +51,11 @@ class TableStore:
                 return n
         return None
 
+    def _by_snapshots(self, name: str) -> bool:
+        return self._fs().exists(self._path(name, "log"))
+
     def exists(self, name: str) -> bool:
-        return self._newest(name) is not None
+        return self._newest(name) is not None or self._by_snapshots(name)
 
     def location(self, name: str) -> str:
         newest = self._newest(name)
@@ -62,6 +71,8 @@ class TableStore:
             return
         for status in fs.listStatus(self._path()):
             name = status.getPath().getName()
+            if self._by_snapshots(name):
+                self.snapshots(name).vacuum(keep)
             good = self._versions(name, committed=True) if status.isDirectory() else []
             if len(good) > keep:
                 for n in self._versions(name, committed=False):
@@ -69,6 +80,8 @@ class TableStore:
                         fs.delete(self._path(name, f"v{n}"), True)
 
     def read(self, name: str) -> DataFrame:
+        if self._by_snapshots(name):
+            return self.snapshots(name).read()
         return self._scan(name, self.location(name))
 
     def _scan(self, name: str, path: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime as dt
+import tempfile
 
 import pytest
 from conftest import rows
@@ -9,6 +10,7 @@ from openbell.operators import ledger as led
 from openbell.operators import metrics as met
 from openbell.operators import report as rep
 from openbell.plans import market
+from openbell.sources.store import TableStore
 
 D = dt.date
 
@@ -206,3 +208,31 @@ def test_report_drops_missing_lines(spark):
     assert text["Simple forecasts"] == "Yesterday 100 bps, forecast is off it by +25 bps"
     assert full["description"].endswith("Interval: 105 to 145 bps, held on 60% of test days")
     assert '"inline":true' in full["payload"]
+
+
+def test_ledger_by_month_rewrites_what_it_touches(spark):
+    store = TableStore(spark, tempfile.mkdtemp(prefix="openbell-test-"))
+    old = dated(spark, "symbol STRING, date DATE, predicted_range DOUBLE, actual_range DOUBLE, abs_error DOUBLE",
+                *[("ES", D(2024, m, 5), 0.01 * m, None if m == 5 else 0.01, None if m == 5 else 0.0) for m in range(1, 6)])
+    store.replace("predictions", old)  # as an earlier release left it
+    ledger = led.Ledger(store)
+    files = lambda: {f["part"]: f["path"] for f in ledger.table.snapshot()[1]["files"]}
+    before, opened = files(), store.read("predictions")
+    assert len(before) == 5 and rows(ledger.read(), *old.columns) == rows(old, *old.columns)
+    new = dated(spark, "symbol STRING, date DATE, predicted_range DOUBLE, actual_range DOUBLE, abs_error DOUBLE",
+                ("ES", D(2024, 5, 5), 0.5, None, None), ("NQ", D(2024, 5, 6), 0.02, None, None))
+    ledger.upsert(new, "a")
+    ledger.upsert(new, "a")  # a rerun
+    after = files()
+    assert {p for p in before if before[p] != after[p]} == {"month=2024-05"}
+    assert rows(ledger.read().filter("month(date) = 5"), "symbol", "predicted_range") == [("ES", 0.5), ("NQ", 0.02)]
+    ledger.settle(dated(spark, "symbol STRING, date DATE, realized_range DOUBLE", ("ES", D(2024, 5, 5), 0.4), ("ES", D(2024, 1, 5), 9.0)), "s")
+    settled = files()
+    assert {p for p in after if after[p] != settled[p]} == {"month=2024-05"}
+    done = {(r.symbol, r.date.month): (r.actual_range, r.abs_error) for r in ledger.read().collect()}
+    assert done["ES", 5] == (0.4, pytest.approx(0.1)) and done["NQ", 5] == (None, None) and done["ES", 1] == (0.01, 0.0)
+    ledger.settle(dated(spark, "symbol STRING, date DATE, realized_range DOUBLE", ("ES", D(2024, 5, 5), 0.7)), "t")
+    assert files() == settled  # nothing pending, nothing written
+    assert opened.count() == 5 and opened.filter("actual_range = 0.4").count() == 0  # a reader keeps its version
+    store.prune(keep=1)
+    assert rows(store.read("predictions"), "symbol", "date") == rows(ledger.read(), "symbol", "date")
