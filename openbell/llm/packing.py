@@ -69,7 +69,7 @@ class WordEncoder:
     part goes to the whole tokenizer.
     """
 
-    def __init__(self, path: str, limit: int = 100_000):
+    def __init__(self, path: str, limit: int = 250_000):
         import regex
         from tokenizers import Tokenizer
 

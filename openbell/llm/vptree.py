@@ -273,46 +273,78 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.select("a", "b", F.when(F.col("all") == 0, 1.0).otherwise(F.try_divide("both", F.col("all") - F.col("both"))).alias("j"))
 
 
+#: Shingles that one block of a key's texts aims at: two blocks are compared in one task.
+BLOCK_SHINGLES = 200_000
+
+
+def block_links(sets: list[np.ndarray], roots: np.ndarray, blocks: np.ndarray, similarity: float) -> list[tuple[int, int, float]]:
+    """Links (i, j, similarity) that connect different roots: a forest, never all pairs. Of two blocks only pairs across
+    them are compared, of one block all pairs; pairs of one root are skipped."""
+    sizes = np.array([len(s) for s in sets])
+    _, codes = np.unique(np.concatenate(sets) if len(sets) else np.zeros(0, np.int64), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(codes, kind="stable")
+    postings, starts = owner[order], np.searchsorted(codes[order], np.arange(codes.max(initial=-1) + 2))
+    ends, two, parent = np.cumsum(sizes), len(set(blocks.tolist())) > 1, {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    names, size_of_root = np.unique(roots, return_counts=True)
+    out, largest = [], names[np.argmax(size_of_root)] if len(names) else None
+    for i in np.flatnonzero(roots != largest):  # every pair of two roots has a text outside the largest
+        own = codes[ends[i] - sizes[i] : ends[i]]
+        shared = np.bincount(np.concatenate([postings[starts[c] : starts[c + 1]] for c in own] or [np.zeros(0, np.int64)]), minlength=len(sets))
+        alike = shared / np.maximum(sizes[i] + sizes - shared, 1)
+        for j in np.flatnonzero((alike >= similarity) & (roots != roots[i]) & ((blocks != blocks[i]) | (not two))):
+            x, y = find(roots[i]), find(roots[j])
+            if x != y:
+                parent[x] = y
+                out.append((int(i), int(j), float(alike[j])))
+    return out
+
+
 def _groups(live: DataFrame, sets: DataFrame, similarity: float) -> DataFrame | None:
     """(nid, root) of all texts with a true link; None without any. ``live`` has the rows (key, nid, n) of shared keys.
 
-    Per key, centres are compared with all other texts of the key that are not connected to them by true links yet,
-    and leave it. The number of centres doubles every round, so that rounds are few; a key is done when its texts
-    are connected or one is left. So every two texts of a key are compared, or connected by true links, or ruled
-    out: by their sizes, or because their distances to the key's first centre differ by more than a link may
-    measure (Jaccard distance is a metric).
+    First every text is compared with one centre, the smallest text of all its keys: this connects most copies, one
+    pair per text. Keys whose texts are not all connected by then are compared whole, in pairs of blocks of bounded
+    size as tasks of their own; a task returns a forest of links, so no pairs are written whatever the group's size.
     """
-    most, centres_per_key, tried, roots = 1 - similarity + 1e-9, 1, None, None
-    live = live.withColumn("d", F.lit(None).cast("double"))
-    while True:
-        named = live.withColumn("root", F.col("nid"))
-        if roots is not None:
-            named = live.join(roots, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
-        named = materialize(named.select("key", "nid", "n", "d", "root"), "band-rows")
-        open_keys = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-        named = materialize(named.join(open_keys, "key", "left_semi"), "band-open")
-        if named.isEmpty():
-            return roots
-        part = F.pmod(F.xxhash64("nid"), F.lit(centres_per_key))
-        first = named.groupBy("key", part.alias("part")).agg(F.min(F.struct("nid", "n", "d", "root")).alias("c"))
-        centres = materialize(first.select("key", *[F.col(f"c.{x}").alias(f"c_{x}") for x in ("nid", "n", "d", "root")]), "band-centres")
-        near = F.coalesce(F.abs(F.col("d") - F.col("c_d")) <= most, F.lit(True))
-        sizes = F.least("n", "c_n") >= F.greatest("n", "c_n") * similarity - 1e-9
-        pairs = named.join(centres.hint("merge"), "key").where((F.col("root") != F.col("c_root")) & sizes & near)
-        pairs = pairs.select(F.least("nid", "c_nid").alias("a"), F.greatest("nid", "c_nid").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "band-pairs")
-        fresh = materialize(_similar(pairs, sets), "band-tried")
-        tried = fresh if tried is None else tried.unionByName(fresh)
-        if not fresh.where(F.col("j") >= similarity).isEmpty():
-            roots = materialize(components(tried.where(F.col("j") >= similarity).select("a", "b")).select(F.col("node").alias("nid"), "root"), "band-roots")
-        left = named.join(centres.select("key", F.col("c_nid").alias("nid")), ["key", "nid"], "left_anti").drop("root")
-        if centres_per_key == 1:
-            to_first = left.drop("d").join(centres.select("key", F.col("c_nid").alias("a")).hint("merge"), "key")
-            measured = fresh.select("a", F.col("b").alias("nid"), (1 - F.col("j")).alias("d"))
-            left = to_first.join(measured, ["a", "nid"], "left").select("key", "nid", "n", "d")
-        live, centres_per_key = left, centres_per_key * 2
+
+    def linked(links: DataFrame) -> DataFrame | None:
+        true = links.where(F.col("j") >= similarity).select("a", "b")
+        if true.isEmpty():
+            return None
+        return materialize(components(true).select(F.col("node").alias("nid"), "root"), "band-roots")
+
+    smallest = live.groupBy("key").agg(F.min(F.struct("nid", "n")).alias("c"))
+    lead = live.join(smallest.hint("merge"), "key").groupBy("nid", "n").agg(F.min("c").alias("c"))
+    sizes = F.least("n", "c.n") >= F.greatest("n", "c.n") * similarity - 1e-9
+    pairs = lead.where((F.col("nid") != F.col("c.nid")) & sizes).select(F.col("c.nid").alias("a"), F.col("nid").alias("b"))
+    tried = materialize(_similar(materialize(pairs, "band-pairs"), sets), "band-tried")
+    roots = linked(tried)
+    named = live.withColumn("root", F.col("nid"))
+    if roots is not None:
+        named = live.join(roots, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
+    named = materialize(named.select("key", "nid", "n", "root"), "band-rows")
+    total = F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks")
+    open_keys = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), total).where("x <> y").select("key", F.greatest("blocks", F.lit(1)).alias("blocks"))
+    rows = named.join(open_keys.hint("merge"), "key").withColumn("block", F.pmod(F.xxhash64("nid"), "blocks").cast("int"))
+    rows = rows.select("key", "nid", "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = materialize(rows.select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "nid", "root"), "band-blocks")
+    if rows.isEmpty():
+        return roots
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        nids = pdf["nid"].to_numpy()
+        found = block_links([np.asarray(s, np.int64) for s in pdf["sh"]], pdf["root"].to_numpy(), pdf["block"].to_numpy(), similarity)
+        return pd.DataFrame([(min(nids[i], nids[j]), max(nids[i], nids[j]), s) for i, j, s in found], columns=["a", "b", "j"])
+
+    met = rows.join(sets.hint("merge"), "nid").groupBy("key", "p", "q").applyInPandas(compare, "a long, b long, j double")
+    return linked(tried.select("a", "b", "j").unionByName(materialize(met, "band-links")))
 
 
 def keep_one(docs: DataFrame, n_words: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -320,7 +352,7 @@ def keep_one(docs: DataFrame, n_words: int = 5, similarity: float = 0.8) -> Data
 
     Texts whose ``n_words`` shingle sets (64-bit hashes of whole texts, of any length) have a similarity of at least
     ``similarity`` are linked, groups are transitive. Candidates share one of the keys of MinHash values of these shingles; every two texts of a key are
-    compared or implied (see ``_groups``). Equal texts are one node; texts without words are one group. Rows equal
+    compared or connected (see ``_groups``). Equal texts are one node; texts without words are one group. Rows equal
     in doc_id and text count as one; other columns pass through.
     """
     columns = docs.columns

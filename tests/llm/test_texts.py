@@ -384,6 +384,31 @@ def test_groups_try_every_centre(spark):
     assert {r.nid: r.root for r in roots.collect()} == {k: (k - 1) % 6 + 1 for k in range(1, 19)}
 
 
+def test_groups_of_a_dense_key_in_blocks(spark, monkeypatch):
+    """Edited copies of one text, compared in many small blocks: the groups of brute force, from forests of links."""
+    rng = random.Random(18)
+    base = prose(rng, 150).split()
+    texts = []
+    for _ in range(120):
+        t = list(base)
+        for at in rng.sample(range(150), rng.randint(1, 9)):
+            t[at] = word(rng)
+        texts.append(" ".join(t))
+    sets = [vptree.shingle_hashes(t, 5) for t in texts]
+    alike = lambda a, b: len(np.intersect1d(sets[a], sets[b])) >= 0.8 * len(np.union1d(sets[a], sets[b]))
+    want = groups(list(range(120)), [(a, b) for a in range(120) for b in range(a) if alike(a, b)])
+    assert 2 < len(set(want.values())) < 100
+    table = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(sets)], "nid long, sh array<long>")
+    live = spark.createDataFrame([(key, k, len(x)) for key in (5, 6) for k, x in enumerate(sets) if key == 5 or k % 2], "key long, nid long, n long")
+    for size in (200_000, 3000, 700):
+        monkeypatch.setattr(vptree, "BLOCK_SHINGLES", size)
+        roots = {r.nid: r.root for r in vptree._groups(live, table, 0.8).collect()}
+        assert {k: roots.get(k, k) for k in range(120)} == want
+    links = vptree.block_links(sets, np.arange(120), np.zeros(120, np.int64), 0.8)
+    assert len(links) == 120 - len(set(want.values()))  # a forest
+    assert vptree.block_links([], np.zeros(0, np.int64), np.zeros(0, np.int64), 0.8) == []
+
+
 # --- packing --------------------------------------------------------------------------------------------------
 
 
