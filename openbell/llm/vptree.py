@@ -280,7 +280,7 @@ BLOCK_SHINGLES = 200_000
 def block_links(sets: list[np.ndarray], roots: np.ndarray, blocks: np.ndarray, similarity: float) -> list[tuple[int, int, float]]:
     """Links (i, j, similarity) that connect different roots: a forest, never all pairs. Of two blocks only pairs across
     them are compared, of one block all pairs; pairs of one root are skipped."""
-    sizes = np.array([len(s) for s in sets])
+    sizes = np.array([len(s) for s in sets], np.int64)
     _, codes = np.unique(np.concatenate(sets) if len(sets) else np.zeros(0, np.int64), return_inverse=True)
     owner = np.repeat(np.arange(len(sets)), sizes)
     order = np.argsort(codes, kind="stable")
