@@ -129,6 +129,13 @@ def snapshot_bound(
     return bound
 
 
+def snapshot_bounds(day: str | Column, clock: SessionClock = ONE_MINUTE) -> Column:
+    """``snapshot_bound`` of every day of a column (UTC, without zone)."""
+    day = F.col(day) if isinstance(day, str) else day
+    passed = F.make_dt_interval(secs=F.lit(clock.at("snapshot") + 60).cast("decimal(18,6)"))
+    return F.convert_timezone(F.lit(clock.tz), F.lit("UTC"), day.cast("timestamp_ntz") + passed)
+
+
 def article_date(published_at) -> Column:
     """Trading day an article belongs to, NULL for articles of the open session.
 

@@ -17,7 +17,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from openbell.operators.contracts import require_columns
@@ -55,13 +55,13 @@ class Trial:
     collapsed: bool
 
 
-def draw_params(mode: str, n: int, seed: int = SEED) -> list[dict]:
-    """n seeded draws; the step size is drawn on a log scale."""
+def draw_params(mode: str, n: int, seed: int = SEED, space: dict | None = None) -> list[dict]:
+    """n seeded draws from ``space`` (the mode's own if none is given); the step size is drawn on a log scale."""
     rng = random.Random(seed)
     draws = []
     for _ in range(n):
         p = {}
-        for name, (low, high) in SPACE[mode].items():
+        for name, (low, high) in (space or SPACE[mode]).items():
             if isinstance(low, int):
                 p[name] = rng.randint(low, high)
             elif name == "stepSize":
@@ -131,6 +131,14 @@ def fit(
     return Pipeline(stages=stages).fit(scaled(data, mean, dev))
 
 
+def holdout_columns(mode: str, predicted: str = "predicted_range", target: str = TARGET) -> list[Column]:
+    """Aggregates over a holdout: ``score`` and ``collapsed`` (the prediction hardly varies against the target)."""
+    error = F.col(target) - F.col(predicted)
+    score = F.avg(F.abs(error)) if SCORE[mode] == "mae" else F.sqrt(F.avg(error * error))
+    spread = [F.coalesce(x, F.lit(0.0)) for x in (F.stddev_pop(predicted), F.stddev_samp(target))]
+    return [score.alias("score"), (spread[0] < COLLAPSE_SHARE * spread[1]).alias("collapsed")]
+
+
 def search(
     mode: str,
     train: DataFrame,
@@ -142,6 +150,8 @@ def search(
     parallelism: int = 1,
     seed: int = SEED,
     patience: int = PATIENCE,
+    first_rounds: int = FIRST_ROUNDS,
+    space: dict | None = None,
 ) -> list[Trial]:
     """Score seeded draws on one fixed chronological holdout.
 
@@ -160,15 +170,11 @@ def search(
         "features", TARGET, "_y", "_holdout"
     ).persist()
     held = ready.filter("_holdout")
-    spread = held.agg(F.stddev_samp(TARGET).alias("s")).first()["s"] or 0.0
     restored = unscale(mean, dev)
-    error = F.col(TARGET) - F.col("predicted_range")
-    measure = F.avg(F.abs(error)) if SCORE[mode] == "mae" else F.sqrt(F.avg(error * error))
-
     learn = ready.filter("NOT _holdout")
 
     def run(params: dict) -> Trial:
-        rounds = min(FIRST_ROUNDS, max_rounds)
+        rounds = min(first_rounds, max_rounds)
         while True:
             curve = regressor(mode, params, rounds, n).fit(learn).evaluateEachIteration(held, LOSS[mode])
             best = best_round(curve, patience)
@@ -176,13 +182,10 @@ def search(
                 break
             rounds = min(2 * rounds, max_rounds)
         model = regressor(mode, params, best, n).fit(learn)
-        row = restored.transform(model.transform(held)).agg(
-            measure.alias("score"), F.stddev_pop("predicted_range").alias("spread")
-        ).first()
-        collapsed = (row["spread"] or 0.0) < COLLAPSE_SHARE * spread
-        return Trial(params, None if collapsed else row["score"], model.getNumTrees, collapsed)
+        row = restored.transform(model.transform(held)).agg(*holdout_columns(mode)).first()
+        return Trial(params, None if row["collapsed"] else row["score"], model.getNumTrees, row["collapsed"])
 
-    draws = draw_params(mode, trials, seed)
+    draws = draw_params(mode, trials, seed, space)
     try:
         if parallelism <= 1:
             return [run(p) for p in draws]
@@ -248,6 +251,11 @@ def is_stale(last_search: dt.datetime | None, as_of: dt.datetime, days: int = SE
     return last_search is None or (as_of - last_search) >= dt.timedelta(days=days)
 
 
+def search_due(last_search: Column, as_of: Column, days: int = SEARCH_EVERY_DAYS) -> Column:
+    """``is_stale`` for columns of timestamps."""
+    return last_search.isNull() | (as_of - last_search >= F.make_dt_interval(F.lit(days)))
+
+
 def _metric_map(metrics: DataFrame) -> dict:
     """A handful of rows, one per predictor."""
     return {
@@ -268,6 +276,7 @@ def train_or_refit(
     trials: int = TRIALS,
     max_rounds: int = MAX_ROUNDS,
     parallelism: int = 1,
+    space: dict | None = None,
 ) -> tuple[PipelineModel, DataFrame]:
     """Search when asked, stale or first; refit on all rows either way.
 
@@ -283,7 +292,7 @@ def train_or_refit(
             split = chronological_split(data)
             train, validation = split.filter("split = 'train'"), split.filter("split = 'validation'")
             winner = best_trial(search(
-                mode, train, validation, feature_names, nullable, trials, max_rounds, parallelism
+                mode, train, validation, feature_names, nullable, trials, max_rounds, parallelism, space=space
             ))
             params, best_iter, searched = winner.params, winner.best_iter, as_of
             rounds = final_rounds(best_iter)

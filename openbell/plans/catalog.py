@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from openbell.functions.clock import article_date, is_weekday, wall_clock
+from openbell.functions.clock import article_date, is_weekday, snapshot_bounds, wall_clock
 from openbell.functions.clock import lookback as clock_lookback
 from openbell.functions.numeric import as_double, round_doubles
 from openbell.functions.text import content_key
@@ -685,6 +685,11 @@ def _model_rows(spark, d):
     return rows.filter("target IS NOT NULL")
 
 
+def _in_order(rows, purpose):
+    """Written in ranges of (symbol, date): the same partitions in every run, so trees repeat."""
+    return materialize(rows.repartitionByRange("symbol", "date").sortWithinPartitions("symbol", "date"), purpose)
+
+
 _PARAMS = {"maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8, "featureShare": 1.0,
            "minInstancesPerNode": 3, "gamma": 0.0}
 
@@ -692,7 +697,7 @@ _PARAMS = {"maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8, "featureShare
 @query
 def fit_predict(spark, d):
     """Train on the first 80 % of the days, predict the rest."""
-    split = materialize(met.chronological_split(_model_rows(spark, d)), "split").coalesce(1)
+    split = _in_order(met.chronological_split(_model_rows(spark, d)), "split")
     model = ml.fit("mae", split.filter("split <> 'test'"), MODEL_FEATURES, ["rv_lag_22"], _PARAMS, rounds=40)
     return ml.predict(model, split.filter("split = 'test'"), MODEL_FEATURES).select(
         "symbol", "date", "target", "predicted_range"
@@ -710,7 +715,7 @@ def fit_predict_rows(spark, d):
 def param_search(spark, d):
     """Seeded draws, each fitted until its holdout error stops falling (patience and
     block sizes of the search; the numbers of draws and rounds are arguments)."""
-    split = materialize(met.chronological_split(_model_rows(spark, d)), "split").coalesce(1)
+    split = _in_order(met.chronological_split(_model_rows(spark, d)), "split")
     trials = ml.search("mae", split.filter("split = 'train'"), split.filter("split = 'validation'"),
                        MODEL_FEATURES, ["rv_lag_22"], trials=3, max_rounds=64, parallelism=3)
     rows = [(i, t.score, t.best_iter, t.collapsed) for i, t in enumerate(trials)]
@@ -719,7 +724,7 @@ def param_search(spark, d):
 
 @query
 def importance(spark, d):
-    rows = materialize(_model_rows(spark, d), "model-rows").coalesce(1)
+    rows = _in_order(_model_rows(spark, d), "model-rows")
     model = ml.fit("mae", rows, MODEL_FEATURES, ["rv_lag_22"], _PARAMS, rounds=40)
     return ml.importance(model, MODEL_FEATURES, ["rv_lag_22"])
 
@@ -732,6 +737,105 @@ def importance_names(spark, d):
     return shares.select("feature", (F.col("importance") >= 0).alias("non_negative"), whole.alias("sums_to_one"))
 
 
+#: Draws that only differ in what two yes-or-no inputs cannot show: a fitted cell is the mean of its rows.
+_PLAIN = {"maxDepth": (2, 4), "stepSize": (0.02, 0.10), "subsamplingRate": (1.0, 1.0),
+          "featureShare": (1.0, 1.0), "minInstancesPerNode": (1, 1), "gamma": (0.0, 0.0)}
+_FLAGS = ["is_n", "is_monday"]
+
+
+def _flagged(spark, d):
+    rows = _har(spark, d).filter("target IS NOT NULL").select("symbol", "date", "rv_lag_5", "target")
+    return rows.withColumns({"is_n": (F.col("symbol") == "N").cast("int"), "is_monday": (F.weekday("date") == 0).cast("int")})
+
+
+@query
+def fit_by_cells(spark, d):
+    """Predictions of the model that never saw the test days beside those of the production refit.
+    Both inputs are flags and the loss is squared, so a prediction is the mean of its cell. The rows to
+    predict have their columns in another order and more of them."""
+    split = _in_order(met.chronological_split(_flagged(spark, d)), "cells")
+    params = {k: low for k, (low, _) in _PLAIN.items()}
+    new = split.filter("split = 'test'").select("is_monday", F.lit("x").alias("extra"), "target", "is_n", "date", "symbol")
+    on_train = ml.fit("aggressive", split.filter("split <> 'test'"), _FLAGS, [], params, rounds=1)
+    on_all = ml.fit("aggressive", split, _FLAGS, [], params, rounds=1)
+    tested = ml.predict(on_train, new, _FLAGS).withColumnRenamed("predicted_range", "tested")
+    return ml.predict(on_all, tested, _FLAGS).select("symbol", "date", "target", "tested", F.col("predicted_range").alias("deployed"))
+
+
+@query
+def importance_by_cells(spark, d):
+    """Shares of two flags in one tree of depth two: their parts of the removed squared error."""
+    rows = _in_order(_flagged(spark, d), "cells")
+    params = {k: low for k, (low, _) in _PLAIN.items()}
+    return ml.importance(ml.fit("aggressive", rows, _FLAGS, [], params, rounds=1), _FLAGS, [])
+
+
+@query
+def model_metadata(spark, d):
+    """A search with its holdout metrics, then two days later a refit that carries them over."""
+    rows, root = _in_order(_flagged(spark, d), "cells"), shared_dir(spark, "models")
+    day = dt.datetime(2024, 1, 8)
+    _, first = ml.train_or_refit(rows, _FLAGS, day, f"{root}/searched", "aggressive", trials=2, max_rounds=1, space=_PLAIN)
+    model, again = ml.train_or_refit(rows, _FLAGS, day + dt.timedelta(days=2), f"{root}/refitted", "aggressive", meta=first)
+    rounds = model.stages[-2].getNumTrees
+    return first.unionByName(again).select(
+        "mode", F.concat_ws(",", "feature_names").alias("features"), "best_iter", F.lit(rounds).alias("refit_rounds"),
+        F.to_date("trained_at").alias("trained"), F.to_date("last_search").alias("searched"), "train_rows", "train_start", "train_end",
+        F.col("val_metrics")["model"]["rmse"].alias("val_rmse"), F.col("test_metrics")["model"]["rmse"].alias("test_rmse"),
+        F.col("test_metrics")["model"]["mae"].alias("test_mae"), F.col("test_metrics")["rv_lag_5"]["mae"].alias("lag_mae"))
+
+
+@query
+def trial_scores(spark, d):
+    """Candidates on one holdout: those that hardly vary are collapsed and cannot win."""
+    held = met.chronological_split(_har(spark, d).filter("target IS NOT NULL AND rv_lag_22 IS NOT NULL")).filter("split = 'validation'")
+    named = {"rv_lag_5": F.col("rv_lag_5"), "rv_lag_22": F.col("rv_lag_22"), "constant": F.lit(0.01),
+             "nearly_constant": F.lit(0.01) + F.col("rv_lag_5") * 1e-6}
+    long = held.select("target", F.explode(F.create_map(*[x for n, c in named.items() for x in (F.lit(n), c)])).alias("candidate", "predicted_range"))
+    scores = long.groupBy("candidate").agg(*ml.holdout_columns("mae"))
+    alive = F.when(~F.col("collapsed"), F.col("score"))
+    return scores.select("candidate", alive.alias("score"), "collapsed", F.coalesce(alive == F.min(alive).over(Window.partitionBy()), F.lit(False)).alias("wins"))
+
+
+@query
+def search_due(spark, d):
+    """On which days a search is due, by the last one: none on first days, else up to nine days old."""
+    days = b.daily_bars(spark, d).select("date").distinct()
+    noon = F.col("date").cast("timestamp_ntz") + F.expr("INTERVAL 12 HOURS")
+    age = F.make_dt_interval(F.dayofmonth("date") % 10, F.dayofmonth("date") % 3)
+    last = F.when(F.dayofmonth("date") > 1, noon - age + F.expr("INTERVAL 1 HOUR"))
+    return days.select("date", last.alias("last_search"), ml.search_due(last, noon).alias("due"))
+
+
+@query
+def pinned_bounds(spark, d):
+    """Every day's fetch bound, the bars that a rerun of the day sees, and whether 14:00:30 UTC was too early to ask."""
+    bars = b.line_bars(spark, d).withColumns({"at": F.to_timestamp_ntz(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")), "day": F.to_date(wall_clock("ts"))})
+    bound = snapshot_bounds("day")
+    early = bound > F.col("day").cast("timestamp_ntz") + F.expr("INTERVAL '14:00:30' HOUR TO SECOND")
+    return bars.groupBy("symbol", F.col("day").alias("date"), bound.alias("bound"), early.alias("too_early")).agg(
+        F.count_if(F.col("at") < bound).alias("seen"), F.count("*").alias("n"))
+
+
+@query
+def article_tables(spark, d):
+    """One stored table per source; every other one lost its timestamps and is refused."""
+    docs = b.table(spark, d, "documents").select("doc_id", "source")
+    lost = docs.groupBy("source").agg(F.min("doc_id").alias("first")).select("source", (F.col("first") % 2 == 1).alias("lost"))
+    stored = b.articles(spark, d).join(docs.select(F.col("doc_id"), "source"), "doc_id").join(lost, "source")
+    stored = stored.withColumn("published_at", F.when(~F.col("lost") & (F.col("doc_id") % 3 > 0), F.col("published_at")))
+    return art.table_state(stored, "source")
+
+
+@query
+def prerequisites(spark, d):
+    """Which inputs of the day are stored, with their rows, and what to do for those that are not."""
+    store, daily = TableStore(spark, shared_dir(spark, "inputs")), b.daily_bars(spark, d)
+    store.replace("daily_bars", daily)
+    store.replace("sessions", ses.realized_range(daily).limit(0))
+    return store.prerequisites(daily_bars="load the bars", sessions="build the sessions", sentiment="score the articles")
+
+
 # --- ledger and report ----------------------------------------------------------
 
 def _predictions(spark, d, daily=None, open_days=20):

@@ -810,3 +810,58 @@ ORACLE["fit_predict_rows"] = with_(
     WHERE pos > floor(n * 0.8e0)"""
 ORACLE["importance_names"] = """SELECT unnest(['rv_lag_5', 'rv_lag_22', 'prev_day_range', 'prev_rth_momentum', 'relative_volume',
     'rv_lag_22_missing']) AS feature, true AS non_negative, true AS sums_to_one"""
+
+FLAGGED = (
+    *HAR,
+    ("rows_", "SELECT *, symbol = 'N' AS f, isodow(date) = 1 AS g FROM ranges WHERE target IS NOT NULL"),
+    ("days", "SELECT date, row_number() OVER (ORDER BY date) AS pos, floor(count(*) OVER () * 0.8e0) AS fit FROM (SELECT DISTINCT date FROM rows_)"),
+    ("placed_", "SELECT *, CASE WHEN pos <= floor(fit * 0.8e0) THEN 'train' WHEN pos <= fit THEN 'validation' ELSE 'test' END AS split FROM rows_ JOIN days USING (date)"),
+    ("on_train", "SELECT f, g, avg(target) AS p FROM placed_ WHERE split = 'train' GROUP BY f, g"),
+    ("on_fit", "SELECT f, g, avg(target) AS p FROM placed_ WHERE split <> 'test' GROUP BY f, g"),
+    ("on_all", "SELECT f, g, avg(target) AS p FROM placed_ GROUP BY f, g"),
+)
+ORACLE["fit_by_cells"] = with_(*FLAGGED) + f"""SELECT symbol, date, {r('target')} AS target, {r('a.p')} AS tested, {r('b.p')} AS deployed
+    FROM placed_ JOIN on_fit a USING (f, g) JOIN on_all b USING (f, g) WHERE split = 'test'"""
+ORACLE["importance_by_cells"] = with_(
+    *FLAGGED,
+    ("means", """SELECT target AS t, avg(target) OVER () AS m, avg(target) OVER (PARTITION BY f) AS mf,
+        avg(target) OVER (PARTITION BY g) AS mg, avg(target) OVER (PARTITION BY f, g) AS mfg FROM placed_"""),
+    ("sse", """SELECT sum((t - m) * (t - m)) AS a, sum((t - mf) * (t - mf)) AS af, sum((t - mg) * (t - mg)) AS ag,
+        sum((t - mfg) * (t - mfg)) AS afg FROM means"""),
+    ("share", "SELECT CASE WHEN af <= ag THEN (a - af) / (a - afg) ELSE (ag - afg) / (a - afg) END AS x FROM sse"),
+) + f"SELECT 'is_n' AS feature, {r('x')} AS importance FROM share UNION ALL SELECT 'is_monday', {r('1 - x')} FROM share"
+ORACLE["model_metadata"] = with_(
+    *FLAGGED,
+    ("extent", "SELECT count(*) AS n, min(date) AS a, max(date) AS z FROM rows_"),
+    ("val", "SELECT sqrt(avg((target - p) * (target - p))) AS rmse FROM placed_ JOIN on_train USING (f, g) WHERE split = 'validation'"),
+    ("test", """SELECT sqrt(avg((target - p) * (target - p))) AS rmse, avg(abs(target - p)) AS mae, avg(abs(target - rv_lag_5)) AS lag
+        FROM placed_ JOIN on_fit USING (f, g) WHERE split = 'test'"""),
+) + f"""SELECT 'aggressive' AS mode, 'is_n,is_monday' AS features, CAST(1 AS INT) AS best_iter, CAST(10 AS INT) AS refit_rounds,
+    trained, DATE '2024-01-08' AS searched, n AS train_rows, a AS train_start, z AS train_end, {r('val.rmse')} AS val_rmse,
+    {r('test.rmse')} AS test_rmse, {r('test.mae')} AS test_mae, {r('test.lag')} AS lag_mae
+    FROM extent, val, test, (VALUES (DATE '2024-01-08'), (DATE '2024-01-10')) v(trained)"""
+ORACLE["trial_scores"] = with_(
+    *HAR,
+    ("rows_", "SELECT * FROM ranges WHERE target IS NOT NULL AND rv_lag_22 IS NOT NULL"),
+    ("days", "SELECT date, row_number() OVER (ORDER BY date) AS pos, floor(count(*) OVER () * 0.8e0) AS fit FROM (SELECT DISTINCT date FROM rows_)"),
+    ("held", "SELECT * FROM rows_ JOIN days USING (date) WHERE pos > floor(fit * 0.8e0) AND pos <= fit"),
+    ("long", " UNION ALL ".join(f"SELECT '{n}' AS candidate, target AS t, {c} AS p FROM held" for n, c in (
+        ("rv_lag_5", "rv_lag_5"), ("rv_lag_22", "rv_lag_22"), ("constant", "1e-2"), ("nearly_constant", "1e-2 + rv_lag_5 * 1e-6")))),
+    ("scored", """SELECT candidate, avg(abs(t - p)) AS score, stddev_pop(p) < 1e-3 * stddev_samp(t) AS collapsed FROM long GROUP BY 1"""),
+) + f"""SELECT candidate, CASE WHEN NOT collapsed THEN {r('score')} END AS score, collapsed,
+    NOT collapsed AND score = (SELECT min(score) FROM scored WHERE NOT collapsed) AS wins FROM scored"""
+ORACLE["search_due"] = with_(LINES, DAILY) + """SELECT date, last AS last_search, last IS NULL OR date + INTERVAL 12 HOUR - last >= INTERVAL 7 DAY AS due
+    FROM (SELECT date, CASE WHEN day(date) > 1 THEN date + INTERVAL 13 HOUR - to_days(CAST(day(date) % 10 AS INT)) - to_hours(day(date) % 3) END AS last
+          FROM (SELECT DISTINCT date FROM daily))"""
+ORACLE["pinned_bounds"] = with_(LINES, LINE_BARS) + """
+    SELECT symbol, date, bound, bound > date + INTERVAL 14 HOUR + INTERVAL 30 SECOND AS too_early,
+           count(*) FILTER (ts < bound) AS seen, count(*) AS n
+    FROM (SELECT symbol, ts, date, timezone('UTC', timezone('America/New_York', date + INTERVAL 541 MINUTE)) AS bound
+          FROM (SELECT *, CAST(timezone('America/New_York', timezone('UTC', ts)) AS DATE) AS date FROM bars)) GROUP BY ALL"""
+ORACLE["article_tables"] = with_(*articles()) + """
+    SELECT source, count(*) AS n, max(stored_at) AS last_seen, max(stored_at) IS NULL AS corrupt FROM (
+      SELECT source, CASE WHEN min(doc_id) OVER (PARTITION BY source) % 2 = 0 AND doc_id % 3 > 0 THEN published_at END AS stored_at
+      FROM articles JOIN (SELECT doc_id, source FROM documents) USING (doc_id)) GROUP BY 1"""
+ORACLE["prerequisites"] = with_(LINES, DAILY) + """
+    SELECT 'daily_bars' AS "table", 'load the bars' AS remedy, true AS present, count(*) AS n FROM daily
+    UNION ALL VALUES ('sessions', 'build the sessions', true, CAST(0 AS BIGINT)), ('sentiment', 'score the articles', false, NULL)"""

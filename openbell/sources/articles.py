@@ -38,12 +38,20 @@ def landed(records: DataFrame) -> DataFrame:
     return keep_first(records, ARTICLE_KEY).drop(DELIVERY)
 
 
+def table_state(existing: DataFrame, *by: str) -> DataFrame:
+    """Rows, newest stored timestamp and ``corrupt``, per group: a table without a valid timestamp is corrupt."""
+    newest = F.max("published_at")
+    return existing.groupBy(*by).agg(
+        F.count("*").alias("n"), newest.alias("last_seen"), newest.isNull().alias("corrupt")
+    )
+
+
 def last_seen(existing: DataFrame) -> dt.datetime:
     """Newest stored timestamp; a table without one is corrupt, not empty."""
-    newest = existing.agg(F.max("published_at").alias("t")).first()["t"]
-    if newest is None:
+    state = table_state(existing).first()
+    if state["corrupt"]:
         raise ValueError("article table has no valid published_at; refusing to reload history")
-    return newest
+    return state["last_seen"]
 
 
 def missing_days(manifest: DataFrame, first: dt.date, last: dt.date) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from openbell.sources.snapshots import SnapshotTable
 
@@ -116,6 +117,16 @@ class TableStore:
             .partitionBy(*self._layout[name][1]).parquet(path)
         )
 
+    def prerequisites(self, **how_to_create: str) -> DataFrame:
+        """(table, remedy, present, n): one row per wanted table; n is null where it is missing."""
+        found = None
+        for name, how in how_to_create.items():
+            present = self.exists(name)
+            rows = self.read(name).agg(F.count("*").alias("n")) if present else self.spark.range(1).select(F.lit(None).cast("bigint").alias("n"))
+            rows = rows.select(F.lit(name).alias("table"), F.lit(how).alias("remedy"), F.lit(present).alias("present"), "n")
+            found = rows if found is None else found.unionByName(rows)
+        return found
+
     def require(self, **how_to_create: str) -> None:
         """Raise one error that names every missing table and its remedy."""
         missing = [f"{n} ({how})" for n, how in how_to_create.items() if not self.exists(n)]

@@ -219,3 +219,26 @@ def test_search_does_not_stop_at_the_start_of_a_slow_curve(panel, monkeypatch):
     parts = [split.filter(f"split = '{s}'").coalesce(1) for s in ("train", "validation")]
     (trial,) = ml.search("aggressive", *parts, NAMES, [], trials=1, max_rounds=48, patience=20)
     assert trial.best_iter > 30 and not trial.collapsed
+
+
+def test_search_grows_through_three_blocks(panel, monkeypatch):
+    """The curve still falls at the end of the first and the second block of rounds."""
+    draw = {"maxDepth": 1, "stepSize": 0.05, "subsamplingRate": 1.0, "featureShare": 1.0, "minInstancesPerNode": 1, "gamma": 0.0}
+    monkeypatch.setattr(ml, "draw_params", lambda *a: [draw])
+    tried, plain = [], ml.regressor
+    monkeypatch.setattr(ml, "regressor", lambda mode, params, rounds, n: tried.append(rounds) or plain(mode, params, rounds, n))
+    split = ml.chronological_split(panel)
+    parts = [split.filter(f"split = '{s}'").coalesce(1) for s in ("train", "validation")]
+    (trial,) = ml.search("aggressive", *parts, NAMES, [], trials=1, max_rounds=40, patience=5, first_rounds=8)
+    assert tried[:3] == [8, 16, 32] and trial.best_iter > 16 and not trial.collapsed
+
+
+def test_draws_follow_a_given_space():
+    space = {"maxDepth": (2, 2), "stepSize": (0.5, 0.5)}
+    assert ml.draw_params("mae", 2, space=space) == [{"maxDepth": 2, "stepSize": 0.5}] * 2
+
+
+def test_holdout_columns_name_collapsed_predictions(spark):
+    rows_ = spark.createDataFrame([("a", 1.0, 1.0), ("a", 3.0, 2.0), ("b", 1.0, 2.0), ("b", 3.0, 2.0), ("c", 1.0, None)], "k STRING, target DOUBLE, p DOUBLE")
+    got = {r["k"]: (r["score"], r["collapsed"]) for r in rows_.groupBy("k").agg(*ml.holdout_columns("mae", "p")).collect()}
+    assert got["a"] == (0.5, False) and got["b"] == (1.0, True) and got["c"][0] is None

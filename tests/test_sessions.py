@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from conftest import rows
 
-from openbell.functions.clock import lookback, snapshot_bound
+from openbell.functions.clock import lookback, snapshot_bound, snapshot_bounds
 from openbell.operators import sessions as ses
 from openbell.schemas import PREMARKET
 
@@ -130,3 +130,9 @@ def test_session_zone_does_not_matter(spark, make_bars):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert [r[0] for r in want] == [D(2024, 3, 8), D(2024, 3, 11)]
+
+
+def test_snapshot_bounds_equal_the_single_bound(spark):
+    days = [D(2024, 1, 5), D(2024, 3, 8), D(2024, 3, 11), D(2024, 7, 5), D(2024, 11, 4)]
+    got = spark.createDataFrame([(d,) for d in days] + [(None,)], "day DATE").select("day", snapshot_bounds("day").alias("b")).collect()
+    assert {r["day"]: r["b"] for r in got} == {d: snapshot_bound(d) for d in days} | {None: None}

@@ -202,3 +202,16 @@ def test_keep_rule_by_symbol(spark, make_bars):
     )
     out = src.new_bars(bars.limit(0), bars, dt.datetime(2024, 3, 6), keep=F.col("symbol").isin("VX"))
     assert rows(out, "symbol", "open") == [("ES", 3.0), ("VX", 2.0)]
+
+
+def test_table_state_names_corrupt_groups(spark):
+    table = spark.createDataFrame([("a", dt.datetime(2024, 1, 1)), ("a", None), ("b", None)], "k STRING, published_at TIMESTAMP_NTZ")
+    assert rows(art.table_state(table, "k"), "k", "n", "last_seen", "corrupt") == [("a", 2, dt.datetime(2024, 1, 1), False), ("b", 1, None, True)]
+    assert art.table_state(table.limit(0)).first()["corrupt"]
+
+
+def test_prerequisites_as_rows(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.replace("bars", spark.range(3))
+    got = rows(store.prerequisites(bars="load bars", news="load news"), "table", "remedy", "present", "n")
+    assert got == [("bars", "load bars", True, 3), ("news", "load news", False, None)]
