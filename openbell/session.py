@@ -56,17 +56,23 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A new shared path that ``drop_materialized`` deletes with the intermediate tables."""
+    path = shared_dir(spark, purpose)
+    _made.append(path)
+    return path
+
+
 def materialize(df: DataFrame, purpose: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut and
     a lost executor costs a re-read instead of a recomputation."""
-    path = shared_dir(df.sparkSession, purpose)
-    _made.append(path)
+    path = scratch_dir(df.sparkSession, purpose)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_materialized(spark: SparkSession, since: int = 0, until: int | None = None) -> None:
-    """Delete the tables that ``materialize`` wrote in this session after the first
+    """Delete the tables and folders that ``materialize`` and ``scratch_dir`` made in this session after the first
     ``since`` (up to ``until``); for the end of a job whose results are stored elsewhere."""
     for path in _made[since:until]:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
