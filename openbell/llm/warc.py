@@ -6,11 +6,13 @@ The index maps every record to (file, frame, offset inside the frame).
 
 Writers are Spark tasks. A file name is unique to the attempt, and only files named in the written index count:
 what a lost attempt left behind is never read. Pages with equal payloads of at least ``min_dedup_bytes`` are
-stored once, as the response of the largest ``page_id``; the others become revisit records.
+stored once, as the response of the largest ``page_id``; the others become revisit records. Every record has the date of its crawl, which is a parameter:
+the clock decides nothing. A bundle may start with a frame of its own that holds a warcinfo record.
 
 Defined cases: a null html is an empty payload; a null url gives no target line; rows repeated with the largest
-page_id are all responses; a null page_id never is the largest unless all are null, and its record id is empty;
-an empty table gives an empty index; further columns are ignored.
+page_id are all responses; a null page_id never is the largest unless all are null; a record id is made of page id
+and digest, followed by a unique mark for revisits and where rows share a page id (nulls too), so no two records have
+one; a revisit names page and digest of its response, without the mark. Very long pages are one record and frame. An empty table gives an empty index; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,19 +27,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from openbell.llm.common import rows_to_frames, table
-from openbell.session import materialize, shared_dir
+from openbell.session import materialize, scratch_dir
 
 # Zstandard seekable format
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A5E, 0x8F92EAB1
 
 URN = "urn:openbell:page:"
+DATE = "2024-01-01T00:00:00Z"
 INDEX = "page_id long, file string, frame int, record_offset long, record_length long"
 RECORDS = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long"
 CONTENT = RECORDS + ", payload binary"
 
 
 def records(pages: DataFrame, min_dedup_bytes: int = 1000) -> DataFrame:
-    """(page_id, url, payload, digest, refers_to): ``refers_to`` is null for a response.
+    """(page_id, url, payload, digest, refers_to, again): ``refers_to`` is null for a response, ``again`` tells
+    that several rows have the page id.
 
     Sizes and digests alone are grouped, one partial row per digest and task, and only groups of two or more
     are joined back; written first, so that Spark picks the join by their real size.
@@ -53,22 +57,33 @@ def records(pages: DataFrame, min_dedup_bytes: int = 1000) -> DataFrame:
         "warc-repeated",
     )
     is_copy = (F.length("payload") >= min_dedup_bytes) & F.col("keep").isNotNull() & ~F.col("keep").eqNullSafe(F.col("page_id"))
-    return rows.join(repeated, "digest", "left").select(
-        "page_id", "url", "payload", "digest", F.when(is_copy, F.col("keep")).alias("refers_to")
+    several = rows.groupBy("page_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    several = materialize(several.select(F.col("page_id").alias("several"), F.lit(True).alias("again")), "warc-several")
+    return rows.join(repeated, "digest", "left").join(several, F.col("page_id").eqNullSafe(F.col("several")), "left").select(
+        "page_id", "url", "payload", "digest", F.when(is_copy, F.col("keep")).alias("refers_to"), F.coalesce("again", F.lit(False)).alias("again")
     )
 
 
-def _record(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
-    ident = "" if page_id is None else str(page_id)
+def _info(name: str, date: str, fields: str) -> bytes:
+    """The record that describes a bundle; ``fields`` are lines of ``name: value``."""
+    block = "".join(f"{x}\r\n" for x in fields.splitlines()).encode()
+    ident = name.removeprefix("bundle-").removesuffix(".warc.zst")
+    head = ["WARC/1.1", "WARC-Type: warcinfo", f"WARC-Record-ID: <urn:openbell:bundle:{ident}>", f"WARC-Date: {date}", f"WARC-Filename: {name}"]
+    head += ["Content-Type: application/warc-fields", f"Content-Length: {len(block)}"]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def _record(page_id, url, payload: bytes, digest: str, refers_to, mark: str = "", date: str = DATE) -> bytes:
+    ident = ("" if page_id is None else str(page_id)) + f":{digest}" + (mark and f":{mark}")
     copy = refers_to is not None
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if copy else http + payload
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if copy else 'response'}", f"WARC-Record-ID: <{URN}{ident}>"]
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if copy else 'response'}", f"WARC-Record-ID: <{URN}{ident}>", f"WARC-Date: {date}"]
     if url is not None:
         head.append("WARC-Target-URI: " + url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A"))
     head.append(f"WARC-Payload-Digest: sha1:{digest}")
     if copy:
-        head.append(f"WARC-Refers-To: <{URN}{refers_to}>")
+        head.append(f"WARC-Refers-To: <{URN}{refers_to}:{digest}>")
         head.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
     head += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -89,7 +104,7 @@ def parse_record(data: bytes, at: int = 0) -> tuple[tuple, int]:
     payload = None if head["WARC-Type"] == "revisit" else block[split:]
     if payload is not None and (len(payload) != size or hashlib.sha1(payload).hexdigest() != digest):
         raise ValueError(f"damaged payload in {head['WARC-Record-ID']}")
-    ident = lambda x: int(y) if (y := x.removeprefix(f"<{URN}").removesuffix(">")) else None
+    ident = lambda x: int(y) if (y := x.removeprefix(f"<{URN}").split(":")[0]) else None
     url = head.get("WARC-Target-URI")
     url = url and url.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
     refers = ident(head["WARC-Refers-To"]) if "WARC-Refers-To" in head else None
@@ -138,9 +153,13 @@ class _Bundle:
 
 
 def write_bundles(
-    recs: DataFrame, path: str, frame_bytes: int = 1 << 20, bundle_bytes: int = 256 << 20, level: int = 3
+    recs: DataFrame, path: str, frame_bytes: int = 1 << 20, bundle_bytes: int = 256 << 20, level: int = 3,
+    date: str = DATE, info: str | None = None,
 ) -> DataFrame:
-    """Write the records below ``path`` (a shared folder); returns the written index (``INDEX``)."""
+    """Write the records below ``path`` (a shared folder); returns the written index (``INDEX``).
+
+    ``date`` is the records' WARC-Date; ``info`` (lines of ``name: value``) starts every bundle with a warcinfo record.
+    """
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def places():
@@ -148,21 +167,26 @@ def write_bundles(
             store.create_dir(folder, recursive=True)
             bundle = None
             for pdf in frames:
-                for page_id, url, payload, digest, refers_to in pdf.itertuples(index=False):
+                for page_id, url, payload, digest, refers_to, again in pdf.itertuples(index=False):
                     if bundle is None or bundle.written >= bundle_bytes:
                         if bundle:
                             bundle.close()
-                        bundle = _Bundle(store, folder, frame_bytes, level)
+                        bundle, n = _Bundle(store, folder, frame_bytes, level), 0
+                        if info is not None:
+                            bundle.add(_info(bundle.name, date, info))
+                            bundle.flush()
                     page = None if pd.isna(page_id) else int(page_id)
                     to = None if pd.isna(refers_to) else int(refers_to)
-                    yield page_id, *bundle.add(_record(page, url, bytes(payload), digest, to))
+                    n += 1
+                    mark = f"{bundle.name[7:39]}-{n}" if again or to is not None else ""
+                    yield page_id, *bundle.add(_record(page, url, bytes(payload), digest, to, mark, date))
             if bundle:
                 bundle.close()
 
         yield from rows_to_frames(places(), ["page_id", "file", "frame", "record_offset", "record_length"])
 
     # ids travel as text: pandas would turn a nullable long into a float
-    rows = recs.select(F.col("page_id").cast("string"), "url", "payload", "digest", F.col("refers_to").cast("string"))
+    rows = recs.select(F.col("page_id").cast("string"), "url", "payload", "digest", F.col("refers_to").cast("string"), "again")
     index = rows.mapInPandas(write, INDEX.replace("page_id long", "page_id string"))
     return materialize(index.withColumn("page_id", F.col("page_id").cast("long")), "warc-index")
 
@@ -235,8 +259,8 @@ def lookup(index: DataFrame, path: str, ids: DataFrame) -> DataFrame:
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive all pages and return what the archives say of each."""
-    path = shared_dir(spark, "warc")
-    index = write_bundles(records(table(spark, sf_dir, "pages")), path)
+    path = scratch_dir(spark, "warc")
+    index = write_bundles(records(table(spark, sf_dir, "pages")), path, info="software: openbell\nformat: WARC File Format 1.1")
     return read_bundles(index, path).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"
     )
