@@ -8,7 +8,7 @@ order of their first and then of their last line. A rule is an ordered list of i
 sequence. The whole lookup is one map expression per row: no shuffle, no Python.
 
 Defined cases: a null or empty text has no sentences and no licence; unknown sentences between known ones do not
-break a run; repeated rows are judged one by one; further columns are ignored.
+break a run; repeated rows are judged one by one; very long texts are read whole, as one row; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -51,6 +51,31 @@ SENTENCES = {
     "following disclaimer in the documentation and or other materials provided with the distribution": "bsd-binary",
     "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
     "products derived from this software without specific prior written permission": "bsd-endorse",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
+    "free software foundation": "gpl-terms",
+    "either version 2 of the license or at your option any later version": "version2-later",
+    "this library is free software": "lgpl-free",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+    "the free software foundation": "lgpl-terms",
+    "either version 2 1 of the license or at your option any later version": "version2.1-later",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+    "the free software foundation either version 3 of the license or at your option any later version": "lgpl3-later",
+    "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by "
+    "the free software foundation either version 3 of the license or at your option any later version": "agpl3-later",
+    "this source code form is subject to the terms of the mozilla public license v": "mpl-head",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0": "mpl-copy",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+    "granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "the software is provided as is and the author disclaims all warranties with regard to this software including all "
+    "implied warranties of merchantability and fitness": "isc-warranty",
+    "this is free and unencumbered software released into the public domain": "unlicense-head",
+    "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as "
+    "a compiled binary for any purpose commercial or non commercial and by any means": "unlicense-grant",
+    "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to "
+    "this software to the public domain worldwide": "cc0-notice",
+    "this software is provided as is without any express or implied warranty": "zlib-warranty",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter "
+    "it and redistribute it freely subject to the following restrictions": "zlib-grant",
 }
 
 # Licence, ordered sentence identifiers
@@ -67,10 +92,17 @@ RULES = [
     ("MIT", ["mit-notice"]),
     ("MIT", ["mit-grant", "mit-condition", "mit-warranty"]),
     ("proprietary", ["reserved"]),
+    ("AGPL-3.0-or-later", ["gpl-free", "agpl3-later"]),
+    ("CC0-1.0", ["cc0-notice"]),
+    ("GPL-2.0-or-later", ["gpl-free", "gpl-terms", "version2-later"]),
+    ("ISC", ["isc-grant", "isc-warranty"]),
+    ("LGPL-2.1-or-later", ["lgpl-free", "lgpl-terms", "version2.1-later"]),
+    ("LGPL-3.0-or-later", ["lgpl-free", "lgpl3-later"]),
+    ("MPL-2.0", ["mpl-head", "mpl-copy"]),
+    ("Unlicense", ["unlicense-head", "unlicense-grant"]),
+    ("Zlib", ["zlib-warranty", "zlib-grant"]),
 ]
 
-#: A line break, or sentence punctuation before white space.
-BREAK = r"\n|[.!?;:][ \t\r]"
 #: Sentence punctuation before white space or the end of a line, or lines without letters and digits.
 PARAGRAPH = r"[.!?;:](?:[ \t\r]|(?=\n))|\n(?:[^A-Za-z0-9\n]*\n)+"
 
@@ -133,17 +165,25 @@ def _sql() -> str:
     listed = ", ".join(f"CASE WHEN {hit(ids)} THEN {quote(name)} END" for name, ids in RULES)
     ranked = sorted(RULES, key=lambda r: (-len(r[1]), r[0]))
     first = " ".join(f"WHEN {hit(ids)} THEN {quote(name)}" for name, ids in ranked)
+    norm = lambda x: f"trim(regexp_replace(translate({x}, '{UPPER}', '{UPPER.lower()}'), '[^a-z0-9]+', ' ', 'g'))"
     return f"""
 WITH known(sentence, id) AS (VALUES {values}),
-parts AS (
-  SELECT doc_id, string_split_regex(coalesce(text, ''), '{BREAK}') AS s FROM documents
-), each AS (
-  SELECT doc_id, generate_subscripts(s, 1) AS k, unnest(s) AS s FROM parts
+some_known AS (
+  SELECT DISTINCT doc_id, text FROM (SELECT doc_id, text, {norm('text')} AS whole FROM documents) JOIN known ON contains(whole, sentence)
+), parts AS (  -- a space for the line break that may follow a sentence's end
+  SELECT doc_id, string_split_regex(regexp_replace(text, '([.!?;:])\\n', '\\1 ' || chr(10), 'g'),
+         '[.!?;:][ \\t\\r]|\\n(?:[^A-Za-z0-9\\n]*\\n)+') AS p FROM some_known
+), paragraphs AS (
+  SELECT doc_id, generate_subscripts(p, 1) AS k, unnest(p) AS p FROM parts
+), pieces AS (
+  SELECT doc_id, k, list_filter(list_transform(string_split(p, chr(10)), lambda x: {norm('x')}), lambda x: x <> '') AS l FROM paragraphs
+), lines AS (
+  SELECT doc_id, k, l, generate_subscripts(l, 1) AS i, unnest(l) AS s FROM pieces
+), runs AS (
+  SELECT doc_id, k, l, i, id, sentence, unnest(range(i, len(l) + 1)) AS j FROM lines JOIN known ON starts_with(sentence, s)
 ), found AS (
-  SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY k) AS ids
-  FROM each JOIN known
-    ON trim(regexp_replace(translate(s, '{UPPER}', '{UPPER.lower()}'), '[^a-z0-9]+', ' ', 'g')) = sentence
-  GROUP BY doc_id
+  SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY k, i, j) AS ids FROM runs
+  WHERE array_to_string(l[i:j], ' ') = sentence GROUP BY doc_id
 ), all_docs AS (
   SELECT d.doc_id, coalesce(n, 0) AS n_known, coalesce(ids, '') AS sentence_ids
   FROM documents d LEFT JOIN found USING (doc_id)

@@ -82,6 +82,17 @@ def test_mined_rules_equal_brute_force(spark):
     assert {r.verdict for r in judged} == {"allow", "block"}
 
 
+def test_urls_with_many_common_parts_are_mined_as_one(spark):
+    """25 parameters that only blocked urls have: 2 ** 25 frequent sets, one class."""
+    query = "&".join(f"p{chr(97 + k)}=x" for k in range(25))
+    rows = [(f"https://a.site.net/en/{k}?{query}&pa=x", True) for k in range(25)] + [(f"https://a.site.net/en/{k}", False) for k in range(200)]
+    table = spark.createDataFrame(rows, "url string, blocked boolean")
+    new = spark.createDataFrame([("https://b.net/1?ph=x",), ("https://b.net/1?pzz=x",), (f"https://b.net/?{query}" + "&z=1" * 3000,)], "url string")
+    assert [r.mined for r in urls.judge(new, table).sort(F.length("url"), "url").collect()] == [True, False, True]
+    classes = urls.token_classes(table.select(urls.tokens(F.col("url")).alias("tokens")))
+    assert classes.where("head = 'query:pa=x'").count() == 25
+
+
 # --- warc -----------------------------------------------------------------------------------------------------
 
 
@@ -131,6 +142,49 @@ def test_bundles_are_plain_zstandard(spark):
     assert warc.write_bundles(warc.records(pages.limit(0)), shared_dir(spark, "warc-test")).count() == 0
 
 
+def every_record(plain):
+    """Records of an archive by the format alone: (headers, block)."""
+    at, out = 0, []
+    while at < len(plain):
+        end = plain.index(b"\r\n\r\n", at)
+        version, *lines = plain[at:end].decode().split("\r\n")
+        assert version == "WARC/1.1"
+        head = dict(x.split(": ", 1) for x in lines)
+        start = end + 4
+        stop = start + int(head["Content-Length"])
+        assert plain[stop : stop + 4] == b"\r\n\r\n"
+        out.append((head, plain[start:stop]))
+        at = stop + 4
+    return out
+
+
+def test_archives_are_valid_for_any_reader(spark):
+    """Mandatory headers, unique ids, revisits that name a stored response."""
+    import zstandard
+
+    big = "x" * 1200
+    rows = [(1, "u", big), (2, "u", big), (3, "u", "a"), (3, "u", "a"), (3, "v", "b"), (None, "u", big), (None, "u", big), (4, "u", None), (2, "w", "c")]
+    pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, again string")
+    path = shared_dir(spark, "warc-test")
+    index = warc.write_bundles(warc.records(pages), path, frame_bytes=3000, date="2020-02-03T04:05:06Z", info="software: s\noperator: o")
+    files = [r.file for r in index.select("file").distinct().collect()]
+    found = []
+    for name in files:
+        with (Path(path.removeprefix("file:")) / name).open("rb") as f:
+            records = every_record(zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True).read())
+        assert records[0][0]["WARC-Type"] == "warcinfo" and records[0][0]["WARC-Filename"] == name
+        assert records[0][1] == b"software: s\r\noperator: o\r\n"
+        found += records
+    assert {h["WARC-Date"] for h, _ in found} == {"2020-02-03T04:05:06Z"}
+    ids = [h["WARC-Record-ID"] for h, _ in found]
+    assert len(ids) == len(set(ids)) == len(rows) + len(files) and all(i.startswith("<urn:") for i in ids)
+    revisits = [h for h, _ in found if h["WARC-Type"] == "revisit"]
+    stored = {h["WARC-Record-ID"].removesuffix(">") for h, _ in found if h["WARC-Type"] == "response"}
+    assert len(revisits) == 3
+    assert all(any(s.startswith(h["WARC-Refers-To"].removesuffix(">")) for s in stored) for h in revisits)
+    assert warc.read_bundles(index, path).count() == len(rows)
+
+
 # --- pipeline -------------------------------------------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -154,6 +155,39 @@ def test_wrapped_licenses(spark):
     assert got == {k: (n, name) for k, (n, name) in enumerate(zip([3, 2, 3, 4, 3, 3, 2, 1, 1], names, strict=True))}
 
 
+OTHERS = {
+    "MPL-2.0": "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy of the MPL was not distributed with this\n"
+    "// file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "LGPL-2.1-or-later": "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as "
+    "published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.",
+    "GPL-2.0-or-later": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+    "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "AGPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as "
+    "published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\n"
+    "copyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES\nWITH "
+    "REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF\nMERCHANTABILITY AND FITNESS. IN NO EVENT",
+    "Unlicense": "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or\n"
+    "distribute this software, either in source code form or as a compiled\nbinary, for any purpose, commercial or non-commercial, and by any\nmeans.",
+    "Zlib": "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable for any damages\n"
+    "arising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and "
+    "to alter it and redistribute it\nfreely, subject to the following restrictions:\n",
+}
+
+
+def test_more_public_licenses_and_their_sql(spark):
+    import duckdb
+
+    texts = [*OTHERS.values(), MIT, GPL, BSD, BSD3, MIT.replace("\n", "\r\n"), "a\nAll rights\nreserved..\nb", "word " * 60_000 + "\n" + MIT, None, ""]
+    got = licenses.scan(docs(spark, list(enumerate(texts)))).collect()
+    assert [r.license for r in sorted(got)][: len(OTHERS)] == list(OTHERS)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    want = con.execute(f"SELECT doc_id, n_known, sentence_ids, licenses, license FROM ({licenses.ORACLE_SQL})").fetchall()
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
 # --- language -------------------------------------------------------------------------------------------------
 
 
@@ -534,6 +568,31 @@ def test_tiling_searches_every_row_of_the_benchmark(spark, limit):
     assert got == {0: [0], 1: [0], 2: [None], 3: [None], 4: [], 5: [0, 0, None]}
 
 
+def test_tiles_equal_the_plain_search():
+    rng = random.Random(5)
+    for _ in range(200):
+        letters = rng.choice((2, 3, 6))
+        doc, item = ([rng.randint(1, letters) for _ in range(rng.randint(0, 40))] for _ in range(2))
+        least = rng.randint(1, 5)
+        found = tiling.tiles(np.array(doc, np.uint64), np.array(item, np.uint64), least)
+        assert sum(n for *_, n in found) == brute_tiles(doc, item, least)
+        assert all(doc[a : a + n] == item[b : b + n] for a, b, n in found)
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 100])
+def test_very_long_texts_are_tiled_whole(spark, limit):
+    rng = random.Random(6)
+    item = [f"w{rng.randint(0, 3000)}" for _ in range(800)]
+    long = [f"v{rng.randint(0, 3000)}" for _ in range(20_000)]
+    few = long[:500] + item[10:18] + long[500:]
+    moved = long[:9000] + item[400:] + long[9000:12_000] + item[:400] + long[12_000:]
+    matcher, start = tiling.Matcher([(1, " ".join(item))], 5, 0.5), time.time()
+    assert matcher.judge(" ".join(few)) == [] and time.time() - start < 1
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: [(x.item_id, x.tiled) for x in r._items] for r in tiling.contaminations(docs(spark, [(1, " ".join(few)), (2, " ".join(moved))]), bench, max_broadcast=limit).collect()}
+    assert got == {1: [], 2: [(1, 800)]}
+
+
 # --- line dedup -----------------------------------------------------------------------------------------------
 
 
