@@ -4,12 +4,15 @@ A url becomes a set of tokens: labels of the host, path segments (those with dig
 query parameters. Transactions are the token sets of labelled urls, blocked ones with one more item. FP-growth
 finds frequent sets; rules ``tokens -> blocked`` are kept by confidence and by support (a share of the urls, and no
 fewer than ``MIN_COUNT`` of them, so that small tables give no chance rules), and dropped where a rule with
-fewer of the same tokens already is kept. Matching is an inverted index: every rule is filed under its rarest token,
+fewer of the same tokens already is kept. Tokens that stand in exactly the same labelled urls are one class, mined as
+its first token, so that urls with many common parts do not multiply the sets; any token of the class stands for it
+in a match, which is what the rules of its single tokens would do. Matching is an inverted index: every rule is filed under its rarest token,
 the distinct token sets of all urls look their tokens up, and candidates are checked whole.
 
 Defined cases: a null url, or one without ``://``, has empty host and path, no token, and is allowed; fixed rules
 match the text as it stands (ports and user names are part of the host); repeated rows are judged alike; without a
-blocked label nothing is mined; further columns pass through, but those named like an added one are replaced.
+blocked label nothing is mined; a url's tokens are a set, repeated parameters count once; very long urls are used whole;
+further columns pass through, but those named like an added one are replaced.
 """
 
 from __future__ import annotations
@@ -69,13 +72,28 @@ def tokens(url: Column) -> Column:
     return F.sort_array(F.array_distinct(F.concat(labels, plain, kind, given)))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_count: int = MIN_COUNT) -> DataFrame:
-    """(antecedent, confidence, support) of rules for blocking, from (tokens, blocked) rows."""
+def token_classes(labelled: DataFrame) -> DataFrame:
+    """(token, head): tokens in exactly the same token sets share the first of them as head. Two sets of sets count as
+    the same if their sizes and two sums (xor) of 64-bit hashes are."""
+    sets = labelled.where(F.size("tokens") > 0).select("tokens").distinct()
+    seen = sets.select(F.explode("tokens").alias("token"), F.xxhash64("tokens").alias("a"), F.xxhash64(F.lit(1), "tokens").alias("b"))
+    mark = seen.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
+    heads = mark.groupBy("n", "a", "b").agg(F.min("token").alias("head"))
+    return materialize(mark.join(heads, ["n", "a", "b"]).select("token", "head"), "url-classes")
+
+
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_count: int = MIN_COUNT,
+         classes: DataFrame | None = None) -> DataFrame:
+    """(antecedent, confidence, support) of rules for blocking, from (tokens, blocked) rows; tokens stand for their classes."""
     schema = "antecedent array<string>, confidence double, support double"
-    spark = labelled.sparkSession
+    spark, labelled = labelled.sparkSession, labelled.where(F.size("tokens") > 0)
+    classes = token_classes(labelled) if classes is None else classes
+    sets = labelled.select("tokens").distinct()
+    kept = sets.select("tokens", F.explode("tokens").alias("token")).join(classes.where("token = head"), "token")
+    kept = kept.groupBy("tokens").agg(F.collect_list("token").alias("heads"))
     items = materialize(
-        labelled.where(F.size("tokens") > 0).select(
-            F.when(F.col("blocked"), F.concat("tokens", F.array(F.lit(BLOCKED)))).otherwise(F.col("tokens")).alias("items")
+        labelled.join(kept, "tokens").select(
+            F.when(F.col("blocked"), F.concat("heads", F.array(F.lit(BLOCKED)))).otherwise(F.col("heads")).alias("items")
         ),
         "url-items",
     )
@@ -94,13 +112,17 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     return materialize(rules.join(shorter, "antecedent", "left_anti"), "url-kept-rules")
 
 
-def match(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """The token sets (column ``tokens``, distinct) that hold all tokens of a rule."""
-    posted = sets.select("tokens", F.explode("tokens").alias("token"))
-    seen = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    each = rules.select("antecedent", F.explode("antecedent").alias("token")).join(seen, "token")
-    filed = each.groupBy("antecedent").agg(F.min(F.struct("n", "token")).alias("rarest")).select("antecedent", F.col("rarest.token").alias("token"))
-    found = posted.join(filed, "token").where(F.size(F.array_except("antecedent", "tokens")) == 0)
+def match(sets: DataFrame, rules: DataFrame, classes: DataFrame) -> DataFrame:
+    """The token sets (column ``tokens``, distinct) that hold a token of every class of a rule."""
+    asked = rules.select(F.explode("antecedent").alias("head")).distinct()
+    asked = materialize(classes.join(asked, "head"), "url-asked")
+    posted = sets.select("tokens", F.explode("tokens").alias("token")).join(asked, "token")
+    held = materialize(posted.groupBy("tokens").agg(F.collect_set("head").alias("heads")), "url-held")
+    posted = held.select("tokens", "heads", F.explode("heads").alias("head"))
+    seen = posted.groupBy("head").agg(F.count(F.lit(1)).alias("n"))
+    each = rules.select("antecedent", F.explode("antecedent").alias("head")).join(seen, "head", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    filed = each.groupBy("antecedent").agg(F.min(F.struct("n", "head")).alias("rarest")).select("antecedent", F.col("rarest.head").alias("head"))
+    found = posted.join(filed, "head").where(F.size(F.array_except("antecedent", "heads")) == 0)
     return found.select("tokens").distinct()
 
 
@@ -111,10 +133,11 @@ def judge(urls: DataFrame, labelled: DataFrame, rules=RULES, **mining) -> DataFr
     """
     url = F.col("url").cast("string")
     learn = labelled.select(tokens(url).alias("tokens"), F.col("blocked").cast("boolean").alias("blocked"))
-    mined = mine(learn, **mining)
+    classes = token_classes(learn)
+    mined = mine(learn, classes=classes, **mining)
     rows = urls.drop("_tokens", "_fixed", "mined").withColumns({"host": F.coalesce(host(url), F.lit("")), "path": F.coalesce(path(url), F.lit("")), "_tokens": F.coalesce(tokens(url), F.array().cast("array<string>"))})
     rows = rows.withColumn("_fixed", fixed_rule(F.col("host"), F.col("path"), rules))
-    hit = match(rows.select(F.col("_tokens").alias("tokens")).distinct(), mined).select(F.col("tokens").alias("_tokens"), F.lit(True).alias("mined"))
+    hit = match(rows.select(F.col("_tokens").alias("tokens")).distinct(), mined, classes).select(F.col("tokens").alias("_tokens"), F.lit(True).alias("mined"))
     out = rows.join(materialize(hit, "url-hits"), "_tokens", "left").withColumn("mined", F.coalesce("mined", F.lit(False)))
     method = F.when(F.col("mined"), F.lit("block")).otherwise(F.lit("allow"))
     return out.withColumns({"rule": F.col("_fixed.rule"), "verdict": F.coalesce(F.col("_fixed.verdict"), method)}).drop("_fixed", "_tokens")
