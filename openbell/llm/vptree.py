@@ -25,6 +25,8 @@ from openbell.session import materialize
 
 #: Rows of the sample that balances the tree, fingerprints a shard aims at, and of a leaf inside a shard.
 SAMPLE, SHARD, LEAF = 32_768, 8_000, 512
+#: Rows of a shard beyond which it becomes pairs of blocks, and an odd factor that spreads fingerprints over blocks.
+SHARD_BLOCK, FACTOR = 1 << 17, np.uint64(0x9E3779B97F4A7C15)
 WORDS = re.compile(rb"[^\x20\x09-\x0d]+").findall
 
 
@@ -164,11 +166,14 @@ def shard_links(points: np.ndarray, near: np.ndarray, radius: int, leaf: int = L
     return out
 
 
-def links(nodes: DataFrame, radius: int, near: list[str] | None = None, shard: int = SHARD) -> DataFrame:
+def links(nodes: DataFrame, radius: int, near: list[str] | None = None, shard: int = SHARD, block: int = SHARD_BLOCK) -> DataFrame:
     """(a, b): links between rows of ``nodes`` (node, fp, further long columns ``near``) within the radius.
 
     ``fp`` should be distinct. Rows connected by links stay connected; of a cluster a minimum spanning forest by
     the Hamming distance of the ``near`` columns (``fp`` where none are named) is returned.
+
+    A shard of more than ``block`` rows (a dense cluster, which no split parts) is dealt out as pairs of blocks of
+    about half that, by a hash of the fingerprint: every task holds two blocks, every pair of rows meets in one.
     """
     near = near or ["fp"]
     kind = dict(nodes.dtypes)["node"]
@@ -177,10 +182,21 @@ def links(nodes: DataFrame, radius: int, near: list[str] | None = None, shard: i
     tree = nodes.sparkSession.sparkContext.broadcast(Tree(np.array([r[0] for r in some], np.int64).view(np.uint64), total, radius, shard))
     columns = list(dict.fromkeys(["node", "fp", *near]))
 
+    blocks: dict[int, int] = {}
+
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            for number, at in tree.value.route(pdf["fp"].to_numpy(np.int64).view(np.uint64)):
-                yield pdf.iloc[at].assign(_shard=number)
+            fps = pdf["fp"].to_numpy(np.int64).view(np.uint64)
+            for number, at in tree.value.route(fps):
+                n = blocks.get(number, 1)
+                if n == 1:
+                    yield pdf.iloc[at].assign(_shard=number, _pair=0)
+                    continue
+                own = ((fps[at] * FACTOR) >> np.uint64(33)).astype(np.int64) % n
+                for other in range(n):
+                    some = own != other
+                    low, high = np.minimum(own[some], other), np.maximum(own[some], other)
+                    yield pdf.iloc[at[some]].assign(_shard=number, _pair=low * n + high)
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         points = pdf["fp"].to_numpy(np.int64).view(np.uint64)
@@ -190,8 +206,11 @@ def links(nodes: DataFrame, radius: int, near: list[str] | None = None, shard: i
         return pd.DataFrame([(node[i], node[j]) for i, j in sorted(pairs)], columns=["a", "b"])
 
     fields = ", ".join(f"{c} {kind if c == 'node' else 'long'}" for c in columns)
-    dealt = nodes.select(*columns).mapInPandas(deal, f"{fields}, _shard int")
-    return dealt.groupBy("_shard").applyInPandas(link, f"a {kind}, b {kind}").distinct()
+    if total > block:  # one number per shard, and shards are at most a few thousand
+        sizes = nodes.select(*columns).mapInPandas(deal, f"{fields}, _shard int, _pair long").groupBy("_shard").count()
+        blocks = {r["_shard"]: -(-2 * r["count"] // block) for r in sizes.where(F.col("count") > block).collect()}
+    dealt = nodes.select(*columns).mapInPandas(deal, f"{fields}, _shard int, _pair long")
+    return dealt.groupBy("_shard", "_pair").applyInPandas(link, f"a {kind}, b {kind}").distinct()
 
 
 def near_duplicates(docs: DataFrame, n_words: int = 3, radius: int = 2) -> DataFrame:

@@ -351,6 +351,17 @@ def test_shard_of_a_dense_cluster_returns_a_forest():
     assert len(pairs) < len(near) / 3
 
 
+def test_dense_shards_are_dealt_out_as_pairs_of_blocks(spark):
+    """All fingerprints near one another: the tree cannot part them, blocks of at most 100 do."""
+    rng = np.random.default_rng(2)
+    points = np.unique(np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 24, (1500, 3), dtype=np.uint64), axis=1))
+    table = spark.createDataFrame([(k, int(x)) for k, x in enumerate(points)], "node long, fp long")
+    got = [tuple(r) for r in vptree.links(table, 2, shard=64, block=200).collect()]
+    near = [(a, b) for a in range(len(points)) for b in range(a) if (int(points[a]) ^ int(points[b])).bit_count() <= 2]
+    assert set(got) <= {x for a, b in near for x in ((a, b), (b, a))}
+    assert len(points) > 800 and groups(range(len(points)), got) == groups(range(len(points)), near)
+
+
 def test_near_duplicates_equal_brute_force(spark, corpus):
     rows = corpus + [(501, "Same  words here twice"), (502, "same words\there twice"), (503, "?!")]
     got = {r.doc_id: (r.fingerprint, r.component_id) for r in vptree.near_duplicates(docs(spark, rows).repartition(3)).collect()}
