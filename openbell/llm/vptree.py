@@ -198,6 +198,14 @@ def links(nodes: DataFrame, radius: int, near: list[str] | None = None, shard: i
                     low, high = np.minimum(own[some], other), np.maximum(own[some], other)
                     yield pdf.iloc[at[some]].assign(_shard=number, _pair=low * n + high)
 
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = np.zeros(tree.value.leaves, np.int64)
+        for pdf in frames:
+            for number, at in tree.value.route(pdf["fp"].to_numpy(np.int64).view(np.uint64)):
+                held[number] += len(at)
+        some = np.flatnonzero(held)
+        yield pd.DataFrame({"_shard": some, "n": held[some]})
+
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         points = pdf["fp"].to_numpy(np.int64).view(np.uint64)
         sig = np.stack([pdf[c].to_numpy(np.int64).view(np.uint64) for c in near], axis=1)
@@ -207,8 +215,8 @@ def links(nodes: DataFrame, radius: int, near: list[str] | None = None, shard: i
 
     fields = ", ".join(f"{c} {kind if c == 'node' else 'long'}" for c in columns)
     if total > block:  # one number per shard, and shards are at most a few thousand
-        sizes = nodes.select(*columns).mapInPandas(deal, f"{fields}, _shard int, _pair long").groupBy("_shard").count()
-        blocks = {r["_shard"]: -(-2 * r["count"] // block) for r in sizes.where(F.col("count") > block).collect()}
+        sizes = nodes.select("fp").mapInPandas(count, "_shard int, n long").groupBy("_shard").agg(F.sum("n").alias("n"))
+        blocks = {r["_shard"]: -(-2 * r["n"] // block) for r in sizes.where(F.col("n") > block).collect()}
     dealt = nodes.select(*columns).mapInPandas(deal, f"{fields}, _shard int, _pair long")
     return dealt.groupBy("_shard", "_pair").applyInPandas(link, f"a {kind}, b {kind}").distinct()
 
