@@ -82,10 +82,13 @@ def day_range() -> Column:
 
 # --- inputs of the recursive indicators: plain lag expressions --------------
 
-def with_moves(daily: DataFrame, w: WindowSpec | None = None) -> DataFrame:
-    """Add gain, loss, true range and directional moves (NULL on the first row)."""
+def with_moves(daily: DataFrame, w: WindowSpec | None = None, prev: dict[str, Column] | None = None) -> DataFrame:
+    """Add gain, loss, true range and directional moves (NULL on the first row).
+
+    ``prev`` gives the previous high, low and close where they are columns already.
+    """
     w = w or by_date()
-    prev = {c: F.lag(c).over(w) for c in ("high", "low", "close")}
+    prev = prev or {c: F.lag(c).over(w) for c in ("high", "low", "close")}
     step = F.col("close") - prev["close"]
     up, down = F.col("high") - prev["high"], prev["low"] - F.col("low")
     true_range = F.greatest(

@@ -22,6 +22,7 @@ from openbell.operators import model as ml
 from openbell.operators import report as rep
 from openbell.operators import scoring as sc
 from openbell.operators import sessions as ses
+from openbell.operators.recursion import with_recursive_in_blocks
 from openbell.plans import market
 from openbell.plans.scorers import hash_scorer
 from openbell.schemas import DAILY_SENTIMENT, PCA_COLUMNS
@@ -160,6 +161,13 @@ def macd(spark, d):
     ])
 
 
+@query
+def recursive_in_blocks(spark, d):
+    found = with_recursive_in_blocks(b.daily_bars(spark, d))
+    shares = [F.try_divide(c, "close").alias(f"pct_{c}") for c in ("macd", "macd_hist", "macd_signal")]
+    return found.select("symbol", "date", "rsi_14", F.try_divide("atr_14", "close").alias("pct_atr"), "adx_14", "dmp_14", "dmn_14", *shares)
+
+
 # --- feature tables ----------------------------------------------------------
 
 AS_OF = dt.date(2001, 11, 6)

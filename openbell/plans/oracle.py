@@ -270,6 +270,9 @@ ORACLE["rsi"] = recursive("rsi_14")
 ORACLE["atr"] = recursive("pct_atr")
 ORACLE["adx"] = recursive("adx_14", "dmp_14", "dmn_14")
 ORACLE["macd"] = recursive("pct_macd", "pct_macd_hist", "pct_macd_signal")
+ORACLE["recursive_in_blocks"] = recursive(
+    "rsi_14", "pct_atr", "adx_14", "dmp_14", "dmn_14", "pct_macd", "pct_macd_hist", "pct_macd_signal"
+)
 
 TECHNICALS = (
     "dist_sma_50", "dist_sma_200", "rsi_14", "pct_atr", "bb_pct_b", "relative_volume", "adx_14",
