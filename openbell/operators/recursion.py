@@ -177,3 +177,71 @@ def with_recursive_in_blocks(daily: DataFrame, by: Sequence[str] = ("symbol",),
         (F.col("macd") - F.col("macd_signal")).alias("macd_hist"),
         "macd_signal",
     )
+
+
+#: Decay (as exponent of e) that one cell of an EWMA spans, and that of a single row that starts a cell of its own.
+SPANNED, LEAP = 500.0, 50.0
+
+
+def ewma_in_blocks(
+    df: DataFrame, value: str, out: str, span: float = 5, by: Sequence[str] = ("symbol",), order: str = "date", block: Column | None = None
+) -> DataFrame:
+    """``indicators.ewma`` without a task per series: a gap of g rows before a value decays the mean g + 1 times.
+
+    The map of a value depends on the rows since the one before, which may lie in an earlier block; so blocks first
+    exchange how many rows they hold and where their last value stands. Rows before the first value are NULL, NaN
+    counts as NULL. ``block`` and ``order`` as in ``recursive_means``; the rows are stored once on the way.
+    """
+    if span <= 1:
+        raise ValueError(f"span must exceed 1: {span}")
+    alpha = 2 / (span + 1)
+    rows = df.withColumn("_block", block_of_dates(order) if block is None else block)
+    keys = [*by, "_block"]
+    inside, blocks = Window.partitionBy(*keys).orderBy(order), Window.partitionBy(*by).orderBy("_block")
+    so_far, before = (Window.unboundedPreceding, 0), (Window.unboundedPreceding, -1)
+    x = F.col(value).cast("double")
+    rows = rows.withColumns({"_x": F.when(~F.isnan(x), x), "_p": F.row_number().over(inside)})
+    seen = F.when(F.col("_x").isNotNull(), F.col("_p"))
+    ends = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.max(seen).alias("_last"))
+    ends = ends.withColumn("_start", F.coalesce(F.sum("_rows").over(blocks.rowsBetween(*before)), F.lit(0)))
+    ends = ends.select(*keys, "_start", F.max(F.col("_start") + F.col("_last")).over(blocks.rowsBetween(*before)).alias("_prior"))
+    rows = _attach(rows, ends, keys)
+    here = F.max(seen).over(inside.rowsBetween(*before))
+    rows = rows.withColumn("_d", F.coalesce(F.col("_p") - here, F.col("_start") + F.col("_p") - F.col("_prior")))
+    weight = F.pow(F.lit(1 - alpha), F.col("_d"))
+    known, first = F.col("_x").isNotNull(), F.col("_d").isNull()
+    rows = rows.withColumns({
+        "_a": F.when(~known, 1.0).when(first, 0.0).otherwise(weight / (weight + alpha)),
+        "_b": F.when(~known, 0.0).when(first, F.col("_x")).otherwise(alpha * F.col("_x") / (weight + alpha)),
+    })
+    rows = rows.withColumn("_e", F.when(F.col("_a") > 0, F.least(-F.log("_a"), F.lit(LEAP))).otherwise(F.lit(LEAP)))
+    rows = rows.withColumn("_turn", F.floor(F.sum("_e").over(inside.rowsBetween(*so_far)) / SPANNED))
+    cut = (F.col("_p") == 1) | (F.col("_e") >= LEAP) | (F.col("_turn") != F.lag("_turn").over(inside))
+    rows = rows.withColumn("_cut", cut)
+    rows = rows.withColumn("_cell", F.sum(F.col("_cut").cast("int")).over(inside.rowsBetween(*so_far)))
+    rows = materialize(rows.select(*df.columns, "_block", "_cell", "_cut", "_x", "_a", "_b"), "ewma-rows")
+
+    keys = [*by, "_block", "_cell"]
+    running = Window.partitionBy(*keys).orderBy(order).rowsBetween(*so_far)
+    # y = _w * (decay of the cell's first row) * (mean before the cell) + _y
+    rows = rows.withColumn("_w", F.product(F.when(F.col("_cut"), 1.0).otherwise(F.col("_a"))).over(running))
+    rows = rows.withColumns({
+        "_y": F.col("_w") * F.sum(F.col("_b") / F.col("_w")).over(running),
+        "_w": F.col("_w") * F.first("_a").over(running),
+        "_n": F.count("_x").over(running),
+    })
+    cells = rows.groupBy(*keys).agg(F.max_by("_w", order).alias("w"), F.max_by("_y", order).alias("y"), F.max("_n").alias("n"))
+    series = cells.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("_block", "_cell", "w", "y", "n"))).alias("_cells"))
+    state = "struct<y:double,done:array<double>>"
+
+    def step(acc: Column, cell: Column) -> Column:
+        mean = F.when(cell["n"] == 0, acc["y"]).otherwise(F.coalesce(cell["w"] * acc["y"], F.lit(0.0)) + cell["y"])
+        return F.struct(mean.alias("y"), F.concat(acc["done"], F.array(acc["y"])).alias("done")).cast(state)
+
+    start = F.struct(F.lit(None).cast("double").alias("y"), F.array().alias("done")).cast(state)
+    carried = F.aggregate(F.col("_cells"), start, step, lambda acc: acc["done"])
+    at = series.select(*by, F.explode(F.arrays_zip("_cells", carried.alias("c"))).alias("_at"))
+    carries = at.select(*by, F.col("_at._cells._block").alias("_block"), F.col("_at._cells._cell").alias("_cell"), F.col("_at.c").alias("_c"))
+    known = (F.col("_n") > 0) | F.col("_c").isNotNull()
+    mean = F.when(known, F.coalesce(F.col("_w") * F.col("_c"), F.lit(0.0)) + F.col("_y"))
+    return _attach(rows, carries, keys).select(*df.columns, mean.alias(out))

@@ -22,7 +22,7 @@ from openbell.operators import model as ml
 from openbell.operators import report as rep
 from openbell.operators import scoring as sc
 from openbell.operators import sessions as ses
-from openbell.operators.recursion import with_recursive_in_blocks
+from openbell.operators.recursion import ewma_in_blocks, with_recursive_in_blocks
 from openbell.plans import market
 from openbell.plans.scorers import hash_scorer
 from openbell.schemas import DAILY_SENTIMENT, PCA_COLUMNS
@@ -570,13 +570,21 @@ def buzz_momentum_lags(spark, d):
     return news.with_time_series(days, by=("symbol",))
 
 
+def _gappy(spark, d):
+    return b.daily_bars(spark, d).select(
+        "symbol", "date", F.when(F.dayofmonth("date") % 7 != 0, ind.day_momentum()).alias("value")
+    )
+
+
 @query
 def ewma(spark, d):
     """EWMA with gaps: every seventh day of the month is missing."""
-    days = b.daily_bars(spark, d).select(
-        "symbol", "date", F.when(F.dayofmonth("date") % 7 != 0, ind.day_momentum()).alias("value")
-    )
-    return ind.ewma(days, "value", "ewma_5")
+    return ind.ewma(_gappy(spark, d), "value", "ewma_5")
+
+
+@query
+def ewma_blocks(spark, d):
+    return ewma_in_blocks(_gappy(spark, d), "value", "ewma_5")
 
 
 @query

@@ -530,6 +530,7 @@ ORACLE["ewma"] = with_(
     ("gappy", "SELECT symbol, date, CASE WHEN day(date) % 7 <> 0 THEN (close - open) / open END AS value FROM daily"),
     *ewma("gappy", "value"), recursive=True,
 ) + f"SELECT symbol, date, {r('value')} AS value, {r('y')} AS ewma_5 FROM gappy JOIN ew ON k = symbol AND day = date"
+ORACLE["ewma_blocks"] = ORACLE["ewma"]
 TAIL = "OVER (PARTITION BY symbol ORDER BY Date ROWS BETWEEN 252 PRECEDING AND 1 PRECEDING)"
 ORACLE["tail_flags"] = with_(LINES, DAILY, MOMENTUM) + f"""
     SELECT symbol, Date AS date, {r('weighted_impact')} AS weighted_impact,

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from openbell.operators import indicators as ind
-from openbell.operators.recursion import cell_rows, previous, recursive_means, with_recursive_in_blocks
+from openbell.operators.recursion import cell_rows, ewma_in_blocks, previous, recursive_means, with_recursive_in_blocks
 
 
 def daily(spark, n=900, seed=3, symbols=("A", "B", None)):
@@ -99,3 +99,26 @@ def test_a_long_series_is_split_over_tasks_and_stays_in_the_jvm(spark):
     x = pd.Series([abs(v) for v in df.orderBy("date").toPandas()["v"]])
     want = x.ewm(alpha=1 / 14, adjust=False, min_periods=14).mean()
     close_to(table(got), pd.DataFrame({"m": want}), ["m"])
+
+
+@pytest.mark.parametrize("span", [1.5, 5, 400])
+def test_ewma_with_gaps_over_blocks(spark, span):
+    rng, data = random.Random(4), []
+    for k in range(1500):
+        x = None if k < 20 or 100 < k < 130 or 300 < k < 900 or rng.random() < 0.2 else rng.uniform(-1, 1)
+        data += [("A", k, x), ("whole", k, rng.uniform(0, 9)), (None, k, x), ("empty", k, None)]
+    data.append(("one", 0, float("nan")))
+    df = spark.createDataFrame(data, "symbol string, date int, v double")
+    want = table(df)
+    want["m"] = want.groupby("symbol", dropna=False)["v"].transform(lambda x: x.ewm(span=span, adjust=False).mean())
+    for days in (7, 200, 10_000):
+        got = ewma_in_blocks(df, "v", "m", span, block=F.floor(F.col("date") / days))
+        assert got.columns == ["symbol", "date", "v", "m"]
+        close_to(table(got), want, ["m"])
+
+
+def test_ewma_of_an_empty_table_and_a_wrong_span(spark):
+    empty = daily(spark).limit(0)
+    assert ewma_in_blocks(empty, "close", "m").count() == 0
+    with pytest.raises(ValueError):
+        ewma_in_blocks(empty, "close", "m", span=1)
