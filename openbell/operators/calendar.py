@@ -63,15 +63,17 @@ def next_event(
 
     Facts and events meet in no range join. Both shrink to distinct days per key
     first, one window over that calendar carries the next event backwards, and
-    the result joins on equality. The window's group is bounded by calendar days.
+    the result joins on equality. The window's group is bounded by calendar days;
+    it runs from the last day to the first, so its frame only ever grows and a day
+    costs one step (a frame that ends at the last row is read anew for every day).
     """
     keys = [*by, date]
     ask = days.select(*keys).distinct().withColumn("_event", F.lit(None).cast("date"))
     tell = events.select(*keys).distinct().withColumn("_event", F.col(date))
     nearest = ask.unionByName(tell).groupBy(*keys).agg(F.max("_event").alias("_event"))
-    onwards = Window.partitionBy(*by).orderBy(date).rowsBetween(0, Window.unboundedFollowing)
+    onwards = Window.partitionBy(*by).orderBy(F.desc(date)).rowsBetween(Window.unboundedPreceding, 0)
     distance = nearest.withColumn(
-        out, F.datediff(F.first("_event", ignorenulls=True).over(onwards), F.col(date))
+        out, F.datediff(F.last("_event", ignorenulls=True).over(onwards), F.col(date))
     )
     return days.join(distance.select(*keys, out), keys, "left")
 

@@ -41,3 +41,15 @@ def test_next_event_per_key(spark):
     ]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_next_event_of_a_long_calendar(spark):
+    """Every day costs one step: no frame reaches to the last row, and 200,000 days take seconds, not minutes."""
+    days = spark.range(200_000).select(F.expr("date_add(DATE '1800-01-01', CAST(id AS INT))").alias("date"))
+    events = days.filter("datediff(date, DATE '1800-01-01') % 50000 = 49999")
+    out = cal.next_event(days, events, "n")
+    assert "unboundedfollowing" not in out._jdf.queryExecution().toString().lower()
+    found = out.agg(F.count("n"), F.min("n"), F.max("n"), F.sum("n")).first()
+    assert tuple(found) == (200_000, 0, 49_999, 4 * sum(range(50_000)))
+    gap = cal.next_event(days, events.union(spark.createDataFrame([(None,)], "date DATE")), "n").filter("n IS NULL")
+    assert gap.count() == 0
