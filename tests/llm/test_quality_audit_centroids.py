@@ -117,6 +117,14 @@ def test_quality_edges(spark, corpus):
     assert len(quality.trusted_ids(labels, 7)) == 7 and 50 not in quality.trusted_ids(labels) and 4 not in quality.trusted_ids(labels)
 
 
+def test_every_trusted_label_counts(spark, corpus):
+    """More trusted ids than any bounded sample takes: the target and the threshold still come from all of them."""
+    docs, labels = frames(spark, corpus)
+    more = spark.range(10_000, 10_000 + quality.MAX_TRUSTED * 3).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    many = quality.judge(docs, labels.unionByName(more), lose=0.1).collect()
+    assert sorted(map(tuple, many), key=key) == sorted(brute_quality(*corpus, 0.1), key=key)
+
+
 # --- filter audit ---------------------------------------------------------------------------------------------
 
 
