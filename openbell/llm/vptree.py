@@ -242,6 +242,8 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- one document of each group, for the pipeline -----------------------------------------------------------
 
+#: Words of a fingerprint's shingles and differing bits of linked fingerprints, as in ``op6_simhash_near_dedup``.
+PRINT_WORDS, PRINT_RADIUS = 3, 2
 #: Keys per text and MinHash values in each. Two texts of similarity J share no key with probability
 #: (1 - J**4) ** 32, which is 5e-8 at 0.8 and less above, whatever kind of edit parts them.
 BANDS, ROWS = 32, 4
@@ -333,11 +335,30 @@ def block_links(sets: list[np.ndarray], roots: np.ndarray, blocks: np.ndarray, s
     return out
 
 
-def _groups(live: DataFrame, sets: DataFrame, similarity: float) -> DataFrame | None:
-    """(nid, root) of all texts with a true link; None without any. ``live`` has the rows (key, nid, n) of shared keys.
+def _near_prints(nodes: DataFrame) -> DataFrame:
+    """(a, b): texts whose SimHash fingerprints differ in few bits, by the vantage-point tree; ``nodes`` are (nid, fp).
 
-    First every text is compared with one centre, the smallest text of all its keys: this connects most copies, one
-    pair per text. Keys whose texts are not all connected by then are compared whole, in pairs of blocks of bounded
+    A forest that connects whatever such links connect: texts of one fingerprint meet its first one, and the tree's
+    shards return a minimum spanning forest of the fingerprints.
+    """
+    prints = materialize(nodes.groupBy("fp").agg(F.min("nid").alias("node")), "near-prints")
+    equal = nodes.join(prints, "fp").where(F.col("nid") != F.col("node")).select(F.col("node").alias("a"), F.col("nid").alias("b"))
+    return materialize(links(prints.select("node", "fp"), PRINT_RADIUS).select("a", "b").unionByName(equal), "near-links")
+
+
+def _shared_keys(nodes: DataFrame) -> DataFrame:
+    """(key, nid, n) of the MinHash keys that several texts have."""
+    rows = nodes.select(F.explode("keys").alias("key"), "nid", "n")
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    return materialize(rows.join(shared.hint("merge"), "key", "left_semi"), "band-shared")
+
+
+def _groups(live: DataFrame, sets: DataFrame, similarity: float, near: DataFrame | None = None) -> DataFrame | None:
+    """(nid, root) of all texts with a true link; None without any. ``live`` has the rows (key, nid, n) of shared keys,
+    ``near`` the pairs (a, b) of near fingerprints.
+
+    First come the pairs of near fingerprints, and every text is compared with one centre, the smallest text of all
+    its keys: this connects most copies, one pair per text. Keys whose texts are not all connected by then are compared whole, in pairs of blocks of bounded
     size as tasks of their own; a task returns a forest of links, so no pairs are written whatever the group's size.
     """
 
@@ -351,6 +372,9 @@ def _groups(live: DataFrame, sets: DataFrame, similarity: float) -> DataFrame |
     lead = live.join(smallest.hint("merge"), "key").groupBy("nid", "n").agg(F.min("c").alias("c"))
     sizes = F.least("n", "c.n") >= F.greatest("n", "c.n") * similarity - 1e-9
     pairs = lead.where((F.col("nid") != F.col("c.nid")) & sizes).select(F.col("c.nid").alias("a"), F.col("nid").alias("b"))
+    if near is not None:
+        both = pairs.unionByName(near)
+        pairs = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     tried = materialize(_similar(materialize(pairs, "band-pairs"), sets), "band-tried")
     roots = linked(tried)
     named = live.withColumn("root", F.col("nid"))
@@ -378,8 +402,10 @@ def keep_one(docs: DataFrame, n_words: int = 5, similarity: float = 0.8) -> Data
     """The documents without near copies: of every group the row with the smallest doc_id stays.
 
     Texts whose ``n_words`` shingle sets (64-bit hashes of whole texts, of any length) have a similarity of at least
-    ``similarity`` are linked, groups are transitive. Candidates share one of the keys of MinHash values of these shingles; every two texts of a key are
-    compared or connected (see ``_groups``). Equal texts are one node; texts without words are one group. Rows equal
+    ``similarity`` are linked, groups are transitive. Candidates are the links of the vantage-point tree over all SimHash
+    fingerprints, as in ``near_duplicates``; each is checked, since texts of much repetition agree in their bits without
+    being alike. Near copies whose bits differ more share one of the keys of MinHash values of their shingles; every two
+    texts of a key that are still apart are compared or connected (see ``_groups``). Equal texts are one node; texts without words are one group. Rows equal
     in doc_id and text count as one; other columns pass through.
     """
     columns = docs.columns
@@ -387,32 +413,33 @@ def keep_one(docs: DataFrame, n_words: int = 5, similarity: float = 0.8) -> Data
 
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            sizes, keys = [], []
+            sizes, keys, fps = [], [], []
             for text in pdf["text"]:  # the shingles of one text at a time are in memory
-                terms = set(shingles(words(text), n_words))
+                tokens = words(text)
+                fps.append(_signed(simhash(shingles(tokens, PRINT_WORDS))))
+                terms = set(shingles(tokens, n_words))
                 sizes.append(len(terms))
                 keys.append(band_keys(terms))
-            yield pdf[["doc_id", "node"]].assign(n=sizes, keys=keys)
+            yield pdf[["doc_id", "node"]].assign(n=sizes, keys=keys, fp=np.array(fps, np.int64))
 
     def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             yield pdf[["nid"]].assign(sh=[shingle_hashes(t, n_words) for t in pdf["text"]])
 
-    signed = texts.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(sign, "doc_id string, node string, n long, keys array<long>")
+    signed = texts.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(sign, "doc_id string, node string, n long, keys array<long>, fp long")
     signed = materialize(signed.withColumn("doc_id", F.col("doc_id").cast("long")), "bands")
-    nodes = signed.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"), F.min("keys").alias("keys"))
+    nodes = signed.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"), F.min("keys").alias("keys"), F.min("fp").alias("fp"))
     nodes = materialize(nodes.withColumn("nid", F.monotonically_increasing_id()), "band-nodes")
-    rows = nodes.select(F.explode("keys").alias("key"), "nid", "n")
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    live = materialize(rows.join(shared.hint("merge"), "key", "left_semi"), "band-shared")
+    near, live = _near_prints(nodes.select("nid", "fp")), _shared_keys(nodes)
 
-    wanted = nodes.join(live.select("nid").distinct(), "nid", "left_semi").select("nid", F.col("node").alias("_n"), "first")
+    met = live.select("nid").unionByName(near.select(F.explode(F.array("a", "b")).alias("nid"))).distinct()
+    wanted = nodes.join(met, "nid", "left_semi").select("nid", F.col("node").alias("_n"), "first")
     some = texts.join(wanted.hint("merge"), (texts["node"] == wanted["_n"]) & texts["doc_id"].eqNullSafe(wanted["first"]))
     sets = some.groupBy("nid").agg(F.first("text").alias("text")).mapInPandas(hashed, "nid long, sh array<long>")
     sets = materialize(sets, "band-sets")
 
     group = F.col("nid")
-    roots = _groups(live, sets, similarity)
+    roots = _groups(live, sets, similarity, near)
     if roots is not None:
         nodes, group = nodes.join(roots, "nid", "left"), F.coalesce("root", "nid")
     order = F.struct(F.col("first").isNull().alias("unknown"), "first", "node")

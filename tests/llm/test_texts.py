@@ -418,6 +418,27 @@ def test_keep_one_compares_texts_of_equal_word_sets(spark):
     assert {r.doc_id for r in vptree.keep_one(docs(spark, rows)).collect()} == set(range(40))
 
 
+def test_keep_one_goes_through_fingerprints_and_tree(spark, monkeypatch):
+    """Without any MinHash key the SimHash links of the tree still find copies; each link is checked."""
+    rng = random.Random(19)
+    base = [prose(rng, 400) for _ in range(30)]
+    rows = [(k, t) for k, t in enumerate(base)] + [(1000 + k, f"{t} {word(rng)}") for k, t in enumerate(base)]
+    bits = lambda t: vptree.simhash(vptree.shingles(vptree.words(t), 3))
+    texts = dict(rows)
+    linked = {k for k in range(30) if (bits(texts[k]) ^ bits(texts[1000 + k])).bit_count() <= 2}
+    assert len(linked) > 20
+    often = "buy it now or never " * 400  # equal bits, texts unlike
+    rows += [(2000 + k, f"{often} {prose(rng, 600)} {often}") for k in range(2)]
+    texts = dict(rows)
+    apart = vptree.jaccard(texts[2000], texts[2001], 5)
+    assert apart < 0.8 and (bits(texts[2000]) ^ bits(texts[2001])).bit_count() <= 2
+    shared, asked, through = vptree._shared_keys, [], vptree.links
+    monkeypatch.setattr(vptree, "_shared_keys", lambda nodes: shared(nodes).limit(0))
+    monkeypatch.setattr(vptree, "links", lambda nodes, radius, *a, **k: asked.append(radius) or through(nodes, radius, *a, **k))
+    kept = {r.doc_id for r in vptree.keep_one(docs(spark, rows)).collect()}
+    assert asked == [2] and kept == {i for i, _ in rows} - {1000 + k for k in linked}
+
+
 def test_groups_try_every_centre(spark):
     """One key holds texts with and without links: none is linked to the first one."""
     rng = random.Random(14)
