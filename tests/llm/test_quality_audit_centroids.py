@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from openbell.llm import audit, centroids, quality
 
@@ -125,6 +126,49 @@ def test_every_trusted_label_counts(spark, corpus):
     assert sorted(map(tuple, many), key=key) == sorted(brute_quality(*corpus, 0.1), key=key)
 
 
+def test_packed_grams_come_back():
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 2, 700, quality.BUCKETS):
+        at = np.sort(rng.choice(quality.BUCKETS, size, replace=False))
+        n = rng.integers(1, 2 if size < 3 else 3_000_000, size)
+        back = quality.unpack(quality.pack(at, n))
+        assert back[0].tolist() == at.tolist() and back[1].tolist() == n.tolist()
+
+
+def test_no_text_is_shuffled(spark, corpus, monkeypatch, capsys):
+    """Trusted ids too many to broadcast: what the join deals out is narrower than the texts, the rows are the same."""
+    rows, labels = corpus
+    rows, labels = [*rows, (2**60 + 1, rows[2][1], "s1")], [*labels, (2**60 + 1, 1, 0)]
+    docs = spark.createDataFrame([(i, t, None, s, None) for i, t, s in rows], DOCS)
+    frames = []
+
+    def seen(name):
+        own = getattr(quality, name)
+        monkeypatch.setattr(quality, name, lambda df, *a, **b: (frames.append(df), own(df, *a, **b))[1])
+
+    for name in ("materialize", "bucket_counts", "score"):
+        seen(name)
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = sorted(map(tuple, quality.judge(docs, spark.createDataFrame(labels, LABELS), lose=0.1).collect()), key=key)
+        capsys.readouterr()
+        for df in frames:
+            df.explain("formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    dealt = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", capsys.readouterr().out)
+    assert any("_deal#" in x for x in dealt) and not any(re.search(r"\btext#", x) for x in dealt)
+    assert got == sorted(brute_quality(rows, labels, 0.1), key=key)
+
+
+def test_packed_grams_are_smaller_than_texts(spark):
+    rng = random.Random(8)
+    docs = spark.createDataFrame([(k, prose(rng, 600, [f"word{x}" for x in range(5000)])) for k in range(20)], "doc_id long, text string")
+    stored = quality.counted(docs).agg(F.sum(F.length("grams"))).first()[0]
+    assert 2 * stored < docs.agg(F.sum(F.length("text"))).first()[0]
+
+
 # --- filter audit ---------------------------------------------------------------------------------------------
 
 
