@@ -19,7 +19,8 @@ those named like an added one are replaced.
 
 A chunk has three lines on average and a passage loses only chunks that lie inside it: its lines up to the first
 boundary and behind the last one stay, and so do passages too short to hold two boundaries (README: shares by
-length). A text of a single line stays. ``dedup_passages``, for the pipeline, removes repeated passages whole.
+length). A text of a single line stays. ``dedup_passages`` removes repeated passages whole; the pipeline removes what
+either rule does (``dedup_lines`` with ``passages``).
 """
 
 from __future__ import annotations
@@ -82,9 +83,9 @@ def _multi(docs: DataFrame, window: int) -> DataFrame:
     )
 
 
-def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, _k1, _k2, gone): first lines of the chunks to remove, one row per document that loses any."""
-    place = F.struct("doc_id", "at", "_k1", "_k2")
+def _repeats(docs: DataFrame, window: int, order: tuple[str, ...]) -> DataFrame:
+    """(doc_id, _k1, _k2, at, body): the repeated chunks, without those that stand first in ``order``."""
+    place = F.struct(*order)
     chunks = _multi(docs, window)
     repeated = materialize(
         chunks.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1").drop("n"),
@@ -93,13 +94,30 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     found = materialize(chunks.join(repeated.hint("merge"), ["h1", "h2"]).withColumn("is_first", place.eqNullSafe(F.col("first"))), "line-chunks")
     # rows equal in doc_id and text share one place: one of them is enough to compare with
     firsts = found.where("is_first").groupBy("h1", "h2").agg(F.first("body").alias("kept"))
-    gone = found.where("NOT is_first").join(firsts.hint("merge"), ["h1", "h2"]).where(F.col("body") == F.col("kept"))
+    return found.where("NOT is_first").join(firsts.hint("merge"), ["h1", "h2"]).where(F.col("body") == F.col("kept"))
+
+
+def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc_id, _k1, _k2, gone): first lines of the chunks to remove, one row per document that loses any."""
+    gone = _repeats(docs, window, ("doc_id", "at", "_k1", "_k2"))
     return gone.groupBy("doc_id", "_k1", "_k2").agg(F.collect_set("at").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents with ``text`` shortened, and ``_n_lines``, ``_gone_lines``, ``_gone_chunks``."""
+def dedup_lines(docs: DataFrame, window: int = WINDOW, passages: bool = False) -> DataFrame:
+    """The documents with ``text`` shortened, and ``_n_lines``, ``_gone_lines``, ``_gone_chunks``.
+
+    With ``passages`` the lines that ``dedup_passages`` removes go too. Both are judged on the texts as given, so that
+    neither hides a repeat from the other, and in the same order (doc_id, text, line), so that every line removed stands
+    somewhere earlier.
+    """
     columns = [c for c in docs.columns if c not in ("_n_lines", "_gone_lines", "_gone_chunks")]
+    if passages:
+        return _without(docs, columns, _chunks_and_passages(docs, window)).select(
+            *[F.col("_made.text") if c == "text" else F.col(f"_row.`{c}`") for c in columns],
+            F.col("_made.lines").alias("_n_lines"),
+            F.col("_made.gone_lines").alias("_gone_lines"),
+            F.col("_made.gone_chunks").alias("_gone_chunks"),
+        )
     gone = materialize(removals(docs, window), "line-removals").select(
         F.col("doc_id").alias("_id"), F.col("_k1").alias("_g1"), F.col("_k2").alias("_g2"), "gone"
     )
@@ -168,31 +186,52 @@ def dedup_passages(docs: DataFrame) -> DataFrame:
     Defined cases as above.
     """
     columns = [c for c in docs.columns if c != "_gone_lines"]
-    gone = materialize(_passages(docs), "line-removals").select(
-        F.col("doc_id").alias("_id"), F.col("_k1").alias("_g1"), F.col("_k2").alias("_g2"), "gone"
+    none = {"chunks": F.lit(0), "lost": F.array().cast("array<int>")}
+    return _without(docs, columns, _passages(docs).withColumns(none)).select(
+        *[F.col("_made.text") if c == "text" else F.col(f"_row.`{c}`") for c in columns], F.col("_made.gone_lines").alias("_gone_lines")
+    )
+
+
+def _chunks_and_passages(docs: DataFrame, window: int) -> DataFrame:
+    """``_passages``, with ``lost``: numbers (of all lines, from 0) of the ``chunks`` to remove."""
+    ids = ["doc_id", "_k1", "_k2"]
+    chunk = F.struct("at", F.size(F.split("body", "\n", -1)).alias("n"))
+    chunks = _repeats(docs, window, (*ids, "at")).groupBy(*ids).agg(F.collect_set(chunk).alias("c"))
+    numbers = F.flatten(F.transform("c", lambda c: F.sequence(c["at"], c["at"] + c["n"] - 1)))
+    none = F.lit(None).cast("array<int>")
+    both = chunks.select(*ids, F.size("c").alias("chunks"), numbers.alias("lost"), none.alias("gone")).unionByName(
+        _passages(docs).select(*ids, F.lit(0).alias("chunks"), none.alias("lost"), "gone")
+    )
+    joined = [F.flatten(F.collect_list(c)).alias(c) for c in ("lost", "gone")]  # nulls are not collected
+    return both.groupBy(*ids).agg(F.sum("chunks").alias("chunks"), *joined)
+
+
+def _without(docs: DataFrame, columns: list[str], found: DataFrame) -> DataFrame:
+    """(_row, _made): ``columns`` of every document, and what is left of its text without the lines that ``found`` names."""
+    gone = materialize(found, "line-removals").select(
+        F.col("doc_id").alias("_id"), F.col("_k1").alias("_g1"), F.col("_k2").alias("_g2"), "chunks", "lost", "gone"
     )
     keyed = _keys(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"))).drop("text")
     joined = keyed.join(
         gone.hint("merge"), keyed["doc_id"].eqNullSafe(gone["_id"]) & (keyed["_k1"] == gone["_g1"]) & (keyed["_k2"] == gone["_g2"]), "left"
     ).withColumn("text", F.col("_row.text"))
-    units = _units(joined).withColumn("_n", F.size("_at"))
+    units = _units(joined)
+    touched = F.col("gone").isNotNull()
 
     def unit(k: Column) -> Column:
         start = F.when(k == 0, 0).otherwise(F.get("_at", k))
-        end = F.coalesce(F.get("_at", k + 1), F.size("_lines"))
-        return F.struct((end - start).alias("n"), F.array_join(F.slice("_lines", start + 1, end - start), "\n").alias("body"))
+        return F.sequence(start, F.coalesce(F.get("_at", k + 1), F.size("_lines")) - 1)
 
-    left = units.withColumn(
-        "_left", F.when(F.col("gone").isNotNull(), F.transform(F.array_except(F.sequence(F.lit(0), F.col("_n") - 1), "gone"), unit))
-    )
-    touched = F.col("gone").isNotNull()
+    numbers = F.concat("lost", F.flatten(F.transform("gone", unit)))
+    left = units.withColumn("_left", F.when(touched, F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), numbers)))
+    # exploding one struct keeps later filters from being pushed into, and so repeating, these expressions
     made = F.struct(
-        F.when(touched, F.array_join(F.col("_left.body"), "\n")).otherwise(F.col("_row.text")).alias("text"),
-        F.when(touched, F.size("_lines") - F.aggregate("_left", F.lit(0), lambda a, c: a + c["n"])).otherwise(0).cast("long").alias("gone_lines"),
-    )
-    return left.select("_row", F.explode(F.array(made)).alias("_made")).select(
-        *[F.col("_made.text") if c == "text" else F.col(f"_row.`{c}`") for c in columns], F.col("_made.gone_lines").alias("_gone_lines")
+        F.when(touched, F.array_join(F.transform("_left", lambda i: F.get("_lines", i)), "\n")).otherwise(F.col("_row.text")).alias("text"),
+        F.size("_lines").cast("long").alias("lines"),
+        F.when(touched, F.size("_lines") - F.size("_left")).otherwise(0).cast("long").alias("gone_lines"),
+        F.when(touched, F.col("chunks")).otherwise(0).cast("long").alias("gone_chunks"),
     )
+    return left.select("_row", F.explode(F.array(made)).alias("_made"))
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -257,6 +257,15 @@ def test_exact_copies_leave_no_fragment(spark, folder):
     assert {(r.doc_id, r.text, r.n_chars) for r in left} == {(k, t, len(t)) for k, t in enumerate(texts)}
 
 
+def test_lines_go_by_chunks_too(spark, folder):
+    """A line between blank ones is no passage, but op10's chunks hold it: copies go as there."""
+    rng = random.Random(17)
+    texts = [f"{' '.join(word(rng) for _ in range(6))}{blank}" for blank in ("\n", "\n\n", "\n \n") for _ in range(4)]
+    rows = [(100 * c + k, t, "xx", "s", len(t)) for c in range(3) for k, t in enumerate(texts)]
+    left = corpus_pipeline.unique_lines(spark, spark.createDataFrame(rows, DOCS), folder[0]).collect()
+    assert {(r.doc_id, r.text, r.n_chars) for r in left} == {(k, t, len(t)) for k, t in enumerate(texts)}
+
+
 def test_nothing_to_learn_from_keeps_all_texts_with_letters(spark, folder):
     docs = spark.createDataFrame([(1, "abc", None, None, 3), (2, "12", None, None, 2), (3, None, None, None, 0)], DOCS)
     assert [r.doc_id for r in corpus_pipeline.known_language(spark, docs, folder[0]).collect()] == [1]

@@ -739,3 +739,52 @@ def test_passages_keep_blank_lines_and_columns(spark):
     got = {r.doc_id: (r.text, r._gone_lines) for r in lines.dedup_passages(clashing(spark, [(1, text), (2, "b\n\n\nc\nnew\n"), (3, None)])).collect()}
     assert got == {1: (text, 0), 2: ("new\n", 4), 3: (None, 0)}
     assert lines.dedup_passages(clashing(spark, [(1, text)])).columns[:11] == [c.split()[0] for c in CLASHING.split(", ")]
+
+
+def brute_chunks_and_passages(rows):
+    """Text left of every (doc_id, text): lines of repeated chunks and of repeated pairs go, both judged on the input."""
+    chunks, pairs, left = {}, {}, {}
+    for i, t in sorted({(i, t or "") for i, t in rows}, key=lambda x: (x[0] is not None, x[0] or 0)):
+        body, lost = t.split("\n"), set()
+        h = [int(hashlib.md5(x.encode()).hexdigest()[:15], 16) % lines.PRIME for x in body]
+        rolled = [(x + lines.BASE * (h[k - 1] if k else 0)) % lines.PRIME for k, x in enumerate(h)]
+        ends = [k + 1 for k in range(1, len(h) - 2) if rolled[k] < rolled[k - 1] and rolled[k] <= rolled[k + 1]]
+        for a, b in zip([0, *ends], [*ends, len(h)]):
+            if b - a > 1 and "".join(body[a:b]).strip(" \t\r") and chunks.setdefault("\n".join(body[a:b]), (i, a)) != (i, a):
+                lost |= {*range(a, b)}
+        at = [k for k, x in enumerate(body) if x.strip(" \t\r")]
+        for k in range(1, len(at)):
+            first = pairs.setdefault((body[at[k - 1]], body[at[k]]), (i, k))
+            if first != (i, k):
+                start = at[k] if first == (i, k - 1) else at[k - 1] if k > 1 else 0
+                lost |= {*range(start, at[k + 1] if k + 1 < len(at) else len(body))}
+        left[i] = "\n".join(x for k, x in enumerate(body) if k not in lost), len(lost)
+    return left
+
+
+def test_chunks_and_passages_go_together(spark, corpus):
+    rng = random.Random(23)
+    pool = [prose(rng, 3) for _ in range(10)]
+    rows = [(1000 + k, "\n".join(rng.choice([*pool, "", "", " \t"]) for _ in range(rng.randint(1, 25)))) for k in range(80)]
+    rows += [(2000 + k, f"{pool[k % 5]}\n\n") for k in range(10)] + [(3000, "\n\n"), (3001, "\n\n"), (1000, rows[0][1])] + corpus
+    got = lines.dedup_lines(docs(spark, rows).repartition(3), passages=True).collect()
+    want, texts = brute_chunks_and_passages(rows), dict(rows)
+    assert len(got) == len(rows) and all((r.text or "", r._gone_lines) == want[r.doc_id] for r in got)
+    assert all(r.text == texts[r.doc_id] for r in got if not r._gone_lines)
+    assert all(r._n_lines == (texts[r.doc_id] or "").count("\n") + 1 for r in got)
+    alone = {r.doc_id: r._gone_lines for r in lines.dedup_passages(docs(spark, rows)).collect()}
+    more = {r.doc_id for r in got if r._gone_lines > alone[r.doc_id]}  # what passages alone leave
+    assert len(more) > 10 and more <= {r.doc_id for r in got if r._gone_chunks}
+    assert lines.dedup_lines(docs(spark, []), passages=True).count() == 0
+    columns = lines.dedup_lines(clashing(spark, [(1, "a\nb")]), passages=True).columns
+    assert columns == [*(c.split()[0] for c in CLASHING.split(", ")), "_n_lines", "_gone_lines", "_gone_chunks"]
+
+
+def test_no_line_is_lost_everywhere(spark):
+    """Texts of one or no doc_id: chunks and passages agree on which of them stands first."""
+    rng = random.Random(24)
+    pool = [prose(rng, 2) for _ in range(30)]
+    rows = [(rng.choice([1, 2, None]), "\n".join(rng.choice([*pool, "", ""]) for _ in range(rng.randint(2, 30)))) for _ in range(120)]
+    got = lines.dedup_lines(docs(spark, rows), passages=True).collect()
+    given, left = ({x for t in texts for x in t.split("\n")} - {""} for texts in ([t for _, t in rows], [r.text for r in got]))
+    assert given == left and sum(r._gone_lines for r in got) > 100
